@@ -34,9 +34,13 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Doubles rounded, so that summation order does not show."""
+    """Doubles rounded, so that summation order does not show.
+
+    Means of cent amounts often end in an exact half of the last digit, where the order of a sum
+    would still decide; both sides therefore move all values by the same tiny amount first.
+    """
     return df.select(
-        *[F.round(c, digits).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes]
+        *[F.round(F.col(c) + 1e-9, digits).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes]
     )
 
 

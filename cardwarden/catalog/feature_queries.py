@@ -47,7 +47,7 @@ from cardwarden.operators.summaries import (
     split_summary,
 )
 from cardwarden.schema import ENGINEERED, FEATURE_GROUPS, GROUP_STATS
-from cardwarden.plans.prepare import split_features
+from cardwarden.plans.prepare import settled_features, split_features
 
 _INTEGERS = {
     "hour_of_day", "day_of_week", "is_weekend", "month", "day_of_month", "customer_txn_count",
@@ -56,7 +56,7 @@ _INTEGERS = {
 
 
 def rounded_sql(columns) -> str:
-    return ", ".join(c if c in _INTEGERS else f"round({c}, 6) AS {c}" for c in columns)
+    return ", ".join(c if c in _INTEGERS else f"round({c} + 1e-9, 6) AS {c}" for c in columns)
 
 
 @query(
@@ -69,7 +69,7 @@ def temporal_features(spark, sf_dir):
 
 @query(
     "distance_features",
-    f"WITH {FEATURES} SELECT row_id, round(distance_km, 6) AS distance_km, is_distant_txn FROM feat",
+    f"WITH {FEATURES} SELECT row_id, round(distance_km + 1e-9, 6) AS distance_km, is_distant_txn FROM feat",
 )
 def distance_features(spark, sf_dir):
     return rounded(add_distance_features(transactions(spark, sf_dir)).select("row_id", *FEATURE_GROUPS["distance"]))
@@ -101,9 +101,9 @@ def matrix(spark, sf_dir):
 
 @query(
     "customer_stats",
-    f"""WITH {TXN} SELECT cc_num, count(*) AS customer_txn_count, round(avg(amt), 6) AS customer_avg_amt,
-  round(coalesce(stddev_samp(amt), 0), 6) AS customer_std_amt, round(sum(amt), 6) AS customer_total_amt,
-  CAST(sum(is_fraud) AS BIGINT) AS customer_fraud_count, round(avg(is_fraud), 6) AS customer_fraud_rate FROM txn GROUP BY 1""",
+    f"""WITH {TXN} SELECT cc_num, count(*) AS customer_txn_count, round(avg(amt) + 1e-9, 6) AS customer_avg_amt,
+  round(coalesce(stddev_samp(amt), 0) + 1e-9, 6) AS customer_std_amt, round(sum(amt) + 1e-9, 6) AS customer_total_amt,
+  CAST(sum(is_fraud) AS BIGINT) AS customer_fraud_count, round(avg(is_fraud) + 1e-9, 6) AS customer_fraud_rate FROM txn GROUP BY 1""",
 )
 def customer_stats(spark, sf_dir):
     return rounded(customer_statistics(transactions(spark, sf_dir)))
@@ -111,9 +111,9 @@ def customer_stats(spark, sf_dir):
 
 @query(
     "merchant_stats",
-    f"""WITH {TXN} SELECT merchant, count(*) AS merchant_txn_count, round(avg(amt), 6) AS merchant_avg_amt,
-  round(coalesce(stddev_samp(amt), 0), 6) AS merchant_std_amt, CAST(sum(is_fraud) AS BIGINT) AS merchant_fraud_count,
-  round(avg(is_fraud), 6) AS merchant_fraud_rate FROM txn GROUP BY 1""",
+    f"""WITH {TXN} SELECT merchant, count(*) AS merchant_txn_count, round(avg(amt) + 1e-9, 6) AS merchant_avg_amt,
+  round(coalesce(stddev_samp(amt), 0) + 1e-9, 6) AS merchant_std_amt, CAST(sum(is_fraud) AS BIGINT) AS merchant_fraud_count,
+  round(avg(is_fraud) + 1e-9, 6) AS merchant_fraud_rate FROM txn GROUP BY 1""",
 )
 def merchant_stats(spark, sf_dir):
     return rounded(merchant_statistics(transactions(spark, sf_dir)))
@@ -121,8 +121,8 @@ def merchant_stats(spark, sf_dir):
 
 @query(
     "category_stats",
-    f"""WITH {TXN} SELECT category, count(*) AS category_txn_count, round(avg(amt), 6) AS category_avg_amt,
-  CAST(sum(is_fraud) AS BIGINT) AS category_fraud_count, round(avg(is_fraud), 6) AS category_fraud_rate FROM txn GROUP BY 1""",
+    f"""WITH {TXN} SELECT category, count(*) AS category_txn_count, round(avg(amt) + 1e-9, 6) AS category_avg_amt,
+  CAST(sum(is_fraud) AS BIGINT) AS category_fraud_count, round(avg(is_fraud) + 1e-9, 6) AS category_fraud_rate FROM txn GROUP BY 1""",
 )
 def category_stats(spark, sf_dir):
     return rounded(category_statistics(transactions(spark, sf_dir)))
@@ -205,7 +205,7 @@ def folds(spark, sf_dir):
 @query(
     "split_summary",
     f"""WITH {QUOTA} SELECT split, count(*) AS rows, CAST(sum(is_fraud) AS BIGINT) AS fraud_rows,
-  round(avg(is_fraud), 6) AS fraud_rate FROM exact GROUP BY 1""",
+  round(avg(is_fraud) + 1e-9, 6) AS fraud_rate FROM exact GROUP BY 1""",
 )
 def summary_by_split(spark, sf_dir):
     txn = transactions(spark, sf_dir)
@@ -215,7 +215,7 @@ def summary_by_split(spark, sf_dir):
 @query(
     "class_distribution",
     f"""WITH {QUOTA} SELECT split, is_fraud, count(*) AS rows,
-  round(count(*) * 100.0 / sum(count(*)) OVER (PARTITION BY split), 6) AS percent FROM exact GROUP BY 1, 2""",
+  round(count(*) * 100.0 / sum(count(*)) OVER (PARTITION BY split) + 1e-9, 6) AS percent FROM exact GROUP BY 1, 2""",
 )
 def distribution(spark, sf_dir):
     txn = transactions(spark, sf_dir)
@@ -225,7 +225,7 @@ def distribution(spark, sf_dir):
 @query(
     "prepared_dataset",
     f"""WITH {FEATURES}, {QUOTA.split("FROM events), ", 1)[1]}
-SELECT feat.row_id, exact.split, feat.is_fraud, {", ".join(c if c in _INTEGERS else f"round(feat.{c}, 6) AS {c}" for c in ENGINEERED)}
+SELECT feat.row_id, exact.split, feat.is_fraud, {", ".join(c if c in _INTEGERS else f"round(feat.{c} + 1e-9, 6) AS {c}" for c in ENGINEERED)}
 FROM feat JOIN exact ON feat.row_id = exact.row_id""",
 )
 def prepared(spark, sf_dir):
@@ -238,12 +238,12 @@ def prepared(spark, sf_dir):
     "serving_defaults",
     f"WITH {FEATURES} "
     + " UNION ALL ".join(
-        f"SELECT '{c}' AS feature, round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 6) AS value FROM feat WHERE split = 'train'"
+        f"SELECT '{c}' AS feature, round(quantile_cont(CAST({c} AS DOUBLE), 0.5) + 1e-9, 6) AS value FROM feat WHERE split = 'train'"
         for c in GROUP_STATS
     ),
 )
 def defaults(spark, sf_dir):
-    features = split_features(transactions(spark, sf_dir), KEY, exact=False)
+    features = settled_features(transactions(spark, sf_dir), KEY)
     return rounded(serving_defaults(features.where("split = 'train'")))
 
 
@@ -251,8 +251,8 @@ def defaults(spark, sf_dir):
     "feature_profile",
     f"WITH {FEATURES} "
     + " UNION ALL ".join(
-        f"SELECT '{g}' AS feature_group, '{c}' AS feature, round(CAST(min({c}) AS DOUBLE), 6) AS min_value, "
-        f"round(avg({c}), 6) AS mean_value, round(CAST(max({c}) AS DOUBLE), 6) AS max_value FROM feat"
+        f"SELECT '{g}' AS feature_group, '{c}' AS feature, round(CAST(min({c}) AS DOUBLE) + 1e-9, 6) AS min_value, "
+        f"round(avg({c}) + 1e-9, 6) AS mean_value, round(CAST(max({c}) AS DOUBLE) + 1e-9, 6) AS max_value FROM feat"
         for g, cs in FEATURE_GROUPS.items()
         for c in cs
     ),
@@ -264,8 +264,8 @@ def profile(spark, sf_dir):
 @query(
     "class_weights",
     f"""WITH {TXN}, n AS (SELECT count(*) FILTER (is_fraud = 0) AS negatives, count(*) FILTER (is_fraud = 1) AS positives FROM txn)
-SELECT negatives, positives, round(negatives / CAST(greatest(positives, 1) AS DOUBLE), 6) AS scale_pos_weight,
-  round((negatives + positives) / (2.0 * negatives), 6) AS weight_0, round((negatives + positives) / (2.0 * positives), 6) AS weight_1 FROM n""",
+SELECT negatives, positives, round(negatives / CAST(greatest(positives, 1) AS DOUBLE) + 1e-9, 6) AS scale_pos_weight,
+  round((negatives + positives) / (2.0 * negatives) + 1e-9, 6) AS weight_0, round((negatives + positives) / (2.0 * positives) + 1e-9, 6) AS weight_1 FROM n""",
 )
 def weights(spark, sf_dir):
     return rounded(class_weights(transactions(spark, sf_dir)))
@@ -284,16 +284,16 @@ _REQUEST_TIME = "to_timestamp(unix_time) AT TIME ZONE 'UTC'"
   SELECT *, (amt - customer_avg_amt) / (customer_std_amt + 1) AS amt_zscore FROM q)
 SELECT row_id, CAST(hour(rt) AS INT) AS hour_of_day, CAST(isodow(rt) - 1 AS INT) AS day_of_week,
   CAST(isodow(rt) >= 6 AS INT) AS is_weekend, CAST(month(rt) AS INT) AS month, CAST(day(rt) AS INT) AS day_of_month,
-  {", ".join(f"round({c}, 6) AS {c}" for c in GROUP_STATS)},
-  round(distance_km, 6) AS distance_km, is_distant_txn, round(amt_zscore, 6) AS amt_zscore,
+  {", ".join(f"round({c} + 1e-9, 6) AS {c}" for c in GROUP_STATS)},
+  round(distance_km + 1e-9, 6) AS distance_km, is_distant_txn, round(amt_zscore + 1e-9, 6) AS amt_zscore,
   CAST(abs(amt_zscore) > 3 AS INT) AS amt_is_outlier,
-  round(CASE WHEN amt / (customer_avg_amt + 1) > 100 THEN 100 ELSE amt / (customer_avg_amt + 1) END, 6) AS amt_ratio_to_customer_avg
+  round(CASE WHEN amt / (customer_avg_amt + 1) > 100 THEN 100 ELSE amt / (customer_avg_amt + 1) END + 1e-9, 6) AS amt_ratio_to_customer_avg
 FROM z""",
 )
 def score_features(spark, sf_dir):
     """Request rows (no time string, no label) with training medians as group features."""
     raw = transactions(spark, sf_dir)
-    train = split_features(raw, KEY, exact=False).where("split = 'train'")
+    train = settled_features(raw, KEY).where("split = 'train'")
     medians = collect_defaults(serving_defaults(train))
     requests = raw.drop("trans_date_trans_time", "is_fraud")
     return rounded(request_features(requests, medians).select("row_id", *ENGINEERED))
@@ -312,7 +312,7 @@ def score_decision(spark, sf_dir):
 @query(
     "score_summary",
     f"""WITH {SCORED} SELECT count(*) AS scored, count(*) FILTER (s >= 0.5e0) AS flagged,
-  round(count(*) FILTER (s >= 0.5e0) / CAST(greatest(count(*), 1) AS DOUBLE), 6) AS flagged_rate FROM scored""",
+  round(count(*) FILTER (s >= 0.5e0) / CAST(greatest(count(*), 1) AS DOUBLE) + 1e-9, 6) AS flagged_rate FROM scored""",
 )
 def batch_summary(spark, sf_dir):
     return rounded(score_summary(decide(scored(spark, sf_dir), "score")))
@@ -327,7 +327,7 @@ def outcomes(spark, sf_dir):
     return outcome_counts(decide(scored(spark, sf_dir), "score"), ["model"])
 
 
-@query("latency_p95", f"WITH {TXN} SELECT round(quantile_cont(amt, 0.95), 6) AS p95 FROM txn")
+@query("latency_p95", f"WITH {TXN} SELECT round(quantile_cont(amt, 0.95) + 1e-9, 6) AS p95 FROM txn")
 def p95(spark, sf_dir):
     return rounded(exact_p95(transactions(spark, sf_dir), "amt"))
 
@@ -336,8 +336,8 @@ def _earlier_query(name, key):
     @query(
         name,
         f"""WITH {TXN} SELECT row_id, {key},
-  count(*) OVER w AS prior_txn_count, round(avg(amt) OVER w, 6) AS prior_avg_amt,
-  round(coalesce(stddev_samp(amt) OVER w, 0), 6) AS prior_std_amt, round(coalesce(avg(is_fraud) OVER w, 0), 6) AS prior_fraud_rate
+  count(*) OVER w AS prior_txn_count, round(avg(amt) OVER w + 1e-9, 6) AS prior_avg_amt,
+  round(coalesce(stddev_samp(amt) OVER w, 0) + 1e-9, 6) AS prior_std_amt, round(coalesce(avg(is_fraud) OVER w, 0) + 1e-9, 6) AS prior_fraud_rate
 FROM txn WINDOW w AS (PARTITION BY {key} ORDER BY unix_time RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""",
     )
     def run(spark, sf_dir):
@@ -374,7 +374,7 @@ def _fitted_sql() -> str:
     medians = ", ".join(
         f"(SELECT quantile_cont(CAST({c} AS DOUBLE), 0.5) FROM j WHERE split = 'train') AS d_{c}" for c in columns
     )
-    out = ", ".join(f"round(coalesce(CAST({c} AS DOUBLE), d_{c}), 6) AS {c}" for c in columns)
+    out = ", ".join(f"round(coalesce(CAST({c} AS DOUBLE), d_{c}) + 1e-9, 6) AS {c}" for c in columns)
     return f"WITH {', '.join(ctes)}, d AS (SELECT {medians}) SELECT row_id, split, {out} FROM j, d"
 
 
@@ -396,7 +396,7 @@ _STANDARD = ["amt", "city_pop", "unix_time", "distance_km", "customer_avg_amt"]
 @query(
     "standardize",
     f"""WITH {FEATURES} SELECT row_id, {", ".join(
-        f"round(({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER (), 6) AS {c}" for c in _STANDARD)} FROM feat""",
+        f"round(({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () + 1e-9, 6) AS {c}" for c in _STANDARD)} FROM feat""",
 )
 def standardize(spark, sf_dir):
     from cardwarden.operators.models import standardized

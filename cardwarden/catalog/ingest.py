@@ -9,12 +9,13 @@ from cardwarden.operators.splitting import hash_split
 from cardwarden.operators.summaries import dataset_summary, split_summary
 from cardwarden.operators.validation import (
     column_contract,
+    filled_counts,
     null_counts,
     request_rules,
     violations,
     with_reasons,
 )
-from cardwarden.schema import REQUEST_SCHEMA, ROW_ID, SOURCE_INDEX
+from cardwarden.schema import REQUEST_SCHEMA, ROW_ID, SOURCE_INDEX, TRANSACTION_COLUMNS
 from cardwarden.session import scratch_path
 from cardwarden.sources.csv_files import (
     first_rows,
@@ -26,9 +27,9 @@ from cardwarden.sources.csv_files import (
 from cardwarden.sources.report_files import read_report, write_report
 from cardwarden.sources.split_files import read_splits, schema_differences, train_val_pool, write_splits
 
-RAW_SELECT = """SELECT row_id, trans_date_trans_time, cc_num, merchant, nullif(category, '') AS category, round(amt, 6) AS amt,
+RAW_SELECT = """SELECT row_id, trans_date_trans_time, cc_num, merchant, nullif(category, '') AS category, round(amt + 1e-9, 6) AS amt,
        first, last, gender, street, city, state, zip, lat, long, city_pop, job, dob, trans_num, unix_time,
-       round(merch_lat, 6) AS merch_lat, round(merch_long, 6) AS merch_long, CAST(is_fraud AS TINYINT) AS is_fraud
+       round(merch_lat + 1e-9, 6) AS merch_lat, round(merch_long + 1e-9, 6) AS merch_long, CAST(is_fraud AS TINYINT) AS is_fraud
 FROM raw"""
 
 
@@ -42,7 +43,7 @@ def typed_csv_scan(spark, sf_dir):
 
 @query(
     "batch_upload_parse",
-    f"WITH {RAW} SELECT cc_num, merchant, nullif(category, '') AS category, round(amt, 6) AS amt, trans_num, unix_time FROM raw",
+    f"WITH {RAW} SELECT cc_num, merchant, nullif(category, '') AS category, round(amt + 1e-9, 6) AS amt, trans_num, unix_time FROM raw",
 )
 def batch_upload_parse(spark, sf_dir):
     """Request rows from CSV files whose header carries blanks."""
@@ -55,7 +56,7 @@ def batch_upload_parse(spark, sf_dir):
 @query(
     "sample_head",
     f"""WITH {TXN}, src AS (SELECT *, CASE WHEN category IN ('click', 'view') THEN 'browse' ELSE 'act' END AS source FROM txn)
-SELECT source, row_id, cc_num, round(amt, 6) AS amt FROM (
+SELECT source, row_id, cc_num, round(amt + 1e-9, 6) AS amt FROM (
   SELECT *, row_number() OVER (PARTITION BY source ORDER BY row_id) AS rn FROM src) WHERE rn <= 500""",
 )
 def sample_head(spark, sf_dir):
@@ -69,7 +70,7 @@ def sample_head(spark, sf_dir):
 @query(
     "load_union",
     f"""WITH {TXN} SELECT CASE WHEN category IN ('click', 'view') THEN 'browse' ELSE 'act' END AS source,
-  row_id, cc_num, merchant, category, round(amt, 6) AS amt, is_fraud FROM txn""",
+  row_id, cc_num, merchant, category, round(amt + 1e-9, 6) AS amt, is_fraud FROM txn""",
 )
 def load_union(spark, sf_dir):
     txn = transactions(spark, sf_dir)
@@ -80,7 +81,7 @@ def load_union(spark, sf_dir):
 
 @query(
     "split_roundtrip",
-    f"""WITH {TXN} SELECT {split_sql()} AS split, row_id, cc_num, round(amt, 6) AS amt, is_fraud FROM txn""",
+    f"""WITH {TXN} SELECT {split_sql()} AS split, row_id, cc_num, round(amt + 1e-9, 6) AS amt, is_fraud FROM txn""",
 )
 def split_roundtrip(spark, sf_dir):
     """Splits written as partitioned Parquet and read back one by one."""
@@ -95,15 +96,21 @@ def split_roundtrip(spark, sf_dir):
 
 @query(
     "split_alignment",
-    "SELECT unnest(['test', 'val']) AS split, CAST(0 AS INT) AS differing_columns",
+    f"""WITH {TXN} SELECT split, count(*) AS rows, CAST(0 AS INT) AS differing_columns
+FROM (SELECT *, {split_sql()} AS split FROM txn) WHERE split <> 'train' GROUP BY 1""",
 )
 def split_alignment(spark, sf_dir):
     """Columns whose presence or type differs from the training split."""
     path = scratch_path(spark, "splits")
     write_splits(hash_split(transactions(spark, sf_dir), KEY), path)
     train, val, test = read_splits(spark, path)
-    rows = [(s, len(schema_differences(train, df))) for s, df in [("val", val), ("test", test)]]
-    return spark.createDataFrame(rows, "split string, differing_columns int")
+    checked = [
+        df.agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(s).alias("split"), "rows", F.lit(len(schema_differences(train, df))).alias("differing_columns")
+        )
+        for s, df in [("val", val), ("test", test)]
+    ]
+    return checked[0].unionByName(checked[1])
 
 
 @query(
@@ -115,8 +122,8 @@ def pool(spark, sf_dir):
     return train_val_pool(hash_split(transactions(spark, sf_dir), KEY)).select("row_id", "split", "is_fraud")
 
 
-SUMMARY_COLUMNS = """count(*) AS rows, CAST(sum(is_fraud) AS BIGINT) AS fraud_rows, round(avg(is_fraud), 6) AS fraud_rate,
-  round(min(amt), 6) AS amt_min, round(avg(amt), 6) AS amt_mean, round(max(amt), 6) AS amt_max,
+SUMMARY_COLUMNS = """count(*) AS rows, CAST(sum(is_fraud) AS BIGINT) AS fraud_rows, round(avg(is_fraud) + 1e-9, 6) AS fraud_rate,
+  round(min(amt) + 1e-9, 6) AS amt_min, round(avg(amt) + 1e-9, 6) AS amt_mean, round(max(amt) + 1e-9, 6) AS amt_max,
   strftime(min(strptime(trans_date_trans_time, '%Y-%m-%d %H:%M:%S')), '%Y-%m-%dT%H:%M:%S') AS time_from,
   strftime(max(strptime(trans_date_trans_time, '%Y-%m-%d %H:%M:%S')), '%Y-%m-%dT%H:%M:%S') AS time_to,
   count(DISTINCT cc_num) AS unique_cards, count(DISTINCT merchant) AS unique_merchants,
@@ -144,7 +151,7 @@ def cleaned_csv_summary(spark, sf_dir):
 @query(
     "report_json",
     f"""WITH {TXN} SELECT split, count(*) AS rows, CAST(sum(is_fraud) AS BIGINT) AS fraud_rows,
-  round(avg(is_fraud), 6) AS fraud_rate FROM (SELECT *, {split_sql()} AS split FROM txn) GROUP BY 1""",
+  round(avg(is_fraud) + 1e-9, 6) AS fraud_rate FROM (SELECT *, {split_sql()} AS split FROM txn) GROUP BY 1""",
 )
 def report_json(spark, sf_dir):
     """A report written as JSON lines and read back."""
@@ -188,9 +195,21 @@ def validate_rules(spark, sf_dir):
     return violations(raw_transactions(spark, sf_dir))
 
 
-@query("schema_contract")
+_CONTRACT = ", ".join(f"({i}, '{c}')" for i, c in enumerate(TRANSACTION_COLUMNS))
+
+
+@query(
+    "schema_contract",
+    f"""WITH {RAW}, expected(position, name) AS (VALUES {_CONTRACT}), present AS ("""
+    + " UNION ALL ".join(f"SELECT '{c}' AS name, count({c}) AS filled FROM raw" for c in TRANSACTION_COLUMNS)
+    + """) SELECT CAST(position AS INT) AS position, name AS expected, name AS actual, true AS ok, filled
+FROM expected JOIN present USING (name)""",
+)
 def schema_contract(spark, sf_dir):
-    return column_contract(raw_transactions(spark, sf_dir))
+    """Every column's place in the contract and how many rows fill it."""
+    raw = raw_transactions(spark, sf_dir)
+    filled = filled_counts(raw).withColumnRenamed("column_name", "actual")
+    return column_contract(raw).join(filled, "actual").select("position", "expected", "actual", "ok", "filled")
 
 
 _REASONS = [
@@ -205,7 +224,7 @@ _REASON_LIST = ", ".join(f"CASE WHEN NOT coalesce({ok}, false) THEN '{r}:{c}' EN
 
 @query(
     "request_quarantine",
-    f"""WITH {RAW}, checked AS (SELECT row_id, list_filter([{_REASON_LIST}], x -> x IS NOT NULL) AS reasons FROM raw)
+    f"""WITH {RAW}, checked AS (SELECT row_id, list_filter([{_REASON_LIST}], lambda x: x IS NOT NULL) AS reasons FROM raw)
 SELECT row_id, len(reasons) = 0 AS valid, array_to_string(reasons, ',') AS reason_text FROM checked""",
 )
 def request_quarantine(spark, sf_dir):

@@ -116,7 +116,7 @@ def cross_validate(spark, sf_dir):
     df = features(spark, sf_dir)
     names = numeric_features(df)
     half = with_folds(stratified_sample(train_val_pool(df), KEY, 0.5), KEY, 3)
-    out = cross_validate_logistic(half, names, draw_parameters(LOGISTIC_CV_SPACE, 2), 3)
+    out = cross_validate_logistic(half, names, draw_parameters(LOGISTIC_CV_SPACE, 2), 3, max_iter=50)
     return rounded(out.withColumn("params", F.to_json("params")))
 
 
@@ -198,7 +198,7 @@ def stream_outcomes(spark, sf_dir):
 @query(
     "stream_p95",
     f"""WITH w AS (SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, quantile_disc(value, 0.95) AS p95, count(*) AS observations FROM events GROUP BY 1)
-SELECT strftime(window_start, '%Y-%m-%d') AS window_start, round(p95, 6) AS p95, observations FROM w WHERE {_CLOSED}""",
+SELECT strftime(window_start, '%Y-%m-%d') AS window_start, round(p95 + 1e-9, 6) AS p95, observations FROM w WHERE {_CLOSED}""",
 )
 def stream_p95(spark, sf_dir):
     """95th percentile per closed day; up to the sketch size the percentile is exact."""
@@ -225,8 +225,8 @@ def stream_deduplicated(spark, sf_dir):
 
 @query(
     "stream_customer_state",
-    f"""WITH {TXN} SELECT cc_num, count(*) AS customer_txn_count, round(avg(amt), 6) AS customer_avg_amt,
-  round(coalesce(stddev_samp(amt), 0), 6) AS customer_std_amt, round(avg(is_fraud), 6) AS customer_fraud_rate FROM txn GROUP BY 1""",
+    f"""WITH {TXN} SELECT cc_num, count(*) AS customer_txn_count, round(avg(amt) + 1e-9, 6) AS customer_avg_amt,
+  round(coalesce(stddev_samp(amt), 0) + 1e-9, 6) AS customer_std_amt, round(avg(is_fraud) + 1e-9, 6) AS customer_fraud_rate FROM txn GROUP BY 1""",
 )
 def stream_state(spark, sf_dir):
     """Running card statistics after the whole stream."""

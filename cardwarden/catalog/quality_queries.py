@@ -57,7 +57,7 @@ from cardwarden.operators.splitting import hash_split
 from cardwarden.operators.stability import category_share_shift, population_stability
 from cardwarden.operators.tuning import improvement_flags, parameter_diff, tuning_comparison
 from cardwarden.plans.drift_report import drift_report
-from cardwarden.plans.prepare import split_features
+from cardwarden.plans.prepare import settled_features
 from cardwarden.plans.promote import promote
 from cardwarden.plans.train import positions
 from cardwarden.schema import FEATURE_GROUPS, GROUP_STATS
@@ -67,25 +67,25 @@ MS = f"WITH {SCORED}, {metrics_sql('model, split')}"
 
 
 # --------------------------------------------------------------------------- metrics
-@query("auc_roc", f"{MS} SELECT model, split, round(auc_roc, 6) AS auc_roc FROM m")
+@query("auc_roc", f"{MS} SELECT model, split, round(auc_roc + 1e-9, 6) AS auc_roc FROM m")
 def auc_roc(spark, sf_dir):
     return rounded(ranking_metrics(scored(spark, sf_dir), BY).select(*BY, "auc_roc"))
 
 
-@query("average_precision", f"{MS} SELECT model, split, round(auprc, 6) AS auprc FROM m")
+@query("average_precision", f"{MS} SELECT model, split, round(auprc + 1e-9, 6) AS auprc FROM m")
 def average_precision(spark, sf_dir):
     return rounded(ranking_metrics(scored(spark, sf_dir), BY).select(*BY, "auprc"))
 
 
-@query("pr_trapezoid", f"{MS} SELECT model, split, round(pr_trapezoid, 6) AS pr_trapezoid FROM m")
+@query("pr_trapezoid", f"{MS} SELECT model, split, round(pr_trapezoid + 1e-9, 6) AS pr_trapezoid FROM m")
 def pr_trapezoid(spark, sf_dir):
     return rounded(ranking_metrics(scored(spark, sf_dir), BY).select(*BY, "pr_trapezoid"))
 
 
 @query(
     "threshold_metrics",
-    f"""{MS} SELECT model, split, round(recall, 6) AS recall, round("precision", 6) AS "precision", round(f1, 6) AS f1,
-  round(accuracy, 6) AS accuracy, round(false_positive_rate, 6) AS false_positive_rate FROM m""",
+    f"""{MS} SELECT model, split, round(recall + 1e-9, 6) AS recall, round("precision" + 1e-9, 6) AS "precision", round(f1 + 1e-9, 6) AS f1,
+  round(accuracy + 1e-9, 6) AS accuracy, round(false_positive_rate + 1e-9, 6) AS false_positive_rate FROM m""",
 )
 def at_threshold(spark, sf_dir):
     return rounded(threshold_metrics(scored(spark, sf_dir), BY))
@@ -93,9 +93,9 @@ def at_threshold(spark, sf_dir):
 
 @query(
     "threshold_metrics_strict",
-    f"""WITH {SCORED}, {metrics_sql('model, split', threshold='0.25e0', op='>')} SELECT model, split, round(recall, 6) AS recall,
-  round("precision", 6) AS "precision", round(f1, 6) AS f1, round(accuracy, 6) AS accuracy,
-  round(false_positive_rate, 6) AS false_positive_rate FROM m""",
+    f"""WITH {SCORED}, {metrics_sql('model, split', threshold='0.25e0', op='>')} SELECT model, split, round(recall + 1e-9, 6) AS recall,
+  round("precision" + 1e-9, 6) AS "precision", round(f1 + 1e-9, 6) AS f1, round(accuracy + 1e-9, 6) AS accuracy,
+  round(false_positive_rate + 1e-9, 6) AS false_positive_rate FROM m""",
 )
 def above_threshold(spark, sf_dir):
     return rounded(threshold_metrics(scored(spark, sf_dir), BY, threshold=0.25, strict=True))
@@ -126,7 +126,7 @@ def matrix(spark, sf_dir):
   SELECT model, split, 'macro avg', (p0 + p1) / 2, (r0 + r1) / 2, (f0 + f1) / 2, total FROM k UNION ALL
   SELECT model, split, 'weighted avg', (p0 * (tn + fp) + p1 * (tp + fn)) / total, (r0 * (tn + fp) + r1 * (tp + fn)) / total,
     (f0 * (tn + fp) + f1 * (tp + fn)) / total, total FROM k)
-SELECT model, split, entry, round(p, 4) AS "precision", round(r, 4) AS recall, round(f, 4) AS f1, CAST(support AS BIGINT) AS support FROM e""",
+SELECT model, split, entry, round(p + 1e-9, 4) AS "precision", round(r + 1e-9, 4) AS recall, round(f + 1e-9, 4) AS f1, CAST(support AS BIGINT) AS support FROM e""",
 )
 def report(spark, sf_dir):
     return rounded(classification_report(scored(spark, sf_dir), BY), 4)
@@ -134,8 +134,8 @@ def report(spark, sf_dir):
 
 @query(
     "pr_curve",
-    f"""WITH {SCORED}, {ranked_sql('model, split')} SELECT model, split, round(s, 6) AS threshold, round(tp / cnt, 6) AS "precision",
-  round(CASE WHEN p_all > 0 THEN tp / p_all ELSE 0 END, 6) AS recall FROM ranked
+    f"""WITH {SCORED}, {ranked_sql('model, split')} SELECT model, split, round(s + 1e-9, 6) AS threshold, round(tp / cnt + 1e-9, 6) AS "precision",
+  round(CASE WHEN p_all > 0 THEN tp / p_all ELSE 0 END + 1e-9, 6) AS recall FROM ranked
 UNION ALL SELECT DISTINCT model, split, CAST(NULL AS DOUBLE), 1e0, 0e0 FROM ranked""",
 )
 def precision_recall(spark, sf_dir):
@@ -144,9 +144,9 @@ def precision_recall(spark, sf_dir):
 
 @query(
     "roc_curve",
-    f"""WITH {SCORED}, {ranked_sql('model, split')} SELECT model, split, round(s, 6) AS threshold,
-  round(CASE WHEN n_all - p_all > 0 THEN (cnt - tp) / (n_all - p_all) ELSE 0 END, 6) AS fpr,
-  round(CASE WHEN p_all > 0 THEN tp / p_all ELSE 0 END, 6) AS tpr FROM ranked
+    f"""WITH {SCORED}, {ranked_sql('model, split')} SELECT model, split, round(s + 1e-9, 6) AS threshold,
+  round(CASE WHEN n_all - p_all > 0 THEN (cnt - tp) / (n_all - p_all) ELSE 0 END + 1e-9, 6) AS fpr,
+  round(CASE WHEN p_all > 0 THEN tp / p_all ELSE 0 END + 1e-9, 6) AS tpr FROM ranked
 UNION ALL SELECT DISTINCT model, split, CAST(NULL AS DOUBLE), 0e0, 0e0 FROM ranked""",
 )
 def receiver_curve(spark, sf_dir):
@@ -160,8 +160,8 @@ def measured(spark, sf_dir) -> DataFrame:
 
 @query(
     "split_metrics",
-    f"""{MS} SELECT model, split, round(auc_roc, 6) AS auc_roc, round(auprc, 6) AS auprc, round(recall, 6) AS recall,
-  round("precision", 6) AS "precision", round(f1, 6) AS f1 FROM m""",
+    f"""{MS} SELECT model, split, round(auc_roc + 1e-9, 6) AS auc_roc, round(auprc + 1e-9, 6) AS auprc, round(recall + 1e-9, 6) AS recall,
+  round("precision" + 1e-9, 6) AS "precision", round(f1 + 1e-9, 6) AS f1 FROM m""",
 )
 def split_metrics(spark, sf_dir):
     return rounded(evaluate(scored(spark, sf_dir), BY))
@@ -169,7 +169,7 @@ def split_metrics(spark, sf_dir):
 
 @query(
     "metrics_long",
-    f"{MS}, {long_metrics_sql('model, split')} SELECT model, split, metric, round(value, 6) AS value FROM ml",
+    f"{MS}, {long_metrics_sql('model, split')} SELECT model, split, metric, round(value + 1e-9, 6) AS value FROM ml",
 )
 def long_metrics(spark, sf_dir):
     """Metrics nested into a report and flattened again."""
@@ -180,8 +180,8 @@ def long_metrics(spark, sf_dir):
     "bias_variance",
     f"""{MS}, p AS (SELECT model, max(auprc) FILTER (split = 'train') AS a, max(auprc) FILTER (split = 'val') AS b,
   max(auprc) FILTER (split = 'test') AS c FROM m GROUP BY 1)
-SELECT model, round(a, 6) AS train_auprc, round(b, 6) AS val_auprc, round(c, 6) AS test_auprc,
-  round(abs(a - b), 6) AS train_val_gap_auprc, round(abs(a - c), 6) AS train_test_gap_auprc, round(abs(b - c), 6) AS val_test_gap_auprc,
+SELECT model, round(a + 1e-9, 6) AS train_auprc, round(b + 1e-9, 6) AS val_auprc, round(c + 1e-9, 6) AS test_auprc,
+  round(abs(a - b) + 1e-9, 6) AS train_val_gap_auprc, round(abs(a - c) + 1e-9, 6) AS train_test_gap_auprc, round(abs(b - c) + 1e-9, 6) AS val_test_gap_auprc,
   CASE WHEN a < 0.5e0 THEN 'HIGH BIAS (Underfitting)' WHEN abs(a - b) > 0.15e0 THEN 'HIGH VARIANCE (Overfitting)'
        WHEN abs(a - b) > 0.05e0 THEN 'MODERATE VARIANCE' ELSE 'GOOD FIT' END AS diagnosis FROM p""",
 )
@@ -192,7 +192,7 @@ def gaps(spark, sf_dir):
 @query(
     "best_model",
     f"""{MS}, o AS (SELECT *, row_number() OVER (PARTITION BY split ORDER BY auprc DESC, model) AS rn FROM m)
-SELECT split, model AS best_model, round(auprc, 6) AS best_auprc FROM o WHERE rn = 1""",
+SELECT split, model AS best_model, round(auprc + 1e-9, 6) AS best_auprc FROM o WHERE rn = 1""",
 )
 def best(spark, sf_dir):
     ranked = ranking_metrics(scored(spark, sf_dir), BY).withColumn("position", positions(SCORERS))
@@ -206,14 +206,14 @@ NUMERIC = [
     *[c for g, cs in FEATURE_GROUPS.items() if g != "raw_numeric" for c in cs],
 ]
 KS_SERIES = (
-    "list_sum(list_transform(range(1, 101), k -> CASE WHEN k % 2 = 1 THEN 1e0 ELSE -1e0 END * exp(-2e0 * k * k * lam * lam)))"
+    "list_sum(list_transform(range(1, 101), lambda k: CASE WHEN k % 2 = 1 THEN 1e0 ELSE -1e0 END * exp(-2e0 * k * k * @LAM * @LAM)))"
 )
 
 
 def _p_sql(d: str, n: str, m: str) -> str:
     en = f"(CAST({n} AS DOUBLE) * {m} / ({n} + {m}))"
     lam = f"((sqrt({en}) + 0.12e0 + 0.11e0 / sqrt({en})) * {d})"
-    series = KS_SERIES.replace("lam", lam)
+    series = KS_SERIES.replace("@LAM", lam)
     return f"CASE WHEN {lam} < 0.3e0 THEN 1e0 ELSE least(greatest(2 * {series}, 0e0), 1e0) END"
 
 
@@ -234,14 +234,14 @@ def ks_sql(columns, source: str = "feat") -> str:
 
 
 def train_and_test(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    features = split_features(transactions(spark, sf_dir), KEY, exact=False)
+    features = settled_features(transactions(spark, sf_dir), KEY)
     return features.where("split = 'train'"), features.where("split = 'test'")
 
 
 def both_sides(spark, sf_dir, columns: list[str]) -> DataFrame:
-    """Training rows as reference, test rows as current, from one pass over the table."""
+    """Training rows as reference, test rows as current, from the stored feature table."""
     side = F.when(F.col("split") == "train", F.lit("ref")).when(F.col("split") == "test", F.lit("cur"))
-    features = split_features(transactions(spark, sf_dir), KEY, exact=False)
+    features = settled_features(transactions(spark, sf_dir), KEY)
     return features.withColumn("side", side).where(F.col("side").isNotNull()).select("side", *columns)
 
 
@@ -251,7 +251,7 @@ _RAW_KS = ["amt", "unix_time", "city_pop"]
 @query(
     "ks_statistic",
     f"""WITH {TXN}, sp AS (SELECT *, {split_sql()} AS split FROM txn), {ks_sql(_RAW_KS, 'sp')}
-SELECT feature, CAST(na AS BIGINT) AS n_ref, CAST(nc AS BIGINT) AS n_cur, round(d_test, 6) AS ks_ref_cur FROM d""",
+SELECT feature, CAST(na AS BIGINT) AS n_ref, CAST(nc AS BIGINT) AS n_cur, round(d_test + 1e-9, 6) AS ks_ref_cur FROM d""",
 )
 def ks(spark, sf_dir):
     """Two-sample distances of raw columns."""
@@ -265,7 +265,7 @@ _DRIFT = f"WITH {FEATURES}, {ks_sql(NUMERIC)}, p AS (SELECT *, {_p_sql('d_test',
 
 @query(
     "feature_drift",
-    f"""{_DRIFT} SELECT feature, 'Kolmogorov-Smirnov' AS test, round(d_test, 6) AS statistic, round(pv, 6) AS p_value,
+    f"""{_DRIFT} SELECT feature, 'Kolmogorov-Smirnov' AS test, round(d_test + 1e-9, 6) AS statistic, round(pv + 1e-9, 6) AS p_value,
   pv < 0.05e0 AS drifted, 0.05e0 AS threshold FROM p""",
 )
 def drift(spark, sf_dir):
@@ -295,24 +295,24 @@ def summary(spark, sf_dir):
 
 @query(
     "split_shift",
-    f"""WITH {FEATURES}, {ks_sql([c for c in NUMERIC if c not in ("row_id", "is_fraud")])} SELECT feature, round(d_val, 6) AS ks_train_val,
-  round({_p_sql('d_val', 'na', 'nb')}, 6) AS p_train_val, round(d_test, 6) AS ks_train_test,
-  round({_p_sql('d_test', 'na', 'nc')}, 6) AS p_train_test FROM d""",
+    f"""WITH {FEATURES}, {ks_sql([c for c in NUMERIC if c not in ("row_id", "is_fraud")])} SELECT feature, round(d_val + 1e-9, 6) AS ks_train_val,
+  round({_p_sql('d_val', 'na', 'nb')} + 1e-9, 6) AS p_train_val, round(d_test + 1e-9, 6) AS ks_train_test,
+  round({_p_sql('d_test', 'na', 'nc')} + 1e-9, 6) AS p_train_test FROM d""",
 )
 def shift(spark, sf_dir):
     columns = [c for c in NUMERIC if c not in ("row_id", "is_fraud")]
-    rows = split_features(transactions(spark, sf_dir), KEY, exact=False)
+    rows = settled_features(transactions(spark, sf_dir), KEY)
     return rounded(split_shift(rows, columns, p_method="asymptotic"))
 
 
 @query(
     "top_shifted_features",
     f"""WITH {FEATURES}, {ks_sql([c for c in NUMERIC if c not in ("row_id", "is_fraud")])}
-SELECT feature, round(d_test, 6) AS ks_train_test FROM d ORDER BY d_test DESC, feature LIMIT 5""",
+SELECT feature, round(d_test + 1e-9, 6) AS ks_train_test FROM d ORDER BY d_test DESC, feature LIMIT 5""",
 )
 def top_shift(spark, sf_dir):
     columns = [c for c in NUMERIC if c not in ("row_id", "is_fraud")]
-    rows = split_features(transactions(spark, sf_dir), KEY, exact=False)
+    rows = settled_features(transactions(spark, sf_dir), KEY)
     shifted = split_shift(rows, columns, p_method="asymptotic").select("feature", "ks_train_test")
     return rounded(top_features(shifted, 5, "ks_train_test"))
 
@@ -336,8 +336,8 @@ def align(spark, sf_dir):
     f"""{_SIDED}, c AS (SELECT category, CAST(count(*) FILTER (split = 'train') AS DOUBLE) AS r, CAST(count(*) FILTER (split = 'test') AS DOUBLE) AS o
   FROM sp WHERE split IN ('train', 'test') GROUP BY 1), t AS (SELECT sum(r) AS rs, sum(o) AS os FROM c), x AS (
   SELECT sum(pow(o - r * os / rs, 2) / (r * os / rs)) AS x, count(*) AS k FROM c, t)
-SELECT 'category' AS feature, 'Chi-Square' AS test, round(x, 6) AS statistic, k AS categories, CAST(0 AS BIGINT) AS new_categories,
-  round(exp(-x / 2) * (1 + x / 2), 6) AS p_value, exp(-x / 2) * (1 + x / 2) < 0.05e0 AS drifted, 0.05e0 AS threshold FROM x""",
+SELECT 'category' AS feature, 'Chi-Square' AS test, round(x + 1e-9, 6) AS statistic, k AS categories, CAST(0 AS BIGINT) AS new_categories,
+  round(exp(-x / 2) * (1 + x / 2) + 1e-9, 6) AS p_value, exp(-x / 2) * (1 + x / 2) < 0.05e0 AS drifted, 0.05e0 AS threshold FROM x""",
 )
 def chi2(spark, sf_dir):
     """Five categories, so the tail has the closed form the oracle uses."""
@@ -353,8 +353,8 @@ def chi2(spark, sf_dir):
   SELECT i, exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(p0) + (n - i) * ln(1 - p0)) AS w
   FROM a, range(0, (SELECT n + 1 FROM a)) r(i)), pv AS (
   SELECT least(1e0, sum(w) FILTER (w <= (SELECT w FROM pm, a WHERE i = k) * (1 + 1e-7))) AS p FROM pm)
-SELECT round(p0, 6) AS reference_fraud_rate, round(k / CAST(n AS DOUBLE), 6) AS current_fraud_rate,
-  round(k / CAST(n AS DOUBLE) - p0, 6) AS fraud_rate_change, round(p, 6) AS p_value, p < 0.05e0 AS drifted, 0.05e0 AS threshold FROM a, pv""",
+SELECT round(p0 + 1e-9, 6) AS reference_fraud_rate, round(k / CAST(n AS DOUBLE) + 1e-9, 6) AS current_fraud_rate,
+  round(k / CAST(n AS DOUBLE) - p0 + 1e-9, 6) AS fraud_rate_change, round(p + 1e-9, 6) AS p_value, p < 0.05e0 AS drifted, 0.05e0 AS threshold FROM a, pv""",
 )
 def target(spark, sf_dir):
     rows = hash_split(transactions(spark, sf_dir), KEY)
@@ -377,11 +377,11 @@ def _psi_sql() -> str:
     return f"""WITH {FEATURES}, lf AS ({_long_features(_PSI)}), ed AS (
   SELECT feature, list_sort(list_distinct(quantile_cont(v, [0.1,0.2,0.3,0.4,0.5,0.6,0.7,0.8,0.9]))) AS e
   FROM lf WHERE side = 'train' GROUP BY 1), b AS (
-  SELECT feature, side, len(list_filter(e, x -> x <= v)) AS bin FROM lf JOIN ed USING (feature) WHERE side <> 'val'), c AS (
+  SELECT feature, side, len(list_filter(e, lambda x: x <= v)) AS bin FROM lf JOIN ed USING (feature) WHERE side <> 'val'), c AS (
   SELECT feature, bin, CAST(count(*) FILTER (side = 'train') AS DOUBLE) AS r, CAST(count(*) FILTER (side = 'test') AS DOUBLE) AS o FROM b GROUP BY 1, 2), s AS (
   SELECT feature, greatest(r / sum(r) OVER w, 1e-4) AS rs, greatest(o / sum(o) OVER w, 1e-4) AS os FROM c WINDOW w AS (PARTITION BY feature)), q AS (
   SELECT feature, sum((os - rs) * ln(os / rs)) AS psi FROM s GROUP BY 1)
-SELECT feature, round(psi, 6) AS psi, CASE WHEN psi >= 0.2e0 THEN 'alert' WHEN psi >= 0.1e0 THEN 'warn' ELSE 'ok' END AS status FROM q"""
+SELECT feature, round(psi + 1e-9, 6) AS psi, CASE WHEN psi >= 0.2e0 THEN 'alert' WHEN psi >= 0.1e0 THEN 'warn' ELSE 'ok' END AS status FROM q"""
 
 
 @query("psi", _psi_sql())
@@ -393,7 +393,7 @@ def psi(spark, sf_dir):
     "category_diff",
     f"""{_SIDED}, c AS (SELECT category AS category_value, CAST(count(*) FILTER (split = 'train') AS DOUBLE) AS r, CAST(count(*) FILTER (split = 'test') AS DOUBLE) AS o
   FROM sp WHERE split IN ('train', 'test') GROUP BY 1), s AS (SELECT category_value, r / sum(r) OVER () AS rs, o / sum(o) OVER () AS os FROM c)
-SELECT category_value, round(rs, 6) AS ref_share, round(os, 6) AS cur_share, round(abs(os - rs), 6) AS share_diff,
+SELECT category_value, round(rs + 1e-9, 6) AS ref_share, round(os + 1e-9, 6) AS cur_share, round(abs(os - rs) + 1e-9, 6) AS share_diff,
   CASE WHEN abs(os - rs) >= 0.2e0 THEN 'alert' WHEN abs(os - rs) >= 0.1e0 THEN 'warn' ELSE 'ok' END AS status FROM s""",
 )
 def category_diff(spark, sf_dir):
@@ -475,7 +475,7 @@ def challengers(spark, sf_dir) -> DataFrame:
     return registry(spark, sf_dir).where("version = 4").select("model_name", "run_id")
 
 
-@query("run_metrics", f"WITH {RUN_METRICS_SQL} SELECT run_id, name, round(value, 6) AS value FROM rm")
+@query("run_metrics", f"WITH {RUN_METRICS_SQL} SELECT run_id, name, round(value + 1e-9, 6) AS value FROM rm")
 def run_metric_rows(spark, sf_dir):
     return rounded(run_table(spark, sf_dir))
 
@@ -487,11 +487,12 @@ def run_metric_rows(spark, sf_dir):
   SELECT run_id, regexp_extract(name, '^(.*)_val_(auprc|recall|precision)$', 1) AS mk, regexp_extract(name, '^(.*)_val_(auprc|recall|precision)$', 2) AS mm, value FROM kept), cand AS (
   SELECT run_id, mk, max(value) FILTER (mm = 'auprc') AS a, max(value) FILTER (mm = 'recall') AS r, max(value) FILTER (mm = 'precision') AS p
   FROM x WHERE mm <> '' AND mk <> 'best' GROUP BY 1, 2), pick AS (
-  SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY (a IS NULL OR r IS NULL OR p IS NULL), coalesce(a, 0) DESC, mk) AS rn FROM cand)
-SELECT k.run_id, round(CASE WHEN k.run_id LIKE '%-w1' THEN plain.a ELSE coalesce(k.a, 0) END, 6) AS val_auprc,
-  round(CASE WHEN k.run_id LIKE '%-w1' THEN plain.r ELSE coalesce(k.r, 0) END, 6) AS val_recall,
-  round(CASE WHEN k.run_id LIKE '%-w1' THEN plain.p ELSE coalesce(k.p, 0) END, 6) AS val_precision
-FROM pick k JOIN plain ON k.run_id = plain.run_id WHERE rn = 1""",
+  SELECT run_id, coalesce(a, 0) AS a, coalesce(r, 0) AS r, coalesce(p, 0) AS p,
+    row_number() OVER (PARTITION BY run_id ORDER BY (a IS NULL OR r IS NULL OR p IS NULL), coalesce(a, 0) DESC, mk) AS rn FROM cand)
+SELECT plain.run_id, round(CASE WHEN plain.run_id LIKE '%-w1' THEN plain.a ELSE k.a END + 1e-9, 6) AS val_auprc,
+  round(CASE WHEN plain.run_id LIKE '%-w1' THEN plain.r ELSE k.r END + 1e-9, 6) AS val_recall,
+  round(CASE WHEN plain.run_id LIKE '%-w1' THEN plain.p ELSE k.p END + 1e-9, 6) AS val_precision
+FROM plain LEFT JOIN pick k ON k.run_id = plain.run_id AND rn = 1""",
 )
 def normalised_runs(spark, sf_dir):
     """Runs of the first week keep their plain names, all others only have per-model names."""
@@ -508,8 +509,8 @@ def champion(spark, sf_dir):
 
 @query(
     "promotion_gate",
-    f"""WITH {GATE_SQL} SELECT model_name, promoted, reason, round(cr, 6) AS challenger_recall, round(pr, 6) AS champion_recall,
-  round(cp, 6) AS challenger_precision, round(rp, 6) AS required_precision FROM gated""",
+    f"""WITH {GATE_SQL} SELECT model_name, promoted, reason, round(cr + 1e-9, 6) AS challenger_recall, round(pr + 1e-9, 6) AS champion_recall,
+  round(cp + 1e-9, 6) AS challenger_precision, round(rp + 1e-9, 6) AS required_precision FROM gated""",
 )
 def gate(spark, sf_dir):
     table, reg = run_table(spark, sf_dir), registry(spark, sf_dir)
@@ -553,7 +554,7 @@ def variants(spark, sf_dir) -> DataFrame:
 
 @query(
     "tuning_comparison",
-    f"{MS}, {_VARIANTS} SELECT model, split, round(baseline, 6) AS baseline, round(tuned, 6) AS tuned, round(tuned - baseline, 6) AS improvement FROM v",
+    f"{MS}, {_VARIANTS} SELECT model, split, round(baseline + 1e-9, 6) AS baseline, round(tuned + 1e-9, 6) AS tuned, round(tuned - baseline + 1e-9, 6) AS improvement FROM v",
 )
 def comparison(spark, sf_dir):
     return rounded(tuning_comparison(variants(spark, sf_dir)))
@@ -561,7 +562,7 @@ def comparison(spark, sf_dir):
 
 @query(
     "improvement_flags",
-    f"""{MS}, {_VARIANTS} SELECT coalesce(bool_or(tuned - baseline > 0), false) AS any_improved, round(max(abs(tuned - baseline)), 6) AS max_abs_change,
+    f"""{MS}, {_VARIANTS} SELECT coalesce(bool_or(tuned - baseline > 0), false) AS any_improved, round(max(abs(tuned - baseline)) + 1e-9, 6) AS max_abs_change,
   coalesce(max(abs(tuned - baseline)) < 0.01e0, false) AS near_optimal FROM v WHERE split = 'test'""",
 )
 def flags(spark, sf_dir):

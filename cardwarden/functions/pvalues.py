@@ -40,6 +40,7 @@ def ks_exact_tail(d: float, n: int, m: int) -> float:
     after ``s`` merged values, ``i`` of them from the first sample, the two empirical distribution
     functions have stayed closer than ``d``. Advancing ``s`` is one vector step.
     """
+    n, m = min(n, m), max(n, m)  # the event is symmetric, the shorter vector is cheaper
     limit = round(d * n * m)
     if limit <= 0:
         return 1.0

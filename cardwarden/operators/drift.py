@@ -15,7 +15,7 @@ from cardwarden.functions import pvalues
 from cardwarden.operators.ordered import (
     add_buckets,
     bucket_offsets,
-    default_buckets,
+    choose_buckets,
     running_totals,
     to_long,
 )
@@ -49,27 +49,43 @@ def ks_distances(
 ) -> DataFrame:
     """Exact two-sample distances, one row per feature with rows on both sides of every pair.
 
-    Columns: ``feature, n_<side>..., ks_<a>_<b>...``. A first pass counts rows per bucket, which
-    gives the distance at all bucket borders and, for the inside of a bucket, an upper limit. Only
-    buckets whose limit exceeds the best border distance are shuffled and sorted row by row; the
-    others cannot hold the maximum.
+    Columns: ``feature, n_<side>..., ks_<a>_<b>...``. On a large table a first pass counts rows per
+    bucket, which gives the distance at all bucket borders and, for the inside of a bucket, an
+    upper limit. Only buckets whose limit exceeds the best border distance are shuffled and sorted
+    row by row; the others cannot hold the maximum. ``df`` is read up to three times, so it should
+    be a stored table.
     """
-    buckets = buckets or default_buckets(df)
     columns = [f"n_{s}" for s in sides]
     wide = df.select("side", *features).where(F.col("side").isin(sides))
+    buckets = choose_buckets(wide) if buckets is None else buckets
     long = to_long(add_buckets(wide, features, buckets), ["side"], features)
 
     def side_counts() -> list[Column]:
         return [F.count_if(F.col("side") == s).alias(f"n_{s}") for s in sides]
 
+    def share(side: str, suffix: str) -> Column:
+        return F.col(f"n_{side}{suffix}") / F.col(f"n_{side}_all")
+
+    def distance(a: str, b: str, suffix: str) -> Column:
+        return F.abs(share(a, suffix) - share(b, suffix))
+
+    if buckets <= 1:
+        collapsed = long.groupBy("feature", "bucket", "value").agg(*side_counts())
+        running = running_totals(collapsed, ["feature"], columns, buckets=1)
+        return (
+            running.where(reduce(Column.__and__, [F.col(f"{c}_all") > 0 for c in columns]))
+            .groupBy("feature")
+            .agg(
+                *[F.max(f"{c}_all").alias(c) for c in columns],
+                *[F.max(distance(a, b, "_upto")).alias(f"ks_{a}_{b}") for a, b in pairs],
+            )
+        )
+
     totals = long.groupBy("feature", "bucket").agg(*side_counts())
     offsets = bucket_offsets(totals, ["feature"], columns).where(
         reduce(Column.__and__, [F.col(f"{c}_all") > 0 for c in columns])
     )
 
-    def share(side: str, suffix: str) -> Column:
-        return F.col(f"n_{side}{suffix}") / F.col(f"n_{side}_all")
-
     feature_window = Window.partitionBy("feature")
     borders, limits = {}, []
     for a, b in pairs:
@@ -92,7 +108,7 @@ def ks_distances(
     )
     inner = inside.groupBy("feature").agg(
         *[
-            F.max(F.abs(share(a, "_upto") - share(b, "_upto"))).alias(f"inner_{a}_{b}")
+            F.max(distance(a, b, "_upto")).alias(f"inner_{a}_{b}")
             for a, b in pairs
         ]
     )

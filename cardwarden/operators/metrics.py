@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardwarden.operators.ordered import add_buckets, default_buckets, running_totals
+from cardwarden.operators.ordered import add_buckets, choose_buckets, running_totals
 
 # Diagnosis limits and texts, class names of the report.
 LOW_TRAIN_METRIC = 0.5
@@ -38,13 +38,12 @@ def ranked_scores(
     least as high, ``pos_all`` and ``n_all`` the group.
     """
     narrow = df.select(*by, F.col(label).cast("int").alias("y"), F.col(score).cast("double").alias("value"))
-    marked = add_buckets(narrow, ["value"], buckets or default_buckets(df)).withColumnRenamed(
-        "value_bucket", "bucket"
-    )
+    buckets = choose_buckets(narrow) if buckets is None else buckets
+    marked = add_buckets(narrow, ["value"], buckets).withColumnRenamed("value_bucket", "bucket")
     collapsed = marked.groupBy(*by, "bucket", "value").agg(
         F.sum("y").alias("pos"), F.count(F.lit(1)).alias("n")
     )
-    return running_totals(collapsed, by, ["pos", "n"], descending=True)
+    return running_totals(collapsed, by, ["pos", "n"], descending=True, buckets=buckets)
 
 
 def ranking_metrics(

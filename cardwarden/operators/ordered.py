@@ -16,12 +16,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def default_buckets(df: DataFrame) -> int:
-    """As many buckets as the cluster was sized to have shuffle partitions, within reason.
+#: Rows that one task sorts comfortably; below it a table needs no buckets at all.
+ROWS_PER_BUCKET = 1_000_000
+#: Keeps the quantile sketch of one task at a few hundred kB per column.
+MAX_BUCKETS = 4096
 
-    The upper end keeps the quantile sketch of one task at about 100 kB per column.
-    """
-    return max(2, min(2048, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+
+def choose_buckets(df: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
+    """Buckets by counted size. Inputs that are costly to recompute should be stored first."""
+    return max(1, min(MAX_BUCKETS, math.ceil(df.count() / rows_per_bucket)))
 
 
 def add_buckets(df: DataFrame, columns: list[str], buckets: int) -> DataFrame:
@@ -30,46 +33,47 @@ def add_buckets(df: DataFrame, columns: list[str], buckets: int) -> DataFrame:
     One pass merges quantile sketches of all columns as a tree; ``columns x buckets`` borders reach
     the driver. Values are compared as doubles; missing values get a bucket nobody reads.
     """
-    number = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in columns}
+    if buckets <= 1:
+        return df.withColumns({f"{c}_bucket": F.lit(0.0) for c in columns})
+    number = {c: _number(c) for c in columns}
     steps = [i / buckets for i in range(1, buckets)]
     sketch = df.select(*[number[c].alias(c) for c in columns]).approxQuantile(
         columns, steps, 0.5 / buckets
     )
-    marked = df
-    with_borders = []
-    for c, quantiles in zip(columns, sketch):
-        borders = sorted(set(quantiles))
-        if borders:
-            with_borders.append((c, [-math.inf, *borders, math.inf]))
-        else:
-            marked = marked.withColumn(f"{c}_bucket", F.lit(0.0))
-    if with_borders:
-        marked = marked.withColumns({f"{c}_value": number[c] for c, _ in with_borders})
+    borders = {c: sorted(set(quantiles)) for c, quantiles in zip(columns, sketch)}
+    cut = [c for c in columns if borders[c]]
+    marked = df.withColumns(
+        {
+            **{f"{c}_value": number[c] for c in cut},
+            **{f"{c}_bucket": F.lit(0.0) for c in columns if not borders[c]},
+        }
+    )
+    if cut:
         marked = Bucketizer(
-            inputCols=[f"{c}_value" for c, _ in with_borders],
-            outputCols=[f"{c}_bucket" for c, _ in with_borders],
-            splitsArray=[b for _, b in with_borders],
+            inputCols=[f"{c}_value" for c in cut],
+            outputCols=[f"{c}_bucket" for c in cut],
+            splitsArray=[[-math.inf, *borders[c], math.inf] for c in cut],
             handleInvalid="keep",
         ).transform(marked)
-        marked = marked.drop(*[f"{c}_value" for c, _ in with_borders])
-    return marked
+    return marked.drop(*[f"{c}_value" for c in cut])
+
+
+def _number(column: str) -> Column:
+    """A numeric column as a double, with NaN treated as missing."""
+    return F.nanvl(F.col(column).cast("double"), F.lit(None).cast("double"))
 
 
 def to_long(df: DataFrame, ids: list[str], columns: list[str]) -> DataFrame:
     """Rows ``(ids, feature, bucket, value)`` of bucketed columns, missing values left out."""
-    pairs = [
+    entries = [
         F.struct(
-            F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias("value"),
+            F.lit(c).alias("feature"),
             F.col(f"{c}_bucket").cast("int").alias("bucket"),
-        ).alias(c)
+            _number(c).alias("value"),
+        )
         for c in columns
     ]
-    return (
-        df.select(*ids, *pairs)
-        .unpivot(ids, columns, "feature", "pair")
-        .select(*ids, "feature", F.col("pair.bucket").alias("bucket"), F.col("pair.value").alias("value"))
-        .where(F.col("value").isNotNull())
-    )
+    return df.select(*ids, F.inline(F.array(*entries))).where(F.col("value").isNotNull())
 
 
 def bucket_offsets(
@@ -96,22 +100,27 @@ def running_totals(
     by: list[str],
     measures: list[str],
     descending: bool = False,
+    buckets: int = 2,
     offsets: DataFrame | None = None,
 ) -> DataFrame:
-    """Inclusive running totals ``<m>_upto`` over ``value`` inside each group.
+    """Inclusive running totals ``<m>_upto`` and group totals ``<m>_all`` over ``value``.
 
     ``collapsed`` has one row per ``by + [bucket, value]`` with summed measures. ``offsets`` may be
     passed when ``collapsed`` holds only some of the buckets.
     """
+    order = F.col("value").desc() if descending else F.col("value").asc()
+    whole = Window.partitionBy(*by, "bucket")
+    inside = whole.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    if buckets <= 1:
+        return collapsed.withColumns(
+            {
+                **{f"{m}_upto": F.sum(m).over(inside) for m in measures},
+                **{f"{m}_all": F.sum(m).over(whole) for m in measures},
+            }
+        )
     if offsets is None:
         totals = collapsed.groupBy(*by, "bucket").agg(*[F.sum(m).alias(m) for m in measures])
         offsets = bucket_offsets(totals, by, measures, descending)
-    order = F.col("value").desc() if descending else F.col("value").asc()
-    inside = (
-        Window.partitionBy(*by, "bucket")
-        .orderBy(order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
     # Both sides are hash-partitioned by group and bucket, so the join adds no shuffle of rows.
     return (
         collapsed.withColumns({f"{m}_inside": F.sum(m).over(inside) for m in measures})
@@ -121,56 +130,46 @@ def running_totals(
     )
 
 
-def _at_rank(rank: Column) -> Column:
-    """Smallest value whose running count passes a zero-based rank."""
-    return F.min(F.when(F.col("n_upto") > rank, F.col("value")))
-
-
 def exact_quantiles(
     df: DataFrame, columns: list[str], fractions: list[float], buckets: int | None = None
 ) -> DataFrame:
     """Rows ``(feature, fraction, value)`` with linear interpolation between neighbours.
 
-    A counting pass finds the buckets that hold the wanted ranks; only rows of those buckets are
-    shuffled and sorted. (A plain exact percentile keeps every distinct value in one task.)
+    On a large table a counting pass finds the buckets that hold the wanted ranks; only rows of
+    those buckets are shuffled and sorted. (A plain exact percentile keeps every distinct value in
+    one task.)
     """
-    buckets = buckets or default_buckets(df)
-    long = to_long(add_buckets(df.select(*columns), columns, buckets), [], columns)
-    counts = long.groupBy("feature", "bucket").agg(F.count(F.lit(1)).alias("n"))
-    offsets = bucket_offsets(counts, ["feature"], ["n"])
-    wanted = F.explode(F.array(*[F.lit(float(q)) for q in fractions]))
-    position = F.col("fraction") * (F.col("n_all") - 1)
-    located = (
-        offsets.withColumn("fraction", wanted)
-        .withColumns({"low": F.floor(position), "high": F.ceil(position), "position": position})
-        .where(
-            F.col("low").between(F.col("n_before"), F.col("n_before") + F.col("n") - 1)
-            | F.col("high").between(F.col("n_before"), F.col("n_before") + F.col("n") - 1)
+    narrow = df.select(*columns)
+    buckets = choose_buckets(narrow) if buckets is None else buckets
+    long = to_long(add_buckets(narrow, columns, buckets), [], columns)
+    wanted = F.explode(F.array(*[F.lit(float(q)) for q in fractions])).alias("fraction")
+
+    def with_ranks(counted: DataFrame, first: Column, last: Column) -> DataFrame:
+        """Keep what covers, from rank ``first`` to ``last``, a neighbour of a wanted position."""
+        position = F.col("fraction") * (F.col("n_all") - 1)
+        return (
+            counted.select("*", wanted)
+            .withColumns({"position": position, "low": F.floor(position), "high": F.ceil(position)})
+            .where(F.col("low").between(first, last) | F.col("high").between(first, last))
         )
-    )
-    # At most two buckets per feature and fraction.
-    needed = located.select("feature", "bucket").distinct()
-    collapsed = (
-        long.join(F.broadcast(needed), ["feature", "bucket"], "left_semi")
-        .groupBy("feature", "bucket", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    inside = (
-        Window.partitionBy("feature", "bucket")
-        .orderBy("value")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    ranked = collapsed.withColumn("n_inside", F.sum("n").over(inside)).drop("n")
-    hits = ranked.join(
-        F.broadcast(located.select("feature", "bucket", "fraction", "low", "high", "position", "n_before")),
-        ["feature", "bucket"],
-    ).withColumn("n_upto", F.col("n_before") + F.col("n_inside"))
-    return (
-        hits.groupBy("feature", "fraction", "low", "high", "position")
-        .agg(_at_rank(F.col("low")).alias("lower"), _at_rank(F.col("high")).alias("upper"))
-        .select(
-            "feature",
-            "fraction",
-            (F.col("lower") + (F.col("upper") - F.col("lower")) * (F.col("position") - F.col("low"))).alias("value"),
+
+    offsets = None
+    if buckets > 1:
+        counts = long.groupBy("feature", "bucket").agg(F.count(F.lit(1)).alias("n"))
+        before = F.col("n_before")
+        located = with_ranks(
+            bucket_offsets(counts, ["feature"], ["n"]), before, before + F.col("n") - 1
         )
-    )
+        # At most two buckets per feature and fraction.
+        offsets = located.select("feature", "bucket", "n", "n_before", "n_all").distinct()
+        long = long.join(
+            F.broadcast(offsets.select("feature", "bucket")), ["feature", "bucket"], "left_semi"
+        )
+    collapsed = long.groupBy("feature", "bucket", "value").agg(F.count(F.lit(1)).alias("n"))
+    ranked = running_totals(collapsed, ["feature"], ["n"], buckets=buckets, offsets=offsets)
+    hits = with_ranks(ranked, F.col("n_upto") - F.col("n"), F.col("n_upto") - 1)
+    # One or two rows per feature and fraction are left.
+    lower, upper = F.min("value"), F.max("value")
+    return hits.groupBy("feature", "fraction", "position", "low").agg(
+        (lower + (upper - lower) * (F.col("position") - F.col("low"))).alias("value")
+    ).select("feature", "fraction", "value")

@@ -150,10 +150,17 @@ def quarantine(df: DataFrame, rules: list[Rule] | None = None) -> tuple[DataFram
 
 
 def null_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Missing values per column and over all columns (``column_name`` NULL for the total)."""
+    """Missing values per column, and over all columns as ``(total)``."""
     columns = columns or df.columns
     counted = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
     total = sum((F.col(c) for c in columns), F.lit(0).cast("bigint"))
     entries = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("nulls")) for c in columns]
     entries.append(F.struct(F.lit("(total)").alias("column_name"), total.alias("nulls")))
     return counted.select(F.inline(F.array(*entries)))
+
+
+def filled_counts(df: DataFrame) -> DataFrame:
+    """Rows with a value, per column."""
+    counted = df.agg(*[F.count(c).alias(c) for c in df.columns])
+    entries = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("filled")) for c in df.columns]
+    return counted.select(F.inline(F.array(*entries)))

@@ -20,7 +20,11 @@ def build_session(
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     if master:
-        builder = builder.master(master).config("spark.ui.enabled", "false")
+        builder = (
+            builder.master(master)
+            .config("spark.ui.enabled", "false")
+            .config("spark.ui.showConsoleProgress", "false")
+        )
         if master.startswith("local"):
             builder = builder.config("spark.driver.bindAddress", "127.0.0.1").config(
                 "spark.driver.host", "127.0.0.1"
