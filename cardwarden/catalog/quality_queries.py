@@ -61,6 +61,7 @@ from cardwarden.plans.prepare import settled_features
 from cardwarden.plans.promote import promote
 from cardwarden.plans.train import positions
 from cardwarden.schema import FEATURE_GROUPS, GROUP_STATS
+from cardwarden.session import settle
 
 BY = ["model", "split"]
 MS = f"WITH {SCORED}, {metrics_sql('model, split')}"
@@ -471,8 +472,8 @@ def registry(spark, sf_dir) -> DataFrame:
     )
 
 
-def challengers(spark, sf_dir) -> DataFrame:
-    return registry(spark, sf_dir).where("version = 4").select("model_name", "run_id")
+def challengers(registered: DataFrame) -> DataFrame:
+    return registered.where("version = 4").select("model_name", "run_id")
 
 
 @query("run_metrics", f"WITH {RUN_METRICS_SQL} SELECT run_id, name, round(value + 1e-9, 6) AS value FROM rm")
@@ -513,8 +514,8 @@ def champion(spark, sf_dir):
   round(cp + 1e-9, 6) AS challenger_precision, round(rp + 1e-9, 6) AS required_precision FROM gated""",
 )
 def gate(spark, sf_dir):
-    table, reg = run_table(spark, sf_dir), registry(spark, sf_dir)
-    measured_runs = challengers(spark, sf_dir).join(promotion_metrics(table), "run_id", "left")
+    table, reg = settle(run_table(spark, sf_dir)), settle(registry(spark, sf_dir))
+    measured_runs = challengers(reg).join(promotion_metrics(table), "run_id", "left")
     return rounded(promotion_gate(measured_runs, champion_metrics(reg, table)))
 
 
@@ -524,7 +525,8 @@ def gate(spark, sf_dir):
   promoted, reason FROM gated g LEFT JOIN champions c ON g.model_name = c.model_name""",
 )
 def promotion(spark, sf_dir):
-    out, _ = promote(challengers(spark, sf_dir), run_table(spark, sf_dir), registry(spark, sf_dir))
+    reg = settle(registry(spark, sf_dir))
+    out, _ = promote(challengers(reg), settle(run_table(spark, sf_dir)), reg)
     return out.select("model_name", "challenger_run_id", "champion_run_id", "champion_version", "promoted", "reason")
 
 
@@ -537,8 +539,8 @@ FROM registry r LEFT JOIN pr ON r.model_name = pr.model_name
 UNION ALL SELECT pr.model_name, (SELECT max(version) FROM registry x WHERE x.model_name = pr.model_name) + 1, 'Production', 'champion', pr.run_id FROM pr""",
 )
 def promoted_registry(spark, sf_dir):
-    chosen = challengers(spark, sf_dir).where("model_name <> 'detector-view'")
-    return apply_promotions(registry(spark, sf_dir), chosen)
+    reg = settle(registry(spark, sf_dir))
+    return apply_promotions(reg, challengers(reg).where("model_name <> 'detector-view'"))
 
 
 # --------------------------------------------------------------------------- baseline against tuned

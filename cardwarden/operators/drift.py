@@ -16,6 +16,7 @@ from cardwarden.operators.ordered import (
     add_buckets,
     bucket_offsets,
     choose_buckets,
+    feature_names,
     running_totals,
     to_long,
 )
@@ -72,7 +73,7 @@ def ks_distances(
     if buckets <= 1:
         collapsed = long.groupBy("feature", "bucket", "value").agg(*side_counts())
         running = running_totals(collapsed, ["feature"], columns, buckets=1)
-        return (
+        result = (
             running.where(reduce(Column.__and__, [F.col(f"{c}_all") > 0 for c in columns]))
             .groupBy("feature")
             .agg(
@@ -80,6 +81,7 @@ def ks_distances(
                 *[F.max(distance(a, b, "_upto")).alias(f"ks_{a}_{b}") for a, b in pairs],
             )
         )
+        return feature_names(result, features)
 
     totals = long.groupBy("feature", "bucket").agg(*side_counts())
     offsets = bucket_offsets(totals, ["feature"], columns).where(
@@ -115,7 +117,7 @@ def ks_distances(
     outer = bounded.groupBy("feature").agg(
         *[F.max(f"{c}_all").alias(c) for c in columns], *[F.max(b).alias(b) for b in borders]
     )
-    return outer.join(inner, "feature", "left").select(
+    result = outer.join(inner, "feature", "left").select(
         "feature",
         *columns,
         *[
@@ -123,6 +125,7 @@ def ks_distances(
             for a, b in pairs
         ],
     )
+    return feature_names(result, features)
 
 
 def ks_p_value(statistic: Column, n: Column, m: Column, method: str = "auto") -> Column:

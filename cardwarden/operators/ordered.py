@@ -64,18 +64,28 @@ def _number(column: str) -> Column:
 
 
 def to_long(df: DataFrame, ids: list[str], columns: list[str]) -> DataFrame:
-    """Rows ``(ids, feature, bucket, value)`` of bucketed columns, missing values left out."""
+    """Rows ``(ids, feature, bucket, value)`` of bucketed columns, missing values left out.
+
+    ``feature`` is the column's position, which keeps names out of the shuffles;
+    :func:`feature_names` restores them on the few result rows.
+    """
     entries = [
         F.struct(
-            F.lit(c).alias("feature"),
+            F.lit(i).alias("feature"),
             F.col(f"{c}_bucket").cast("int").alias("bucket"),
             _number(c).alias("value"),
         )
-        for c in columns
+        for i, c in enumerate(columns)
     ]
     return df.select(*ids, F.inline(F.array(*entries))).where(F.col("value").isNotNull())
 
 
+def feature_names(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Positions in ``feature`` back to column names."""
+    names = F.array(*[F.lit(c) for c in columns])
+    return df.withColumn("feature", F.element_at(names, F.col("feature") + 1))
+
+
 def bucket_offsets(
     totals: DataFrame, by: list[str], measures: list[str], descending: bool = False
 ) -> DataFrame:
@@ -170,6 +180,7 @@ def exact_quantiles(
     hits = with_ranks(ranked, F.col("n_upto") - F.col("n"), F.col("n_upto") - 1)
     # One or two rows per feature and fraction are left.
     lower, upper = F.min("value"), F.max("value")
-    return hits.groupBy("feature", "fraction", "position", "low").agg(
+    result = hits.groupBy("feature", "fraction", "position", "low").agg(
         (lower + (upper - lower) * (F.col("position") - F.col("low"))).alias("value")
-    ).select("feature", "fraction", "value")
+    )
+    return feature_names(result, columns).select("feature", "fraction", "value")

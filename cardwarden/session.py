@@ -18,6 +18,7 @@ def build_session(
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if master:
         builder = (
@@ -26,8 +27,10 @@ def build_session(
             .config("spark.ui.showConsoleProgress", "false")
         )
         if master.startswith("local"):
-            builder = builder.config("spark.driver.bindAddress", "127.0.0.1").config(
-                "spark.driver.host", "127.0.0.1"
+            builder = (
+                builder.config("spark.driver.bindAddress", "127.0.0.1")
+                .config("spark.driver.host", "127.0.0.1")
+                .config("spark.driver.memory", "8g")
             )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
