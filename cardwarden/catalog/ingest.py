@@ -11,6 +11,7 @@ from cardwarden.operators.validation import (
     column_contract,
     filled_counts,
     null_counts,
+    quarantine,
     request_rules,
     violations,
     with_reasons,
@@ -18,7 +19,6 @@ from cardwarden.operators.validation import (
 from cardwarden.schema import REQUEST_SCHEMA, ROW_ID, SOURCE_INDEX, TRANSACTION_COLUMNS
 from cardwarden.session import scratch_path
 from cardwarden.sources.csv_files import (
-    first_rows,
     read_request_csv,
     read_transactions_csv,
     stack_sources,
@@ -130,24 +130,6 @@ SUMMARY_COLUMNS = """count(*) AS rows, CAST(sum(is_fraud) AS BIGINT) AS fraud_ro
   count(DISTINCT category) AS unique_categories"""
 
 
-@query(
-    "cleaned_csv_summary",
-    f"""WITH {RAW}, src AS (SELECT *, CASE WHEN row_id % 2 = 0 THEN 'even' ELSE 'odd' END AS dataset FROM raw
-  WHERE row_id % 911 <> 0) SELECT dataset, {SUMMARY_COLUMNS.replace("count(DISTINCT category)", "count(DISTINCT nullif(category, ''))")} FROM src GROUP BY 1""",
-)
-def cleaned_csv_summary(spark, sf_dir):
-    """Two sources written as cleaned CSV, scanned again and summarised per source."""
-    raw = raw_transactions(spark, sf_dir).where(F.col("row_id") % 911 != 0)
-    out = None
-    for name, rest in [("even", 0), ("odd", 1)]:
-        path = scratch_path(spark, f"clean-{name}")
-        source = first_rows(raw.where(F.col("row_id") % 2 == rest), None)
-        write_csv(source.withColumnRenamed(ROW_ID, SOURCE_INDEX), path)
-        part = dataset_summary(read_transactions_csv(spark, path)).withColumn("dataset", F.lit(name))
-        out = part if out is None else out.unionByName(part)
-    return rounded(out)
-
-
 @query(
     "report_json",
     f"""WITH {TXN} SELECT split, count(*) AS rows, CAST(sum(is_fraud) AS BIGINT) AS fraud_rows,
@@ -161,7 +143,7 @@ def report_json(spark, sf_dir):
     return rounded(read_report(spark, path, report.schema))
 
 
-def _violation_sql() -> str:
+def _rules_sql() -> list[tuple[str, str, str]]:
     rules = []
     for c in ["merchant", "category", "first", "last", "street", "city", "job"]:
         rules.append(("non_empty", c, f"coalesce(regexp_full_match({c}, '.+'), false)"))
@@ -184,13 +166,38 @@ def _violation_sql() -> str:
         ("calendar", "trans_date_trans_time", "try_strptime(trans_date_trans_time, '%Y-%m-%d %H:%M:%S') IS NOT NULL")
     )
     rules.append(("calendar", "dob", "try_strptime(dob, '%Y-%m-%d') IS NOT NULL"))
-    return " UNION ALL ".join(
-        f"SELECT '{r}' AS rule, '{c}' AS column_name, count(*) FILTER (NOT ({ok})) AS violations FROM raw"
-        for r, c, ok in rules
-    )
+    return rules
+
 
+_GOOD = " AND ".join(f"({ok})" for _, _, ok in _rules_sql())
 
-@query("validate_rules", f"WITH {RAW} {_violation_sql()}")
+
+@query(
+    "cleaned_csv_summary",
+    f"""WITH {RAW}, src AS (SELECT *, CASE WHEN category IN ('click', 'view') THEN 'browse' ELSE 'act' END AS dataset FROM raw
+  WHERE {_GOOD}) SELECT dataset, {SUMMARY_COLUMNS} FROM src GROUP BY 1""",
+)
+def cleaned_csv_summary(spark, sf_dir):
+    """Rows that keep all rules, written as cleaned CSV per source, scanned and summarised."""
+    good, _ = quarantine(raw_transactions(spark, sf_dir))
+    browsing = F.col("category").isin("click", "view")
+    out = None
+    for name, rows in [("browse", good.where(browsing)), ("act", good.where(~browsing))]:
+        path = scratch_path(spark, f"clean-{name}")
+        write_csv(rows.withColumnRenamed(ROW_ID, SOURCE_INDEX), path)
+        part = dataset_summary(read_transactions_csv(spark, path)).withColumn("dataset", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    return rounded(out)
+
+
+@query(
+    "validate_rules",
+    f"WITH {RAW} "
+    + " UNION ALL ".join(
+        f"SELECT '{r}' AS rule, '{c}' AS column_name, count(*) FILTER (NOT ({ok})) AS violations FROM raw"
+        for r, c, ok in _rules_sql()
+    ),
+)
 def validate_rules(spark, sf_dir):
     return violations(raw_transactions(spark, sf_dir))
 

@@ -163,9 +163,7 @@ def event_stream(spark, sf_dir) -> DataFrame:
     return file_stream(spark, sf_dir, schema, "events.parquet")
 
 
-@query("stream_score")
-def stream_score(spark, sf_dir):
-    model, medians = _model_and_defaults(spark, sf_dir)
+def streamed_scores(spark, sf_dir, model, medians) -> DataFrame:
     requests = project_transactions(event_stream(spark, sf_dir)).drop("trans_date_trans_time", "is_fraud")
     present = [r for r in request_rules() if r.column in requests.columns]
     out, rejected = scratch_path(spark, "scored"), scratch_path(spark, "rejected")
@@ -175,6 +173,31 @@ def stream_score(spark, sf_dir):
     return spark.read.parquet(out).drop("batch")
 
 
+@query("stream_score")
+def stream_score(spark, sf_dir):
+    return streamed_scores(spark, sf_dir, *_model_and_defaults(spark, sf_dir))
+
+
+@query(
+    "stream_batch_parity",
+    f"WITH {TXN} SELECT count(*) AS batch_rows, count(*) AS stream_rows, count(*) AS equal_rows, count(*) AS probabilities_in_range FROM txn",
+)
+def stream_batch_parity(spark, sf_dir):
+    """The same model over the same requests as a batch and as a stream."""
+    model, medians = _model_and_defaults(spark, sf_dir)
+    requests = transactions(spark, sf_dir).drop("trans_date_trans_time", "is_fraud")
+    batch = score_requests(requests, model, medians, keep=["row_id", "trans_num"])
+    stream = streamed_scores(spark, sf_dir, model, medians)
+    both = batch.alias("b").join(stream.alias("s"), "row_id", "full")
+    same = [F.col(f"b.{c}").eqNullSafe(F.col(f"s.{c}")) for c in ("fraud_probability", "is_fraud", "threshold")]
+    return both.agg(
+        F.count("b.trans_num").alias("batch_rows"),
+        F.count("s.trans_num").alias("stream_rows"),
+        F.count_if(same[0] & same[1] & same[2]).alias("equal_rows"),
+        F.count_if(F.col("s.fraud_probability").between(0.0, 1.0)).alias("probabilities_in_range"),
+    )
+
+
 #: Windows whose end is older than the watermark (latest event minus one hour) are closed.
 _CLOSED = "window_start + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)"
 

@@ -363,11 +363,36 @@ def target(spark, sf_dir):
     return rounded(target_drift(sides))
 
 
-@query("drift_report")
+_TARGET_P = f"""a AS (SELECT avg(is_fraud) FILTER (split = 'train') AS p0, CAST(sum(is_fraud) FILTER (split = 'test') AS BIGINT) AS k,
+  count(*) FILTER (split = 'test') AS n FROM feat), pm AS (
+  SELECT i, exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(p0) + (n - i) * ln(1 - p0)) AS w
+  FROM a, range(0, (SELECT n + 1 FROM a)) r(i)), tp AS (
+  SELECT least(1e0, sum(w) FILTER (w <= (SELECT w FROM pm, a WHERE i = k) * (1 + 1e-7))) AS p FROM pm)"""
+
+
+@query(
+    "drift_report",
+    f"""{_DRIFT}, {_TARGET_P} SELECT 'feature' AS section, feature AS subject, round(pv + 1e-9, 6) AS p_value, pv < 0.05e0 AS drifted FROM p
+UNION ALL SELECT 'target', 'is_fraud', round(p + 1e-9, 6), p < 0.05e0 FROM tp
+UNION ALL SELECT 'summary', 'all', NULL, bool_or(pv < 0.05e0) FROM p""",
+)
 def full_report(spark, sf_dir):
+    """The report's sections with the figures read back from their JSON."""
     train, test = train_and_test(spark, sf_dir)
     columns = shared_numeric(train, test)
-    return drift_report(train.select(*columns), test.select(*columns), p_method="asymptotic")
+    report = drift_report(train.select(*columns), test.select(*columns), p_method="asymptotic")
+
+    def field(name: str, kind: str):
+        return F.get_json_object("result", f"$.{name}").cast(kind)
+
+    return rounded(
+        report.select(
+            "section",
+            "subject",
+            field("p_value", "double").alias("p_value"),
+            F.coalesce(field("drifted", "boolean"), field("overall_drift_detected", "boolean")).alias("drifted"),
+        )
+    )
 
 
 _PSI = ["amt", "distance_km", *GROUP_STATS]
@@ -452,8 +477,9 @@ def runs(spark, sf_dir) -> DataFrame:
 
 def run_table(spark, sf_dir) -> DataFrame:
     by = ["run_id", "model", "split"]
-    long = metrics_long(evaluate(runs(spark, sf_dir), by), by).withColumn("position", positions(SCORERS))
-    return run_metrics(long)
+    # A few numbers per run; stored because names and best models both read them.
+    long = settle(metrics_long(evaluate(runs(spark, sf_dir), by), by))
+    return run_metrics(long.withColumn("position", positions(SCORERS)))
 
 
 def registry(spark, sf_dir) -> DataFrame:
@@ -573,30 +599,30 @@ def flags(spark, sf_dir):
 
 @query(
     "param_diff",
-    f"""WITH {TXN}, a AS (SELECT category AS model, 'max_amt' AS param, CAST(max(floor(amt)) AS BIGINT)::VARCHAR AS value FROM txn WHERE row_id % 2 = 0 GROUP BY 1
-  UNION ALL SELECT category, 'months', count(DISTINCT substr(trans_date_trans_time, 1, 7))::VARCHAR FROM txn WHERE row_id % 2 = 0 GROUP BY 1
-  UNION ALL SELECT category, 'even_only', 'yes' FROM txn WHERE row_id % 2 = 0 GROUP BY 1), b AS (
-  SELECT category AS model, 'max_amt' AS param, CAST(max(floor(amt)) AS BIGINT)::VARCHAR AS value FROM txn WHERE row_id % 2 = 1 GROUP BY 1
-  UNION ALL SELECT category, 'months', count(DISTINCT substr(trans_date_trans_time, 1, 7))::VARCHAR FROM txn WHERE row_id % 2 = 1 GROUP BY 1)
+    f"""{_SIDED}, a AS (SELECT category AS model, 'max_amt' AS param, CAST(max(floor(amt)) AS BIGINT)::VARCHAR AS value FROM sp WHERE split = 'train' GROUP BY 1
+  UNION ALL SELECT category, 'months', count(DISTINCT substr(trans_date_trans_time, 1, 7))::VARCHAR FROM sp WHERE split = 'train' GROUP BY 1
+  UNION ALL SELECT category, 'train_only', 'yes' FROM sp WHERE split = 'train' GROUP BY 1), b AS (
+  SELECT category AS model, 'max_amt' AS param, CAST(max(floor(amt)) AS BIGINT)::VARCHAR AS value FROM sp WHERE split <> 'train' GROUP BY 1
+  UNION ALL SELECT category, 'months', count(DISTINCT substr(trans_date_trans_time, 1, 7))::VARCHAR FROM sp WHERE split <> 'train' GROUP BY 1)
 SELECT model, param, a.value AS original, b.value AS tuned, a.value IS NOT DISTINCT FROM b.value AS same FROM a FULL JOIN b USING (model, param)""",
 )
 def diff(spark, sf_dir):
-    """Parameters measured on two halves of the table, as original and tuned sets."""
-    txn = transactions(spark, sf_dir)
+    """Parameters measured inside and outside the training split, as original and tuned sets."""
+    rows = hash_split(transactions(spark, sf_dir), KEY)
 
-    def half(rest: int, extra: bool) -> DataFrame:
+    def part(inside: bool) -> DataFrame:
         wide = (
-            txn.where(F.col("row_id") % 2 == rest)
+            rows.where((F.col("split") == "train") == F.lit(inside))
             .groupBy(F.col("category").alias("model"))
             .agg(
                 F.max(F.floor("amt")).cast("string").alias("max_amt"),
                 F.count_distinct(F.substring("trans_date_trans_time", 1, 7)).cast("string").alias("months"),
-                F.lit("yes").alias("even_only"),
+                F.lit("yes").alias("train_only"),
             )
         )
-        names = ["max_amt", "months"] + (["even_only"] if extra else [])
+        names = ["max_amt", "months"] + (["train_only"] if inside else [])
         return wide.unpivot(["model"], names, "param", "value")
 
-    return parameter_diff(half(0, True), half(1, False))
+    return parameter_diff(part(True), part(False))
 
 

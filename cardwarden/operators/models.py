@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from cardwarden.operators.features import assembler
 from cardwarden.operators.scoring import positive_probability
 from cardwarden.schema import LABEL, LOGISTIC_DEFAULTS, TREE_DEFAULTS
+from cardwarden.session import scratch_root
 
 WEIGHT = "class_weight"
 
@@ -91,6 +92,8 @@ def fit_trees(
     values have no counterpart and are ignored.
     """
     p = {**TREE_DEFAULTS, **(params or {})}
+    # With a checkpoint folder the boosting rounds cut their lineage every few trees.
+    scratch_root(df.sparkSession)
     neg, pos = class_sizes(df, label)
     weighted = df.select(
         *features,

@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardwarden.functions.hashing import digest, uniform
@@ -29,22 +29,23 @@ class Cuts:
     stratum: str | None
     parts: dict[object, list[tuple[object, str | None]]]
 
-    def column(self) -> Column:
-        """The part each row belongs to."""
-        h = digest(list(self.key), self.seed)
-        placed = None
+    def assign(self, df: DataFrame, column: str) -> DataFrame:
+        """Append the part each row belongs to; the digest is computed once per row."""
+        h = F.col("_digest")
+        placed = F.lit(None)
         for value, parts in self.parts.items():
-            inner = None
-            for name, last in parts:
-                if last is None:
-                    inner = F.lit(name) if inner is None else inner.otherwise(F.lit(name))
-                    break
-                inner = F.when(h <= last, F.lit(name)) if inner is None else inner.when(h <= last, F.lit(name))
-            if inner is None:
-                continue
-            match = F.lit(True) if self.stratum is None else F.col(self.stratum) == F.lit(value)
-            placed = F.when(match, inner) if placed is None else placed.when(match, inner)
-        return placed if placed is not None else F.lit(None)
+            part = F.lit(None)
+            for name, last in reversed(parts):
+                part = F.lit(name) if last is None else F.when(h <= last, F.lit(name)).otherwise(part)
+            if self.stratum is None:
+                placed = part
+            else:
+                placed = F.when(F.col(self.stratum) == F.lit(value), part).otherwise(placed)
+        return (
+            df.withColumn("_digest", digest(list(self.key), self.seed))
+            .withColumn(column, placed)
+            .drop("_digest")
+        )
 
 
 def stratum_counts(df: DataFrame, stratum: str | None) -> dict[object, int]:
@@ -191,7 +192,7 @@ def fit_split(
 
 
 def with_split(df: DataFrame, cuts: Cuts) -> DataFrame:
-    return df.withColumn("split", cuts.column())
+    return cuts.assign(df, "split")
 
 
 def hash_split(
@@ -222,7 +223,7 @@ def stratified_sample(
     counts = stratum_counts(df, label)
     quotas = {c: [(True, round(fraction * n)), (False, None)] for c, n in counts.items()}
     cuts = cut_by_quota(df, key, label, quotas, seed)
-    return df.where(cuts.column())
+    return cuts.assign(df, "_drawn").where("_drawn").drop("_drawn")
 
 
 def with_folds(
@@ -243,4 +244,4 @@ def with_folds(
         quotas[c] = [(i, size) for i, size in enumerate(sizes)]
         start += n
     cuts = cut_by_quota(df, key, label, quotas, seed)
-    return df.withColumn(column, cuts.column().cast("int"))
+    return cuts.assign(df, column).withColumn(column, F.col(column).cast("int"))
