@@ -332,14 +332,15 @@ def p95(spark, sf_dir):
     return rounded(exact_p95(transactions(spark, sf_dir), "amt"))
 
 
-def _earlier_query(name, key):
-    @query(
-        name,
-        f"""WITH {TXN} SELECT row_id, {key},
+def earlier_sql(key: str) -> str:
+    return f"""WITH {TXN} SELECT row_id, {key},
   count(*) OVER w AS prior_txn_count, round(avg(amt) OVER w + 1e-9, 6) AS prior_avg_amt,
   round(coalesce(stddev_samp(amt) OVER w, 0) + 1e-9, 6) AS prior_std_amt, round(coalesce(avg(is_fraud) OVER w, 0) + 1e-9, 6) AS prior_fraud_rate
-FROM txn WINDOW w AS (PARTITION BY {key} ORDER BY unix_time RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""",
-    )
+FROM txn WINDOW w AS (PARTITION BY {key} ORDER BY unix_time RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
+
+
+def _earlier_query(name, key):
+    @query(name, earlier_sql(key))
     def run(spark, sf_dir):
         history = earlier_statistics(transactions(spark, sf_dir), key, spread_by=KEY)
         return rounded(

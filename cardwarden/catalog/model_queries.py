@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardwarden.catalog.base import KEY, TXN, query, rounded, table, transactions
+from cardwarden.catalog.feature_queries import earlier_sql
 from cardwarden.operators.models import (
     feature_importance,
     fit_logistic,
@@ -46,6 +47,7 @@ from cardwarden.streaming.transactions import (
     run_available,
     running_card_statistics,
     score_stream,
+    stream_history,
     write_updates,
 )
 
@@ -259,3 +261,19 @@ def stream_state(spark, sf_dir):
     return rounded(latest_state(spark.read.parquet(out), "cc_num"))
 
 
+
+
+@query("stream_card_history", earlier_sql("cc_num"))
+def card_history(spark, sf_dir):
+    """Statistics of each card's earlier transactions, row by row along the stream."""
+    out = scratch_path(spark, "history")
+    stream_history(
+        project_transactions(event_stream(spark, sf_dir)),
+        "cc_num",
+        out,
+        scratch_path(spark, "moments"),
+        scratch_path(spark, "progress"),
+        keep=["row_id", "cc_num"],
+        spread_by=KEY,
+    )
+    return rounded(spark.read.parquet(out).drop("batch"))

@@ -17,66 +17,103 @@ from cardwarden.schema import LABEL
 SLICE_SECONDS = 86_400
 
 
-def earlier_statistics(
+#: Additive moments of a key's rows: count, sum and square sum of the amount, positives.
+MOMENTS = ["n", "s", "q", "p"]
+
+
+def moment_sums(amount: Column, label: str = LABEL) -> list[Column]:
+    return [
+        F.count(amount).alias("n"),
+        F.coalesce(F.sum(amount), F.lit(0.0)).alias("s"),
+        F.coalesce(F.sum(amount * amount), F.lit(0.0)).alias("q"),
+        F.sum(F.col(label).cast("bigint")).alias("p"),
+    ]
+
+
+def moment_statistics(
+    n: Column, s: Column, q: Column, p: Column, prefix: str, centre: float = 0.0
+) -> dict[str, Column]:
+    """Count, mean, sample deviation and positive rate; without rows the mean is missing."""
+    some = F.when(n > 0, n)
+    variance = F.try_divide(q - s * s / some, n - 1)
+    deviation = F.when(n > 1, F.sqrt(F.greatest(variance, F.lit(0.0)))).otherwise(F.lit(0.0))
+    return {
+        f"{prefix}_txn_count": n,
+        f"{prefix}_avg_amt": F.when(n > 0, s / some + F.lit(centre)),
+        f"{prefix}_std_amt": F.when(n.isNotNull(), deviation),
+        f"{prefix}_fraud_rate": F.when(n.isNotNull(), F.coalesce(F.try_divide(p, n), F.lit(0.0))),
+    }
+
+
+def earlier_moments(
     df: DataFrame,
     key: str,
     time: str = "unix_time",
     amount: str = "amt",
     label: str = LABEL,
-    prefix: str = "prior",
+    centre: float = 0.0,
     spread_by: list[str] | None = None,
     slice_seconds: int = SLICE_SECONDS,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Append count, mean, deviation and positive rate of the key's strictly earlier rows.
+    """Append the moments ``n, s, q, p`` of the key's strictly earlier rows; NULL without a key.
 
     Rows of one key and second share their history, so they are collapsed first. The collapsed
     seconds of a key are cut into time slices: running sums are taken inside a slice and carried
     over from earlier slices, so that even a key owning most of the table is spread over as many
-    tasks as it has slices. Rows without earlier ones get count 0, deviation 0 and rate 0, and a
-    missing mean.
+    tasks as it has slices. Amounts are taken relative to ``centre``.
     """
-    # Amounts are centred before squaring to keep the running variance accurate.
-    centre = df.agg(F.avg(amount)).first()[0] or 0.0
-    x = F.col(amount) - F.lit(centre)
-    parts = ["n", "s", "q", "p"]
-    seconds = (
-        df.where(F.col(key).isNotNull() & F.col(time).isNotNull())
-        .groupBy(key, time)
-        .agg(
-            F.count(amount).alias("n"),
-            F.coalesce(F.sum(x), F.lit(0.0)).alias("s"),
-            F.coalesce(F.sum(x * x), F.lit(0.0)).alias("q"),
-            F.sum(F.col(label).cast("bigint")).alias("p"),
-            F.count(F.lit(1)).alias("_rows"),
-        )
-        .withColumn("slice", F.floor(F.col(time) / F.lit(slice_seconds)))
-    )
+    sums = moment_sums(F.col(amount) - F.lit(centre), label)
 
     def before(over: Window) -> dict[str, Column]:
         frame = over.rowsBetween(Window.unboundedPreceding, -1)
-        return {f"{m}_b": F.coalesce(F.sum(m).over(frame), F.lit(0)) for m in parts}
+        return {f"{m}_before": F.coalesce(F.sum(m).over(frame), F.lit(0)) for m in MOMENTS}
 
-    slices = seconds.groupBy(key, "slice").agg(*[F.sum(m).alias(m) for m in parts])
-    carried = slices.withColumns(before(Window.partitionBy(key).orderBy("slice"))).select(
-        key, "slice", *[F.col(f"{m}_b").alias(f"{m}_c") for m in parts]
+    timed = df.withColumn("_day", F.floor(F.col(time) / F.lit(slice_seconds)))
+    keyed = timed.where(F.col(key).isNotNull() & F.col(time).isNotNull())
+    # Slice totals come straight from the rows: their partial sums shrink to a row per key and slice.
+    slices = keyed.groupBy(key, "_day").agg(*sums)
+    carried = slices.withColumns(before(Window.partitionBy(key).orderBy("_day"))).select(
+        key, "_day", *[F.col(f"{m}_before").alias(f"{m}_carried") for m in MOMENTS]
     )
-    inside = seconds.withColumns(before(Window.partitionBy(key, "slice").orderBy(time)))
+    seconds = keyed.groupBy(key, "_day", time).agg(*sums)
+    inside = seconds.withColumns(before(Window.partitionBy(key, "_day").orderBy(time)))
     # ``inside`` is already partitioned by key and slice.
-    history = inside.join(carried, [key, "slice"])
-    n, s, q, p = (F.col(f"{m}_b") + F.col(f"{m}_c") for m in parts)
-    variance = F.try_divide(q - s * s / F.when(n > 0, n), n - 1)
-    stats = history.select(
-        key,
-        time,
-        "_rows",
-        n.alias(f"{prefix}_txn_count"),
-        F.when(n > 0, s / F.when(n > 0, n) + F.lit(centre)).alias(f"{prefix}_avg_amt"),
-        F.when(n > 1, F.sqrt(F.greatest(variance, F.lit(0.0)))).otherwise(F.lit(0.0)).alias(f"{prefix}_std_amt"),
-        F.coalesce(F.try_divide(p, n), F.lit(0.0)).alias(f"{prefix}_fraud_rate"),
+    history = inside.join(carried, [key, "_day"]).select(
+        key, "_day", time, *[(F.col(f"{m}_before") + F.col(f"{m}_carried")).alias(m) for m in MOMENTS]
+    )
+    # One entry per key and second: never small, so it is not a candidate for a broadcast. Hot
+    # slices are found by counting two columns.
+    sizes = keyed.groupBy(key, "_day").agg(F.count(F.lit(1)).alias("_rows"))
+    joined = attach_shuffled(
+        timed, history, [key, time], "_rows", spread_by or ["trans_num"], rows_per_task,
+        counts=sizes, counted_by=[key, "_day"],
+    )
+    return joined.select(*df.columns, *MOMENTS)
+
+
+def earlier_statistics(
+    df: DataFrame,
+    key: str,
+    time: str = "unix_time",
+    amount: str = "amt",
+    label: str = LABEL,
+    prefix: str = "prior",
+    spread_by: list[str] | None = None,
+    slice_seconds: int = SLICE_SECONDS,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """Append count, mean, deviation and positive rate of the key's strictly earlier rows.
+
+    Rows without earlier ones get count 0, deviation 0, rate 0 and a missing mean.
+    """
+    # Centred amounts keep the running variance accurate.
+    centre = df.agg(F.avg(amount)).first()[0] or 0.0
+    moments = earlier_moments(
+        df, key, time, amount, label, centre, spread_by, slice_seconds, rows_per_task
     )
-    # One entry per key and second: never small, so it is not a candidate for a broadcast.
-    return attach_shuffled(df, stats, [key, time], "_rows", spread_by or ["trans_num"], rows_per_task).drop("_rows")
+    stats = moment_statistics(*[F.col(m) for m in MOMENTS], prefix, centre)
+    return moments.select(*df.columns, *[c.alias(n) for n, c in stats.items()])
 
 
 def fit_statistics(train: DataFrame, groups: tuple[Grouping, ...] = GROUPINGS) -> dict[str, DataFrame]:

@@ -61,18 +61,28 @@ def attach_shuffled(
     rows_column: str,
     spread_by: list[str],
     rows_per_task: int = ROWS_PER_TASK,
+    counts: DataFrame | None = None,
+    counted_by: list[str] | None = None,
 ) -> DataFrame:
     """The same left join without a broadcast of the statistics.
 
-    A key with ``c`` rows is split into ``ceil(c / rows_per_task)`` slices. At most
-    ``rows / rows_per_task`` keys can have more than one slice, which bounds the broadcast list of
-    hot keys; the statistics of a hot key are repeated once per slice.
+    A group with ``c`` rows is split into ``ceil(c / rows_per_task)`` slices. At most
+    ``rows / rows_per_task`` groups can have more than one slice, which bounds the broadcast list of
+    hot groups; the statistics of a hot group are repeated once per slice. The groups are the keys
+    themselves unless ``counts`` gives row counts (``rows_column``) for coarser ``counted_by``
+    columns, which both ``df`` and ``stats`` then have to carry.
     """
+    counts, counted_by = (stats, keys) if counts is None else (counts, counted_by)
     slices = F.ceil(F.col(rows_column) / F.lit(rows_per_task)).cast("int")
-    hot = stats.where(F.col(rows_column) > rows_per_task).select(*keys, slices.alias("_slices"))
-    sliced = stats.withColumn(
-        "_slice", F.explode(F.sequence(F.lit(0), F.greatest(slices, F.lit(1)) - 1))
-    )
+    hot = counts.where(F.col(rows_column) > rows_per_task).select(*counted_by, slices.alias("_slices"))
+    if counts is stats:
+        parts = F.greatest(slices, F.lit(1))
+        repeated = stats
+    else:
+        parts = F.coalesce("_slices", F.lit(1))
+        repeated = stats.join(F.broadcast(hot), counted_by, "left")
+    sliced = repeated.withColumn("_slice", F.explode(F.sequence(F.lit(0), parts - 1)))
+    sliced = sliced.drop("_slices", *[c for c in counted_by if c not in keys])
     spread = F.xxhash64(*spread_by)
     no_key = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
     # Rows without a key match nothing; the draw only keeps them from meeting in one task.
@@ -82,5 +92,5 @@ def attach_shuffled(
         .otherwise(F.lit(0))
         .cast("int")
     )
-    marked = df.join(F.broadcast(hot), keys, "left").withColumn("_slice", slice_of_row)
+    marked = df.join(F.broadcast(hot), counted_by, "left").withColumn("_slice", slice_of_row)
     return marked.drop("_slices").join(sliced, [*keys, "_slice"], "left").drop("_slice")
