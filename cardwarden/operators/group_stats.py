@@ -90,25 +90,37 @@ def join_statistics(
     return joined.select(*df.columns, *columns)
 
 
-def join_all_statistics(
+@dataclass(frozen=True)
+class GroupTables:
+    """Stored statistics of several groupings: rows ``(grouping, key, measures)`` and their sizes."""
+
+    table: DataFrame
+    sizes: dict[str, int]
+    groups: tuple[Grouping, ...]
+
+    def of(self, group: Grouping) -> DataFrame:
+        return self.table.where(F.col("grouping") == group.key).select(
+            F.col("key").alias(group.key),
+            *[F.col(m).alias(f"{group.prefix}_{m}") for m in group.joined],
+        )
+
+
+#: Category takes no standard deviation; computing it along costs nothing extra.
+_ALL_MEASURES = ["txn_count", "avg_amt", "std_amt", "fraud_rate"]
+
+
+def aggregate_groupings(
     df: DataFrame,
     groups: tuple[Grouping, ...] = GROUPINGS,
-    spread_by: list[str] | None = None,
-    broadcast_bytes: int = BROADCAST_BYTES,
-    rows_per_task: int = ROWS_PER_TASK,
     amount: str = "amt",
     label: str = LABEL,
-) -> DataFrame:
-    """Append the statistics of several groupings, aggregated in one narrow scan.
+) -> GroupTables:
+    """Statistics of several groupings from one narrow scan.
 
-    The keys are unpivoted to ``(grouping, key)`` before one partial-plus-final aggregation, so the
-    transactions are read once for all groupings and once more for the join. The settled result
-    tells which groupings are small enough to broadcast.
+    The keys are unpivoted to ``(grouping, key)`` before one partial-plus-final aggregation. The
+    result is stored, which gives its exact size per grouping.
     """
-    spread_by = spread_by or ["trans_num"]
     available = _measures("amount", "label")
-    # Category takes no standard deviation; computing it along costs nothing extra.
-    names = ["txn_count", "avg_amt", "std_amt", "fraud_rate"]
     long = (
         df.select(
             F.col(amount).alias("amount"),
@@ -118,23 +130,61 @@ def join_all_statistics(
         .unpivot(["amount", "label"], [g.key for g in groups], "grouping", "key")
         .where(F.col("key").isNotNull())
     )
-    stats = settle(long.groupBy("grouping", "key").agg(*[available[m].alias(m) for m in names]))
+    table = settle(
+        long.groupBy("grouping", "key").agg(*[available[m].alias(m) for m in _ALL_MEASURES])
+    )
     sizes = {
-        r["grouping"]: r["rows"] * (48 + 24 + 8 * len(names)) + r["text"]
-        for r in stats.groupBy("grouping")
+        r["grouping"]: r["rows"] * (48 + 24 + 8 * len(_ALL_MEASURES)) + r["text"]
+        for r in table.groupBy("grouping")
         .agg(F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length("key")).alias("text"))
         .collect()  # one row per grouping
     }
+    return GroupTables(table, sizes, groups)
+
+
+def join_groupings(
+    df: DataFrame,
+    tables: GroupTables,
+    spread_by: list[str] | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    rows_per_task: int = ROWS_PER_TASK,
+    same_rows: bool = False,
+) -> DataFrame:
+    """Append stored statistics to every transaction.
+
+    Groupings up to ``broadcast_bytes`` are broadcast. For larger ones hot keys are found by the
+    row counts of the statistics if they describe ``df`` itself (``same_rows``), else by counting
+    the keys of ``df``, because a key may be hot here without being known there.
+    """
     joined, columns = df, list(df.columns)
-    for g in groups:
-        part = stats.where(F.col("grouping") == g.key).select(
-            F.col("key").alias(g.key), *[F.col(m).alias(f"{g.prefix}_{m}") for m in g.joined]
-        )
-        if sizes.get(g.key, 0) <= broadcast_bytes:
-            joined = joined.join(F.broadcast(part), g.key, "left")
+    for g in tables.groups:
+        stats = tables.of(g)
+        if tables.sizes.get(g.key, 0) <= broadcast_bytes:
+            joined = joined.join(F.broadcast(stats), g.key, "left")
         else:
+            counted = {}
+            rows_column = f"{g.prefix}_txn_count"
+            if not same_rows:
+                rows_column = "_rows"
+                counts = df.where(F.col(g.key).isNotNull()).groupBy(g.key)
+                counted = {
+                    "counts": counts.agg(F.count(F.lit(1)).alias(rows_column)),
+                    "counted_by": [g.key],
+                }
             joined = attach_shuffled(
-                joined, part, [g.key], f"{g.prefix}_txn_count", spread_by, rows_per_task
+                joined, stats, [g.key], rows_column, spread_by or ["trans_num"], rows_per_task, **counted
             )
         columns += [f"{g.prefix}_{m}" for m in g.joined]
     return joined.select(*columns)
+
+
+def join_all_statistics(
+    df: DataFrame,
+    groups: tuple[Grouping, ...] = GROUPINGS,
+    spread_by: list[str] | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """Append the statistics that ``df`` has about itself: one scan to aggregate, one to join."""
+    tables = aggregate_groupings(df, groups)
+    return join_groupings(df, tables, spread_by, broadcast_bytes, rows_per_task, same_rows=True)

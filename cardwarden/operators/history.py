@@ -9,8 +9,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardwarden.operators.group_stats import GROUPINGS, Grouping, group_statistics
-from cardwarden.operators.keyed_join import ROWS_PER_TASK, attach, attach_shuffled
+from cardwarden.operators.group_stats import (
+    GROUPINGS,
+    Grouping,
+    GroupTables,
+    aggregate_groupings,
+    join_groupings,
+)
+from cardwarden.operators.keyed_join import ROWS_PER_TASK, attach_shuffled
 from cardwarden.schema import LABEL
 
 #: Width of one time slice of a key; a slice holds at most this many distinct seconds.
@@ -116,24 +122,19 @@ def earlier_statistics(
     return moments.select(*df.columns, *[c.alias(n) for n, c in stats.items()])
 
 
-def fit_statistics(train: DataFrame, groups: tuple[Grouping, ...] = GROUPINGS) -> dict[str, DataFrame]:
-    """Statistics per grouping, learned on ``train``."""
-    return {g.key: group_statistics(train, g) for g in groups}
+def fit_statistics(train: DataFrame, groups: tuple[Grouping, ...] = GROUPINGS) -> GroupTables:
+    """Stored statistics of all groupings, learned on ``train``."""
+    return aggregate_groupings(train, groups)
 
 
 def apply_statistics(
     df: DataFrame,
-    fitted: dict[str, DataFrame],
+    fitted: GroupTables,
     defaults: dict[str, float],
-    groups: tuple[Grouping, ...] = GROUPINGS,
     spread_by: list[str] | None = None,
     **limits: int,
 ) -> DataFrame:
     """Join fitted statistics; keys the training table never saw get the defaults."""
-    out = df
-    for g in groups:
-        columns = [f"{g.prefix}_{m}" for m in g.joined]
-        stats = fitted[g.key].withColumn("_rows", F.col(f"{g.prefix}_txn_count"))
-        out = attach(out, stats, [g.key], "_rows", spread_by or ["trans_num"], **limits)
-        out = out.withColumns({c: F.coalesce(F.col(c), F.lit(float(defaults[c]))) for c in columns})
-    return out.select(*df.columns, *[f"{g.prefix}_{m}" for g in groups for m in g.joined])
+    columns = [f"{g.prefix}_{m}" for g in fitted.groups for m in g.joined]
+    joined = join_groupings(df, fitted, spread_by, **limits)
+    return joined.withColumns({c: F.coalesce(F.col(c), F.lit(float(defaults[c]))) for c in columns})

@@ -55,9 +55,14 @@ def test_later_rows_change_nothing(ledger):
 
 
 def test_fitted_statistics_use_defaults_for_new_keys(spark):
-    train = spark.createDataFrame([(1, "a", 10.0, 1), (2, "a", 30.0, 0)], "row_id long, cc_num string, amt double, is_fraud int")
-    test = spark.createDataFrame([(3, "a", 1.0, 0), (4, "z", 1.0, 0)], train.schema)
+    schema = "row_id long, cc_num string, amt double, is_fraud int"
+    train = spark.createDataFrame([(1, "a", 10.0, 1), (2, "a", 30.0, 0)], schema)
+    # The unseen key is the hot one here.
+    test = spark.createDataFrame([(3, "a", 1.0, 0), (5, None, 1.0, 0)] + [(i, "z", 1.0, 0) for i in range(10, 60)], schema)
     fitted = fit_statistics(train, (CARD,))
-    out = apply_statistics(test, fitted, dict.fromkeys(GROUP_STATS, 7.0), (CARD,), ["row_id"]).orderBy("row_id").collect()
-    assert out[0]["customer_avg_amt"] == 20.0 and out[0]["customer_txn_count"] == 2.0
-    assert out[1]["customer_avg_amt"] == 7.0
+    for limits in ({}, {"broadcast_bytes": 0, "rows_per_task": 7}):
+        out = apply_statistics(test, fitted, dict.fromkeys(GROUP_STATS, 7.0), ["row_id"], **limits)
+        rows = out.orderBy("row_id").collect()
+        assert len(rows) == 52 and out.columns[:4] == test.columns
+        assert rows[0]["customer_avg_amt"] == 20.0 and rows[0]["customer_txn_count"] == 2.0
+        assert {r["customer_avg_amt"] for r in rows[1:]} == {7.0}
