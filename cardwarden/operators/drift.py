@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from cardwarden.functions import pvalues
 from cardwarden.operators.ordered import (
+    PRUNING_BUCKETS,
     add_buckets,
     bucket_offsets,
     choose_buckets,
@@ -58,7 +59,7 @@ def ks_distances(
     """
     columns = [f"n_{s}" for s in sides]
     wide = df.select("side", *features).where(F.col("side").isin(sides))
-    buckets = choose_buckets(wide) if buckets is None else buckets
+    buckets = choose_buckets(wide, PRUNING_BUCKETS) if buckets is None else buckets
     long = to_long(add_buckets(wide, features, buckets), ["side"], features)
 
     def side_counts() -> list[Column]:

@@ -20,11 +20,19 @@ from pyspark.sql import functions as F
 ROWS_PER_BUCKET = 1_000_000
 #: Keeps the quantile sketch of one task at a few hundred kB per column.
 MAX_BUCKETS = 4096
+#: Operators that skip most buckets use at least this many of them.
+PRUNING_BUCKETS = 256
 
 
-def choose_buckets(df: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
-    """Buckets by counted size. Inputs that are costly to recompute should be stored first."""
-    return max(1, min(MAX_BUCKETS, math.ceil(df.count() / rows_per_bucket)))
+def choose_buckets(
+    df: DataFrame, at_least: int = 1, rows_per_bucket: int = ROWS_PER_BUCKET
+) -> int:
+    """Buckets by counted size: one for a small table, otherwise ``at_least`` and by rows.
+
+    Inputs that are costly to recompute should be stored first.
+    """
+    needed = math.ceil(df.count() / rows_per_bucket)
+    return 1 if needed <= 1 else min(MAX_BUCKETS, max(needed, at_least))
 
 
 def add_buckets(df: DataFrame, columns: list[str], buckets: int) -> DataFrame:
@@ -150,7 +158,7 @@ def exact_quantiles(
     one task.)
     """
     narrow = df.select(*columns)
-    buckets = choose_buckets(narrow) if buckets is None else buckets
+    buckets = choose_buckets(narrow, PRUNING_BUCKETS) if buckets is None else buckets
     long = to_long(add_buckets(narrow, columns, buckets), [], columns)
     wanted = F.explode(F.array(*[F.lit(float(q)) for q in fractions])).alias("fraction")
 

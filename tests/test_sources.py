@@ -157,3 +157,19 @@ def test_scratch_folder_follows_the_session(spark, tmp_path):
     assert scratch_root(spark) == (old or spark.sparkContext.getCheckpointDir())
     stored = settle_table(spark.range(10).withColumn("split", F.lit("train")), "t", ["split"])
     assert stored.columns == ["id", "split"] and stored.count() == 10
+
+
+def test_cluster_without_shared_folder_is_an_error():
+    class Conf:
+        @staticmethod
+        def get(name, default):
+            return default
+
+    class Context:
+        master = "yarn"
+
+    class Session:
+        conf, sparkContext = Conf, Context
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_root(Session)
