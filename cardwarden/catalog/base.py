@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cardwarden.functions.hashing import uniform
 from cardwarden.operators.splitting import hash_split
+from cardwarden.session import ship_package
 from cardwarden.sources.events import raw_transactions, table, transactions  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,7 +27,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"query registered twice: {name}")
-        QUERIES[name] = fn
+        QUERIES[name] = functools.wraps(fn)(lambda spark, sf_dir: fn(ship_package(spark), sf_dir))
         if sql is not None:
             ORACLES[name] = sql
         return fn

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -83,3 +85,23 @@ def settle_table(df: DataFrame, name: str, partition_by: list[str] | None = None
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Give the workers this package, once per application, so that they need no copy of their own."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        package = os.path.dirname(os.path.abspath(__file__))
+        path = os.path.join(tempfile.mkdtemp(prefix="cardwarden-code-"), "cardwarden.zip")
+        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
+            for folder, _, names in sorted(os.walk(package)):
+                for name in sorted(names):
+                    if name.endswith(".py"):
+                        full = os.path.join(folder, name)
+                        out.write(full, os.path.relpath(full, os.path.dirname(package)))
+        sc.addPyFile(path)
+        _SHIPPED.add(sc.applicationId)
+    return spark
