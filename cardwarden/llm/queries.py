@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwarden.llm import packing, token_counts
+from cardwarden.llm import exact_dedup, packing, simhash, token_counts
 from cardwarden.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,23 @@ def vocabulary(name: str) -> str:
     return os.path.join(folder, name) if folder else public_tokenizers.path(name)
 
 
+@query("op4_simhash")
+def simhash_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicate_components(table(spark, sf_dir, "documents"), radius=2, shingle=3)
+
+
+@query(
+    "op6_exact_dedup",
+    """WITH t AS (
+  SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS norm FROM documents)
+SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+       doc_id = min(doc_id) OVER w AS kept, sha256(norm) AS text_sha256
+FROM t WINDOW w AS (PARTITION BY norm)""",
+)
+def exact_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
+
+
 @query("op8_token_counts")
 def token_count_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts.prefix_token_counts(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
