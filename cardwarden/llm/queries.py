@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwarden.llm import exact_dedup, packing, simhash, token_counts
+from cardwarden.llm import exact_dedup, packing, simhash, substring_dedup, token_counts
 from cardwarden.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,11 @@ def simhash_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_components(table(spark, sf_dir, "documents"), radius=2, shingle=3)
 
 
+@query("op5_substring_dedup")
+def substring_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeated(table(spark, sf_dir, "documents"), window=35)
+
+
 @query(
     "op6_exact_dedup",
     """WITH t AS (
