@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwarden.llm import exact_dedup, packing, simhash, substring_dedup, token_counts
+from cardwarden.llm import exact_dedup, packing, simhash, substring_dedup, token_counts, toxicity
 from cardwarden.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,12 @@ def vocabulary(name: str) -> str:
     return os.path.join(folder, name) if folder else public_tokenizers.path(name)
 
 
+@query("op3_toxicity")
+def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 @query("op4_simhash")
 def simhash_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_components(table(spark, sf_dir, "documents"), radius=2, shingle=3)

@@ -19,7 +19,7 @@ from itertools import product
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardwarden.llm.components import components
@@ -245,3 +245,20 @@ def near_duplicate_components(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id",
         *(["row"] if rows else []),
     )
+
+
+def keep_first(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 2, shingle: int = 3
+) -> DataFrame:
+    """The document with the smallest id of each component, with all its columns.
+
+    Rows that share this id (or that all lack one) are one document; of several fingerprints among them the
+    smallest stays, and of rows equal in both the one first in the input.
+    """
+    named = settle_table(near_duplicate_components(docs, id_col, text_col, radius, shingle, rows=True), "components")
+    first = F.col(f"`{id_col}`").eqNullSafe(F.col("component_id"))
+    # Components without any id are told apart by fingerprint only.
+    group = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("#"), F.col("fingerprint")))
+    # A component has few rows with its smallest id: those of one document.
+    order = Window.partitionBy(group).orderBy("fingerprint", F.xxhash64(*(F.col(f"row.`{c}`") for c in docs.columns)))
+    return named.where(first).withColumn("nth", F.row_number().over(order)).where("nth = 1").select("row.*")
