@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwarden.llm import exact_dedup, packing, simhash, substring_dedup, token_counts, toxicity
+from cardwarden.llm import byte_bpe, exact_dedup, packing, simhash, substring_dedup, token_counts, toxicity
 from cardwarden.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,12 @@ def vocabulary(name: str) -> str:
     return os.path.join(folder, name) if folder else public_tokenizers.path(name)
 
 
+@query("op1_byte_bpe")
+def byte_bpe_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = vocabulary("byte_bpe_multi_50k.tiktoken")
+    return byte_bpe.digests(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
 @query("op3_toxicity")
 def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
