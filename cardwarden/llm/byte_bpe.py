@@ -57,42 +57,43 @@ def rank_literal(ranks: dict[bytes, int]) -> Column:
 def fold_merges(words: Column, ranks: Column) -> Column:
     """``array<array<int>>``: the ids of each word, a word being an array of byte symbols."""
 
+    one = F.lit(1)
+
     def with_table(table: Column) -> Column:
         def rank(x: Column) -> Column:
             return F.try_element_at(F.get(table, (F.crc32(x.cast("binary")) % BUCKETS).cast("int")), x)
 
-        def state(parts: Column, pairs: Column) -> Column:
-            """The parts, the rank of each adjacent pair, and the place of the lowest (0: none is left)."""
-            at = F.coalesce(F.array_position(pairs, F.array_min(pairs)), F.lit(0)).cast("int")
-            return F.struct(parts.alias("p"), pairs.alias("r"), at.alias("i"))
-
         def let(value: Column, body) -> Column:
             return F.get(F.transform(F.array(value), body), F.lit(0))
 
+        def state(parts: Column, pairs: Column) -> Column:
+            """The parts, between missing ends, the rank of each adjacent pair, and the place of the lowest."""
+            return F.struct(parts.alias("p"), pairs.alias("r"), F.array_position(pairs, F.array_min(pairs)).cast("int").alias("i"))
+
         def merge(acc: Column, _: Column) -> Column:
             p, r, i = acc["p"], acc["r"], acc["i"]
-            n = F.size(p)
 
             def joined(new: Column) -> Column:
-                parts = F.concat(F.slice(p, F.lit(1), i - 1), F.array(new), F.slice(p, i + 2, n))
-                nothing = F.slice(r, F.lit(1), F.lit(0))
-                before = F.when(i > 1, F.concat(F.slice(r, F.lit(1), i - 2), F.array(rank(F.concat(F.get(p, i - 2), new)))))
-                behind = F.when(i + 1 < n, F.concat(F.array(rank(F.concat(new, F.get(p, i + 1)))), F.slice(r, i + 2, n)))
-                pairs = F.concat(F.coalesce(before, nothing), F.coalesce(behind, nothing))
-                return let(F.struct(parts.alias("p"), pairs.alias("r")), lambda s: state(s["p"], s["r"]))
+                parts = F.concat(F.slice(p, one, i - 1), F.array(new), F.slice(p, i + 2, F.size(p)))
+                beside = F.array(rank(F.concat(F.get(p, i - 2), new)), rank(F.concat(new, F.get(p, i + 1))))
+                pairs = F.concat(F.slice(r, one, i - 2), beside, F.slice(r, i + 2, F.size(r)))
+                return let(pairs, lambda q: state(parts, q))
 
-            return F.when(i == 0, acc).otherwise(let(F.concat(F.get(p, i - 1), F.get(p, i)), joined))
+            return F.when(i.isNull(), acc).otherwise(let(F.concat(F.get(p, i - 1), F.get(p, i)), joined))
 
         def encode(word: Column) -> Column:
-            n = F.size(word)
-            pairs = F.transform(
-                F.slice(word, F.lit(1), n - 1), lambda x, j: rank(F.concat(x, F.get(word, (j + 1).cast("int"))))
-            )
-            first = let(F.struct(word.alias("p"), pairs.alias("r")), lambda s: state(s["p"], s["r"]))
-            folded = F.aggregate(F.sequence(F.lit(2), n), first, merge, lambda acc: F.transform(acc["p"], rank))
-            whole = rank(F.concat_ws("", word))
+            ends = F.array(F.lit(None).cast("string"))
+            pairs = F.transform(word, lambda x, j: rank(F.concat(x, F.get(word, j + 1))))
+            none = F.array(F.lit(None).cast("int"))
+            first = let(F.concat(none, pairs), lambda q: state(F.concat(ends, word, ends), q))
+            folded = F.aggregate(
+                F.sequence(F.lit(2), F.size(word)), first, merge,
+                lambda acc: F.transform(F.slice(acc["p"], F.lit(2), F.size(acc["p"]) - 2), rank),
+            )
             # A piece that is a token stays whole, as does a single byte.
-            return let(whole, lambda w: F.when(w.isNotNull() | (n < 2), F.array(w)).otherwise(folded))
+            return let(
+                rank(F.concat_ws("", word)), lambda w: F.when(w.isNotNull() | (F.size(word) < 2), F.array(w)).otherwise(folded)
+            )
 
         return F.transform(words, encode)
 

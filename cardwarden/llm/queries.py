@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwarden.llm import byte_bpe, exact_dedup, packing, simhash, substring_dedup, token_counts, toxicity
+from cardwarden.llm import byte_bpe, exact_dedup, packing, simhash, substring_dedup, token_counts, topk, toxicity, warc
 from cardwarden.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,12 @@ def byte_bpe_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+@query("op2_warc")
+def warc_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.round_trip(table(spark, sf_dir, "pages"), least_bytes=0)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query("op3_toxicity")
 def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -80,6 +86,21 @@ def token_count_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select("doc_id", "n_bytes", n_tokens.alias("n_tokens"), (n_tokens > 2048).alias("over_limit"))
 
 
+@query(
+    "op9_topk",
+    """WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> floor(1024 * CAST(x AS DOUBLE))) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0), s AS (
+  SELECT a.vec_id AS query_id, b.vec_id AS vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q))
+SELECT query_id, CAST(row_number() OVER w AS INT) AS rank, vec_id, score FROM s
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 10""",
+)
+def topk_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), "id % 100 = 0", k=10)
+
+
 @query("op10_packing")
 def packing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), 2048)
