@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwarden.llm import byte_bpe, exact_dedup, packing, simhash, substring_dedup, token_counts, topk, toxicity, warc
+from cardwarden.llm import byte_bpe, exact_dedup, lm_scoring, packing, simhash, substring_dedup, token_counts, topk, toxicity, warc
 from cardwarden.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +79,11 @@ def exact_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+@query("op7_lm_scoring")
+def lm_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(table(spark, sf_dir, "documents"))
+
+
 @query("op8_token_counts")
 def token_count_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts.prefix_token_counts(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
