@@ -1,8 +1,8 @@
 """Byte-level BPE in Spark's higher-order functions.
 
-Texts are cut by the vocabulary's pattern. Distinct pieces of a task are arrays of byte symbols (one printable
-character per byte); a fold over such an array merges, again and again, the adjacent pair whose joined symbols
-have the lowest rank. Ranks are one literal: an array of small maps, addressed by CRC-32, since looking up a key
+Texts are cut by the vocabulary's pattern. Distinct pieces of a task are sequences of byte symbols (one
+printable character per byte); a fold over the ranked merges that a piece allows, lowest rank first, joins its
+symbols to tokens. Ranks are one literal: an array of small maps, addressed by a hash, since looking up a key
 in one large Spark map is linear. Ids go back to the texts by the pieces' numbers; decoding concatenates the
 binary pieces of the ids. Nothing is shuffled: a task numbers its pieces, folds those it has not folded before,
 and puts its texts together, batch by batch.
@@ -17,7 +17,6 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
-import zlib
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -26,7 +25,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 import tiktoken
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardwarden.llm.word_bpe import byte_symbols
@@ -34,8 +33,10 @@ from cardwarden.llm.words import slices
 
 LONG = 512
 #: Pieces a task keeps before it starts numbering anew; only time depends on it.
-KEPT = 300_000
+KEPT = 400_000
 BUCKETS = 1 << 14
+#: Bytes of a word whose borders fit in a long.
+BITS = 60
 SLICE = 2 << 20
 
 
@@ -44,33 +45,85 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f) if token}
 
 
-def rank_literal(ranks: dict[bytes, int]) -> Column:
-    """``array<map<string, int>>``: the map at ``crc32(symbols) % BUCKETS`` has the rank of the symbols."""
+def rank_literal(spark: SparkSession, ranks: dict[bytes, int]) -> Column:
+    """``array<map<string, int>>``: the map at ``hash(symbols) & (BUCKETS - 1)`` has the rank of the symbols."""
     symbol = {b: c for c, b in byte_symbols().items()}
+    names = pa.table({"name": ["".join(symbol[b] for b in t) for t in ranks], "rank": list(ranks.values())})
     buckets: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
-    for token, rank in ranks.items():
-        text = "".join(symbol[b] for b in token)
-        buckets[zlib.crc32(text.encode()) % BUCKETS][text] = rank
+    placed = spark.createDataFrame(names).select("name", "rank", _bucket(F.col("name")).alias("bucket"))
+    for row in placed.toArrow().to_pylist():
+        buckets[row["bucket"]][row["name"]] = row["rank"]
     return F.from_json(F.lit(json.dumps(buckets, ensure_ascii=False)), "array<map<string,int>>")
 
 
-def fold_merges(words: Column, ranks: Column) -> Column:
-    """``array<array<int>>``: the ids of each word, a word being an array of byte symbols."""
+def _bucket(symbols: Column) -> Column:
+    return F.hash(symbols).bitwiseAND(BUCKETS - 1)
+
 
+def in_order(ranks: dict[bytes, int]) -> bool:
+    """Whether each token comes, from its bytes, out of merges that all rank before it. Then merges taken once in
+    the order of their ranks are the encoding: no later merge can make room for an earlier one."""
+    for token, rank in ranks.items():
+        parts = [token[i : i + 1] for i in range(len(token))]
+        while len(parts) > 2:
+            low, at = min(((ranks.get(a + b, rank), i) for i, (a, b) in enumerate(zip(parts, parts[1:]))))
+            if low >= rank:
+                return False
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+    return True
+
+
+def fold_merges(words: Column, ranks: Column, longest: int, ordered: bool = True) -> Column:
+    """``array<array<int>>``: the ids of each word, a word being a string of byte symbols.
+
+    Words up to ``BITS`` bytes: all their parts with a rank are sorted by it, and a fold over them keeps the borders
+    between tokens as the bits of a number: a part is merged if just one border is left inside it and its ends
+    are borders. ``longest``: bytes of the longest token. Longer words, and all if the ranks are not ``ordered``
+    (see :func:`in_order`), fold an array of parts, the lowest adjacent pair first.
+    """
     one = F.lit(1)
 
+    def let(value: Column, body) -> Column:
+        return F.get(F.transform(F.array(value), body), F.lit(0))
+
     def with_table(table: Column) -> Column:
         def rank(x: Column) -> Column:
-            return F.try_element_at(F.get(table, (F.crc32(x.cast("binary")) % BUCKETS).cast("int")), x)
+            return F.try_element_at(F.get(table, _bucket(x)), x)
+
+        def bit(n: Column) -> Column:
+            return F.call_function("shiftleft", F.lit(1).cast("long"), n)
+
+        def by_borders(word: Column, n: Column) -> Column:
+            def part(i: Column, size: Column) -> Column:
+                return rank(F.substr(word, i + 1, size)).cast("long") * 4096 + i * 64 + size
+
+            parts = F.transform(
+                F.sequence(F.lit(0), n - 2), lambda i: F.transform(F.sequence(F.lit(2), F.least(n - i, F.lit(longest))), lambda k: part(i, k))
+            )
+
+            def merge(borders: Column, code: Column) -> Column:
+                begin = F.shiftright(code, 6).bitwiseAND(63).cast("int")
+                low = bit(begin)
+                high = bit(begin + code.bitwiseAND(63).cast("int"))
+                left = borders.bitwiseAND(high + high - low)
+                inside = left - low - high
+                # Both ends and one border between them.
+                fits = (F.bit_count(left) == 3) & (left.bitwiseAND(low + high) == low + high)
+                return F.when(fits, borders - inside).otherwise(borders)
+
+            borders = F.aggregate(F.array_sort(F.array_compact(F.flatten(parts))), bit(n + 1) - 1, merge)
+
+            def tokens(borders: Column) -> Column:
+                starts = F.filter(F.sequence(F.lit(0), n - 1), lambda i: borders.bitwiseAND(bit(i)) != 0)
+                return let(starts, lambda s: F.transform(s, lambda i, j: rank(F.substr(word, i + 1, F.coalesce(F.get(s, j + 1), n) - i))))
 
-        def let(value: Column, body) -> Column:
-            return F.get(F.transform(F.array(value), body), F.lit(0))
+            return let(borders, tokens)
 
         def state(parts: Column, pairs: Column) -> Column:
             """The parts, between missing ends, the rank of each adjacent pair, and the place of the lowest."""
             return F.struct(parts.alias("p"), pairs.alias("r"), F.array_position(pairs, F.array_min(pairs)).cast("int").alias("i"))
 
-        def merge(acc: Column, _: Column) -> Column:
+        def merge_lowest(acc: Column, _: Column) -> Column:
             p, r, i = acc["p"], acc["r"], acc["i"]
 
             def joined(new: Column) -> Column:
@@ -81,18 +134,26 @@ def fold_merges(words: Column, ranks: Column) -> Column:
 
             return F.when(i.isNull(), acc).otherwise(let(F.concat(F.get(p, i - 1), F.get(p, i)), joined))
 
+        def by_parts(text: Column) -> Column:
+            def fold(word: Column) -> Column:
+                ends = F.array(F.lit(None).cast("string"))
+                none = F.array(F.lit(None).cast("int"))
+                pairs = F.transform(word, lambda x, j: rank(F.concat(x, F.get(word, j + 1))))
+                first = let(F.concat(none, pairs), lambda q: state(F.concat(ends, word, ends), q))
+                return F.aggregate(
+                    F.sequence(F.lit(2), F.size(word)), first, merge_lowest,
+                    lambda acc: F.transform(F.slice(acc["p"], F.lit(2), F.size(acc["p"]) - 2), rank),
+                )
+
+            return let(F.filter(F.split(text, ""), lambda x: x != ""), fold)
+
         def encode(word: Column) -> Column:
-            ends = F.array(F.lit(None).cast("string"))
-            pairs = F.transform(word, lambda x, j: rank(F.concat(x, F.get(word, j + 1))))
-            none = F.array(F.lit(None).cast("int"))
-            first = let(F.concat(none, pairs), lambda q: state(F.concat(ends, word, ends), q))
-            folded = F.aggregate(
-                F.sequence(F.lit(2), F.size(word)), first, merge,
-                lambda acc: F.transform(F.slice(acc["p"], F.lit(2), F.size(acc["p"]) - 2), rank),
-            )
+            n = F.length(word)
+            short = (n <= BITS) & F.lit(ordered)
             # A piece that is a token stays whole, as does a single byte.
             return let(
-                rank(F.concat_ws("", word)), lambda w: F.when(w.isNotNull() | (F.size(word) < 2), F.array(w)).otherwise(folded)
+                rank(word),
+                lambda w: F.when(w.isNotNull() | (n < 2), F.array(w)).when(short, by_borders(word, n)).otherwise(by_parts(word)),
             )
 
         return F.transform(words, encode)
@@ -136,7 +197,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
             codes = known[coded.indices.to_numpy()] if len(pieces) else np.zeros(0, np.int64)
             flat = np.frombuffer(b"".join(r for _, r in short), np.uint8)
             ends = np.cumsum([0, *(len(r) for _, r in short)]).astype(np.int32)
-            words = pa.ListArray.from_arrays(ends, symbols.take(pa.array(flat)))
+            words = pc.binary_join(pa.ListArray.from_arrays(ends, symbols.take(pa.array(flat))), "")
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([fresh]), _row(batch.column(0)), _row(pa.array(bounds)), _row(pa.array(codes.astype(np.int32))),
@@ -149,9 +210,9 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     numbered = rows.mapInArrow(
         number,
-        f"fresh boolean, ids array<{kind}>, bounds array<int>, codes array<int>, words array<array<string>>, long array<array<int>>",
+        f"fresh boolean, ids array<{kind}>, bounds array<int>, codes array<int>, words array<string>, long array<array<int>>",
     )
-    folded = fold_merges(F.col("words"), rank_literal(ranks))
+    folded = fold_merges(F.col("words"), rank_literal(docs.sparkSession, ranks), max(map(len, ranks)), in_order(ranks))
     return numbered.select("fresh", "ids", "bounds", "codes", folded.alias("tokens"), "long")
 
 
