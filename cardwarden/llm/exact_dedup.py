@@ -9,7 +9,7 @@ somewhere (equal fingerprints by chance) are divided by the SHA-256 of the text.
 
 Missing texts count as empty; empty texts are equal to each other. Missing ids come after all others. Rows that
 share the smallest id of a group are told apart by their place in the input: exactly one row of a group stays.
-An empty table gives an empty table. Only the named columns are read; all others are handed on in ``row``.
+An empty table gives an empty table. Only the named columns are read.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cardwarden.llm.bitmaps import bitmap, hash_longs, in_bitmap, keep_rows
 from cardwarden.llm.words import SPACE, slices, spread, text_bytes
 from cardwarden.session import settle, settle_table
 
@@ -94,48 +95,57 @@ def fingerprints(data: np.ndarray, bounds: np.ndarray, primes=PRIMES, bases=BASE
     return out.astype(np.int64)
 
 
-def _fingerprinted(docs: DataFrame, id_col: str, text_col: str, what: str, primes, bases) -> DataFrame:
-    """``what``: "sums" for ids, digests and the rows, "texts" for the normalised bytes."""
-    sums = what != "texts"
+def _fingerprinted(docs: DataFrame, id_col: str, text_col: str, what: str, primes, bases, bits=None) -> DataFrame:
+    """``what``: "sums" for ids and digests, "texts" for the normalised bytes of texts in ``bits``."""
+    sums = what == "sums"
     columns = [F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")]
-    if what == "rows":
-        columns.append(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
     rows = docs.select(*columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, place = uuid.uuid4().hex, 0
         for batch in slices(batches, "text"):
             data, bounds = normalised_bytes(batch.column(1))
-            keys = [pa.array(np.diff(bounds)), pa.array(fingerprints(data, bounds, primes, bases))]
-            raw = data.tobytes()
+            prints = fingerprints(data, bounds, primes, bases)
+            keys = [pa.array(np.diff(bounds)), pa.array(prints)]
             if not sums:
                 texts = pa.LargeBinaryArray.from_buffers(
-                    pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(raw)]
+                    pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(data)]
                 )
-                yield pa.RecordBatch.from_arrays([*keys, texts.cast(pa.binary())], ["n", "fp", "bytes"])
+                out = pa.RecordBatch.from_arrays([*keys, texts], ["n", "fp", "bytes"])
+                out = out.filter(pa.array(in_bitmap(bits.value, hash_longs(prints))))
+                yield out.set_column(2, "bytes", out.column(2).cast(pa.binary()))
                 continue
-            view = memoryview(raw)
-            digest = [hashlib.sha256(view[a:b]).hexdigest() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
-            n = batch.num_rows
+            digest, n = text_digests(data, bounds), batch.num_rows
             out = [batch.column(0), *keys, pa.array(digest, pa.string()), pa.array([part] * n, pa.string())]
-            out += [pa.array(np.arange(place, place + n))] + ([batch.column(2)] if what == "rows" else [])
+            out.append(pa.array(np.arange(place, place + n)))
             place += n
-            yield pa.RecordBatch.from_arrays(out, ["id", "n", "fp", "sha", "part", "place", "row"][: len(out)])
+            yield pa.RecordBatch.from_arrays(out, ["id", "n", "fp", "sha", "part", "place"])
 
     if not sums:
         return rows.mapInArrow(run, "n bigint, fp bigint, bytes binary")
     schema = f"id {docs.schema[id_col].dataType.simpleString()}, n bigint, fp bigint, sha string, part string, place bigint"
-    return rows.mapInArrow(run, schema + (f", row {rows.schema['row'].dataType.simpleString()}" if what == "rows" else ""))
+    return rows.mapInArrow(run, schema)
+
+
+def text_digests(data: np.ndarray, bounds: np.ndarray) -> list[str]:
+    view = memoryview(data.tobytes())
+    return [hashlib.sha256(view[a:b]).hexdigest() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
 
 
 def exact_groups(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: bool = False, primes=PRIMES, bases=BASES
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", primes=PRIMES, bases=BASES
 ) -> DataFrame:
-    """One row per document: ``(id, keep_id, group_size, kept, text_sha256)``, and the document's columns in
-    ``row`` if ``rows``."""
-    sums = settle_table(_fingerprinted(docs, id_col, text_col, "rows" if rows else "sums", primes, bases), "sums")
+    """One row per document: ``(id, keep_id, group_size, kept, text_sha256)``."""
+    return _groups(docs, id_col, text_col, primes, bases).select(
+        F.col("id").alias(id_col), "keep_id", "group_size", "kept", F.col("sha").alias("text_sha256")
+    )
+
+
+def _groups(docs: DataFrame, id_col: str, text_col: str, primes=PRIMES, bases=BASES) -> DataFrame:
+    sums = settle_table(_fingerprinted(docs, id_col, text_col, "sums", primes, bases), "sums")
     repeated = sums.groupBy("n", "fp").agg(F.count("*").alias("members")).where("members > 1").select("n", "fp")
-    texts = _fingerprinted(docs, id_col, text_col, "texts", primes, bases).join(repeated, ["n", "fp"], "left_semi")
+    bits = bitmap(repeated.select(F.xxhash64("fp").alias("h")), "h")
+    texts = _fingerprinted(docs, id_col, text_col, "texts", primes, bases, bits).join(repeated, ["n", "fp"], "left_semi")
     places = F.sequence(F.lit(0), F.greatest(F.ceil(F.col("n") / COMPARED) - 1, F.lit(0)).cast("int"))
     compared = (
         texts.select("n", "fp", "bytes", F.explode(places).alias("at"))
@@ -152,13 +162,17 @@ def exact_groups(
     first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "part", "place"))
     groups = keyed.groupBy("n", "fp", "sub").agg(F.count("*").alias("group_size"), first.alias("keep"))
     kept = (F.col("part") == F.col("keep.part")) & (F.col("place") == F.col("keep.place"))
-    out = keyed.join(groups, ["n", "fp", "sub"]).select(
-        F.col("id").alias(id_col), F.col("keep.id").alias("keep_id"), "group_size", kept.alias("kept"),
-        F.col("sha").alias("text_sha256"), *(["row"] if rows else []),
-    )
-    return out
+    return keyed.join(groups, ["n", "fp", "sub"]).select(
+        "id", "fp", "sha", F.col("keep.id").alias("keep_id"), "group_size", kept.alias("kept")
+    )
+
+
+def _keys(texts: pa.Array) -> tuple[np.ndarray, list[str]]:
+    data, bounds = normalised_bytes(texts)
+    return fingerprints(data, bounds), text_digests(data, bounds)
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The first row, by id, of every group of equal texts, with all its columns."""
-    return exact_groups(docs, id_col, text_col, rows=True).where("kept").select("row.*")
+    groups = _groups(docs, id_col, text_col).select("id", F.col("fp").alias("code"), F.col("sha").alias("key"), "kept")
+    return keep_rows(docs, id_col, text_col, _keys, "string", settle_table(groups, "groups"))

@@ -8,7 +8,7 @@ forest of the links it has found, never all pairs, and star contractions join th
 
 Missing texts count as empty; a text without words has fingerprint zero. Equal texts share a fingerprint and
 so a component. Missing ids keep their rows; a component's id is its smallest id (missing if all are).
-An empty table gives an empty table. Only the named columns are read; others are handed on in ``row``.
+An empty table gives an empty table. Only the named columns are read.
 """
 
 from __future__ import annotations
@@ -19,9 +19,10 @@ from itertools import product
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cardwarden.llm.bitmaps import keep_rows
 from cardwarden.llm.components import components
 from cardwarden.llm.words import slices, split_words, spread
 from cardwarden.session import settle_table
@@ -78,21 +79,16 @@ def majority(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return out
 
 
-def fingerprint_table(docs: DataFrame, id_col: str, text_col: str, rows: bool, shingle: int = 3) -> DataFrame:
-    """``(id, fp[, row])``"""
-    columns = [F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")]
-    if rows:
-        columns.append(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
-    source = docs.select(*columns)
+def fingerprint_table(docs: DataFrame, id_col: str, text_col: str, shingle: int = 3) -> DataFrame:
+    """``(id, fp)``"""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             fp = pa.array(batch_fingerprints(batch.column(1), shingle).astype(np.int64))
-            out = [batch.column(0), fp] + ([batch.column(2)] if rows else [])
-            yield pa.RecordBatch.from_arrays(out, ["id", "fp", "row"][: len(out)])
+            yield pa.RecordBatch.from_arrays([batch.column(0), fp], ["id", "fp"])
 
-    schema = f"id {docs.schema[id_col].dataType.simpleString()}, fp bigint"
-    return source.mapInArrow(run, schema + (f", row {source.schema['row'].dataType.simpleString()}" if rows else ""))
+    source = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    return source.mapInArrow(run, f"id {docs.schema[id_col].dataType.simpleString()}, fp bigint")
 
 
 # --------------------------------------------------------------------------- tiles
@@ -232,19 +228,22 @@ def links_within(fps: DataFrame, radius: int = 2, part_rows: int | None = None)
 
 
 def near_duplicate_components(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 2, shingle: int = 3, rows: bool = False
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 2, shingle: int = 3
 ) -> DataFrame:
-    """``(id, fingerprint, component_id[, row])``, one row per document."""
-    table = settle_table(fingerprint_table(docs, id_col, text_col, rows, shingle), "fingerprints")
+    """``(id, fingerprint, component_id)``, one row per document."""
+    return _components(docs, id_col, text_col, radius, shingle).select(
+        F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
+def _components(docs: DataFrame, id_col: str, text_col: str, radius: int, shingle: int) -> DataFrame:
+    table = settle_table(fingerprint_table(docs, id_col, text_col, shingle), "fingerprints")
     distinct = settle_table(table.groupBy("fp").agg(F.min("id").alias("least_id")), "distinct")
     roots = components(links_within(distinct, radius)).withColumnRenamed("node", "fp")
     nodes = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     smallest = nodes.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    named = nodes.join(smallest, "root").select("fp", "component_id")
-    return table.join(named, "fp").select(
-        F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id",
-        *(["row"] if rows else []),
-    )
+    named = nodes.join(smallest, "root").select("fp", "root", "component_id")
+    return table.join(named, "fp").select("id", "fp", "root", "component_id")
 
 
 def keep_first(
@@ -252,13 +251,17 @@ def keep_first(
 ) -> DataFrame:
     """The document with the smallest id of each component, with all its columns.
 
-    Rows that share this id (or that all lack one) are one document; of several fingerprints among them the
-    smallest stays, and of rows equal in both the one first in the input.
+    Of rows that share this id (or all lack one) the one with the smallest fingerprint stays, then any one.
     """
-    named = settle_table(near_duplicate_components(docs, id_col, text_col, radius, shingle, rows=True), "components")
-    first = F.col(f"`{id_col}`").eqNullSafe(F.col("component_id"))
-    # Components without any id are told apart by fingerprint only.
-    group = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("#"), F.col("fingerprint")))
-    # A component has few rows with its smallest id: those of one document.
-    order = Window.partitionBy(group).orderBy("fingerprint", F.xxhash64(*(F.col(f"row.`{c}`") for c in docs.columns)))
-    return named.where(first).withColumn("nth", F.row_number().over(order)).where("nth = 1").select("row.*")
+
+    def keys(texts: pa.Array) -> tuple[np.ndarray, list[int]]:
+        fps = batch_fingerprints(texts, shingle).astype(np.int64)
+        return fps, fps
+
+    named = settle_table(_components(docs, id_col, text_col, radius, shingle), "components")
+    first = named.groupBy("root").agg(
+        F.min(F.when(F.col("id").eqNullSafe(F.col("component_id")), F.col("fp"))).alias("first_fp")
+    )
+    kept = F.col("id").eqNullSafe(F.col("component_id")) & (F.col("fp") == F.col("first_fp"))
+    decisions = named.join(first, "root").select("id", F.col("fp").alias("code"), F.col("fp").alias("key"), kept.alias("kept"))
+    return keep_rows(docs, id_col, text_col, keys, "bigint", decisions)

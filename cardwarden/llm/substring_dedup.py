@@ -15,7 +15,8 @@ and the joins behind are exact.
 
 Missing and empty texts, and texts shorter than a window, keep all their words. Rows of equal text are each
 other's copies, so all windows of such texts go. An empty table gives an empty table. Ids may be missing or
-repeated: sources are found by their text. Only the named columns are read; others are handed on in ``row``.
+repeated: sources are found by their text. Only the named columns are read; others are handed on in ``row``. In
+:func:`without_repeated` missing texts become empty.
 """
 
 from __future__ import annotations
@@ -28,17 +29,15 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cardwarden.llm.bitmaps import bitmap, in_bitmap
 from cardwarden.llm.words import Words, slices, split_words, spread
 from cardwarden.session import settle_table
 
 #: Words of a k-mer.
 K = 16
-#: Bits of the bitmaps between scans, as a power of two: 16 MB.
-FILTER_BITS = 27
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
@@ -137,26 +136,6 @@ def _scan(docs: DataFrame, emit: Callable, schema: str, text_col: str) -> DataFr
     return texts.mapInArrow(run, schema)
 
 
-def _bitmap(hashes: DataFrame, column: str) -> Broadcast:
-    """A bitmap of fixed size over the top bits of the hashes."""
-    place = F.shiftrightunsigned(column, 64 - FILTER_BITS)
-    bits = (
-        hashes.select(F.shiftright(place, 6).cast("int").alias("word"), (place % 64).cast("int").alias("bit"))
-        .groupBy("word")
-        .agg(F.expr("bit_or(shiftleft(1L, bit))").alias("bits"))
-        .toArrow()
-    )
-    out = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-    out[bits.column("word").to_numpy()] = bits.column("bits").to_numpy()
-    return hashes.sparkSession.sparkContext.broadcast(out)
-
-
-def _in_bitmap(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    place = hashes >> np.uint64(64 - FILTER_BITS)
-    word = bitmap.view(np.uint64)[(place >> np.uint64(6)).astype(np.int64)]
-    return (word >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
-
-
 def repeated_spans(docs: DataFrame, window: int, text_col: str = "text", k: int = K) -> DataFrame:
     """``(k1, k2, spans array<struct<lo, n>>)``: for each text that has any, the first words of its repeated
     windows, as runs of ``n`` from ``lo``."""
@@ -171,13 +150,13 @@ def repeated_spans(docs: DataFrame, window: int, text_col: str = "text", k: int
         return hashes.astype(np.int64), np.minimum(counts, 2).astype(np.int32)
 
     seen = _scan(docs, edges, "a bigint, n int", text_col).groupBy("a").agg(F.sum("n").alias("n"))
-    repeated = _bitmap(seen.where("n > 1"), "a")
+    repeated = bitmap(seen.where("n > 1"), "a")
 
     def paths(words: Words, batch: pa.RecordBatch):
         found = anchors(words, window, k)
         if found is None:
             return None
-        some = np.flatnonzero(_in_bitmap(repeated.value, found.hashes))
+        some = np.flatnonzero(in_bitmap(repeated.value, found.hashes))
         at, size = found.at[some], found.windows[some]
         around = _mix(found.rolling[1].of(at, at + size + window - 1)) ^ _mix((size << 16 | found.offset[some]).astype(np.uint64))
         k1, k2 = _text_keys(words, batch)
@@ -191,13 +170,13 @@ def repeated_spans(docs: DataFrame, window: int, text_col: str = "text", k: int
     counts = settle_table(steps.groupBy("a", "around").agg(F.count("*").alias("times")), "neighbourhoods")
     unbranched = steps.join(counts.where("times > 1").select("a", "around"), ["a", "around"], "left_semi")
     branching = counts.groupBy("a").agg(F.count("*").alias("ways"), F.min("times").alias("least"))
-    branches = _bitmap(branching.where("ways > 1 and least = 1"), "a")
+    branches = bitmap(branching.where("ways > 1 and least = 1"), "a")
 
     def windows(words: Words, batch: pa.RecordBatch):
         found = anchors(words, window, k)
         if found is None:
             return None
-        some = np.flatnonzero(_in_bitmap(branches.value, found.hashes))
+        some = np.flatnonzero(in_bitmap(branches.value, found.hashes))
         size = found.windows[some]
         at, lo = spread(found.at[some], size), spread(found.first[some], size)
         text = np.repeat(found.text[some], size)
@@ -215,11 +194,13 @@ def repeated_spans(docs: DataFrame, window: int, text_col: str = "text", k: int
 def remove_repeated(
     docs: DataFrame, window: int = 35, id_col: str = "doc_id", text_col: str = "text", rows: bool = False, k: int = K
 ) -> DataFrame:
-    """``(id, n_words, n_removed, kept_sha256[, kept, row])``; ``kept``: the words that stay, joined by a space."""
+    """``(id, n_words, n_removed, kept_sha256[, left, row])``. ``left``: the words that stay, joined by a space, or
+    the text itself if it loses none; ``row``: the other columns."""
     spans = repeated_spans(docs, window, text_col, k)
     columns = [F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")]
     if rows:
-        columns.append(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+        others = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
+        columns.append(F.struct(*others, F.lit(0).alias("_")).alias("row"))
     source = docs.select(*columns)
 
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,15 +238,15 @@ def remove_repeated(
             sha = [hashlib.sha256(x.as_buffer() or b"").hexdigest() for x in kept]
             out = [batch.column(0), pa.array(counts.astype(np.int64)), pa.array(removed), pa.array(sha, pa.string())]
             if rows:
-                out += [kept.cast(pa.string()), batch.column(3)]
-            yield pa.RecordBatch.from_arrays(out, ["id", "n_words", "n_removed", "kept_sha256", "kept", "row"][: len(out)])
+                same = pc.if_else(pa.array(removed > 0), kept, batch.column(1))
+                out += [same.cast(pa.string()), batch.column(3)]
+            yield pa.RecordBatch.from_arrays(out, ["id", "n_words", "n_removed", "kept_sha256", "left", "row"][: len(out)])
 
-    schema = f"id {kind}, n_words bigint, n_removed bigint, kept_sha256 string" + (", kept string" + row_type) * rows
+    schema = f"id {kind}, n_words bigint, n_removed bigint, kept_sha256 string" + (", left string" + row_type) * rows
     return joined.mapInArrow(remove, schema).withColumnRenamed("id", id_col)
 
 
 def without_repeated(docs: DataFrame, window: int = 35, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents with their columns; texts that lose words become the words left, joined by a space."""
     done = remove_repeated(docs, window, id_col, text_col, rows=True)
-    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col(f"row.`{text_col}`"))
-    return done.select(*(text.alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns))
+    return done.select(*(F.col("left").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns))
