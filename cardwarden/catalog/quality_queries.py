@@ -278,7 +278,7 @@ def drift(spark, sf_dir):
 def drift_exact(spark, sf_dir):
     """The same with the exact small-sample p-value (no closed form in SQL)."""
     columns = ["amt", "distance_km", "is_fraud"]
-    return rounded(feature_drift(both_sides(spark, sf_dir, columns), columns, p_method="auto"))
+    return rounded(feature_drift(both_sides(spark, sf_dir, columns), columns, p_method="exact"))
 
 
 @query(

@@ -13,9 +13,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Both samples up to this size get the exact two-sample distribution.
-EXACT_KS_ROWS = 10_000
-
 
 def ks_asymptotic(d: Column, n: Column, m: Column) -> Column:
     """Kolmogorov tail series with the usual small-sample factor, JVM-side."""

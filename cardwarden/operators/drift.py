@@ -129,29 +129,20 @@ def ks_distances(
     return feature_names(result, features)
 
 
-def ks_p_value(statistic: Column, n: Column, m: Column, method: str = "auto") -> Column:
-    """``exact`` for small samples, ``asymptotic`` otherwise; ``auto`` picks by sample size."""
+def ks_p_value(statistic: Column, n: Column, m: Column, method: str = "asymptotic") -> Column:
+    """``asymptotic`` or ``exact``, for samples of any size; the method never changes by itself."""
     if method == "asymptotic":
         return pvalues.ks_asymptotic(statistic, n, m)
     if method == "exact":
         return pvalues.ks_exact(statistic, n, m)
-    if method != "auto":
-        raise ValueError(f"unknown p-value method: {method}")
-    small = F.greatest(n, m) <= pvalues.EXACT_KS_ROWS
-    # The UDF runs for every row, so large samples are handed over as an empty lattice.
-    exact = pvalues.ks_exact(
-        F.when(small, statistic).otherwise(F.lit(0.0)),
-        F.when(small, n).otherwise(F.lit(1)),
-        F.when(small, m).otherwise(F.lit(1)),
-    )
-    return F.when(small, exact).otherwise(pvalues.ks_asymptotic(statistic, n, m))
+    raise ValueError(f"unknown p-value method: {method}")
 
 
 def feature_drift(
     df: DataFrame,
     features: list[str],
     threshold: float = 0.05,
-    p_method: str = "auto",
+    p_method: str = "asymptotic",
     buckets: int | None = None,
 ) -> DataFrame:
     """``(feature, test, statistic, p_value, drifted, threshold)`` between ``ref`` and ``cur``.
@@ -262,7 +253,13 @@ def target_drift(df: DataFrame, label: str = LABEL, threshold: float = 0.05) ->
         "reference_fraud_rate",
         "current_fraud_rate",
         (F.col("current_fraud_rate") - F.col("reference_fraud_rate")).alias("fraud_rate_change"),
-        pvalues.binomial_p("_k", "_n", "reference_fraud_rate").alias("p_value"),
+        # Without rows or labels on a side there is nothing to test.
+        F.when(
+            F.col("reference_fraud_rate").isNotNull() & F.col("current_fraud_rate").isNotNull(),
+            pvalues.binomial_p(
+                F.coalesce("_k", F.lit(0)), F.col("_n"), F.coalesce("reference_fraud_rate", F.lit(0.0))
+            ),
+        ).alias("p_value"),
     ).select("*", (F.col("p_value") < threshold).alias("drifted"), F.lit(float(threshold)).alias("threshold"))
 
 
@@ -278,7 +275,7 @@ def drift_summary(results: DataFrame) -> DataFrame:
     )
 
 
-def split_shift(df: DataFrame, features: list[str], p_method: str = "auto", buckets: int | None = None) -> DataFrame:
+def split_shift(df: DataFrame, features: list[str], p_method: str = "asymptotic", buckets: int | None = None) -> DataFrame:
     """Distances train-validation and train-test per feature, from one set of running totals."""
     sided = df.withColumnRenamed("split", "side")
     d = ks_distances(sided, features, ["train", "val", "test"], [("train", "val"), ("train", "test")], buckets)

@@ -257,7 +257,9 @@ def bias_variance(long: DataFrame, metric: str = "auprc") -> DataFrame:
     train, val, test = F.col("train"), F.col("val"), F.col("test")
     gap = F.abs(train - val)
     diagnosis = (
-        F.when(train < LOW_TRAIN_METRIC, DIAGNOSES["bias"])
+        # Without a training or validation value there is no diagnosis.
+        F.when(gap.isNull(), F.lit(None).cast("string"))
+        .when(train < LOW_TRAIN_METRIC, DIAGNOSES["bias"])
         .when(gap > LARGE_GAP, DIAGNOSES["variance"])
         .when(gap > NOTICEABLE_GAP, DIAGNOSES["moderate"])
         .otherwise(DIAGNOSES["good"])

@@ -5,7 +5,7 @@ Runs and models are rows, so any number of models is gated in one plan.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Stage names, alias, required precision share and the reason texts.
@@ -60,13 +60,16 @@ def run_metrics(long: DataFrame) -> DataFrame:
 
 
 def promotion_metrics(metrics: DataFrame) -> DataFrame:
-    """One row per run ``(run_id, val_auprc, val_recall, val_precision)``.
+    """One row per run ``(run_id, val_auprc, val_recall, val_precision, auprc, recall, precision)``.
 
-    ``metrics`` has ``(run_id, name, value)``. Runs with plain validation recall and precision keep
+    ``metrics`` has ``(run_id, name, value[, position])``. Plain names are kept for runs that have no others. Runs with plain validation recall and precision keep
     them. For others the per-model names are grouped: complete triples come before incomplete ones,
-    then the highest average precision, then the model name; plain values still take precedence.
+    then the highest average precision, then the model whose metrics come first (by ``position``, if the
+    table has one, then by name); plain values still take precedence.
     """
+    position = F.col("position") if "position" in metrics.columns else F.lit(0)
     parsed = metrics.select(
+        position.cast("long").alias("position"),
         "run_id",
         "name",
         "value",
@@ -74,19 +77,23 @@ def promotion_metrics(metrics: DataFrame) -> DataFrame:
         F.regexp_extract("name", r"^(.*)_val_(auprc|recall|precision)$", 2).alias("metric"),
     )
     plain = parsed.groupBy("run_id").agg(
-        *[F.max(F.when(F.col("name") == f"val_{m}", F.col("value"))).alias(f"plain_{m}") for m in PROMOTION_METRICS]
+        *[F.max(F.when(F.col("name") == f"val_{m}", F.col("value"))).alias(f"plain_{m}") for m in PROMOTION_METRICS],
+        *[F.max(F.when(F.col("name") == m, F.col("value"))).alias(m) for m in PROMOTION_METRICS],
     )
     per_model = (
         parsed.where((F.col("metric") != "") & (F.col("model") != "best"))
         .groupBy("run_id", "model")
-        .agg(*[F.max(F.when(F.col("metric") == m, F.col("value"))).alias(m) for m in PROMOTION_METRICS])
+        .agg(
+            F.min("position").alias("position"),
+            *[F.max(F.when(F.col("metric") == m, F.col("value"))).alias(m) for m in PROMOTION_METRICS],
+        )
     )
     complete = F.col("auprc").isNotNull() & F.col("recall").isNotNull() & F.col("precision").isNotNull()
     zeroed = [F.coalesce(m, F.lit(0.0)).alias(m) for m in PROMOTION_METRICS]
     # The smallest entry: complete first, high precision average first, then by name.
     best = per_model.groupBy("run_id").agg(
         F.min_by(
-            F.struct(*zeroed), F.struct((~complete).alias("c"), (-F.coalesce("auprc", F.lit(0.0))).alias("a"), F.col("model"))
+            F.struct(*zeroed), F.struct((~complete).alias("c"), (-F.coalesce("auprc", F.lit(0.0))).alias("a"), "position", "model")
         ).alias("best")
     )
     settled = F.col("plain_recall").isNotNull() & F.col("plain_precision").isNotNull()
@@ -98,6 +105,7 @@ def promotion_metrics(metrics: DataFrame) -> DataFrame:
             .alias(f"val_{m}")
             for m in PROMOTION_METRICS
         ],
+        *PROMOTION_METRICS,
     )
 
 
@@ -165,22 +173,27 @@ def champion_versions(registry: DataFrame, stage: str = PRODUCTION) -> DataFrame
 
 
 def champion_metrics(registry: DataFrame, metrics: DataFrame, stage: str = PRODUCTION) -> DataFrame:
-    """Normalised run metrics of every champion."""
-    return champion_versions(registry, stage).join(promotion_metrics(metrics), "run_id")
+    """Normalised run metrics of every champion; a champion whose run has none keeps its row."""
+    return champion_versions(registry, stage).join(promotion_metrics(metrics), "run_id", "left")
 
 
 def apply_promotions(registry: DataFrame, promoted: DataFrame, stage: str = PRODUCTION) -> DataFrame:
     """The registry after registering ``promoted`` ``(model_name, run_id)`` in ``stage``.
 
-    The new version follows the highest one. In production, versions already there are archived
+    New versions follow the highest one; several runs of one model are numbered by run. In production, versions already there are archived
     and the champion alias moves.
     """
     latest = registry.groupBy("model_name").agg(F.max("version").alias("latest"))
-    new = promoted.join(latest, "model_name", "left").select(
+    # Few rows: promotions, not transactions. The last of a model's runs carries the alias.
+    runs = Window.partitionBy("model_name").orderBy("run_id")
+    backwards = Window.partitionBy("model_name").orderBy(F.desc("run_id"))
+    numbered = promoted.withColumns({"_nth": F.row_number().over(runs), "_last": F.row_number().over(backwards) == 1})
+    in_stage = F.when(F.col("_last") | F.lit(stage != PRODUCTION), F.lit(stage)).otherwise(F.lit(ARCHIVED))
+    new = numbered.join(latest, "model_name", "left").select(
         "model_name",
-        (F.coalesce("latest", F.lit(0)) + 1).cast(registry.schema["version"].dataType).alias("version"),
-        F.lit(stage).alias("stage"),
-        F.lit(CHAMPION if stage == PRODUCTION else None).cast("string").alias("alias"),
+        (F.coalesce("latest", F.lit(0)) + F.col("_nth")).cast(registry.schema["version"].dataType).alias("version"),
+        in_stage.alias("stage"),
+        F.when(F.col("_last") & F.lit(stage == PRODUCTION), F.lit(CHAMPION)).alias("alias"),
         "run_id",
     )
     if stage != PRODUCTION:

@@ -29,7 +29,7 @@ def population_stability(
 ) -> DataFrame:
     """``(feature, psi, status)``; bins are cut at exact reference quantiles.
 
-    Empty bins count with a share of ``SHARE_FLOOR``. The quantiles (``bins - 1`` numbers per
+    Empty bins count with a share of ``SHARE_FLOOR``; a side without any value gives NULL and ``no data``. The quantiles (``bins - 1`` numbers per
     feature) become constants of the counting pass.
     """
     steps = [i / bins for i in range(1, bins)]
@@ -62,8 +62,8 @@ def population_stability(
     return (
         counts.join(F.broadcast(totals), "feature")
         .groupBy("feature")
-        .agg(F.sum((c - r) * F.log(c / r)).alias("psi"))
-        .withColumn("status", level(F.col("psi"), warn, alert))
+        .agg(F.sum(F.when((F.col("ref_all") > 0) & (F.col("cur_all") > 0), (c - r) * F.log(c / r))).alias("psi"))
+        .withColumn("status", F.when(F.col("psi").isNull(), F.lit("no data")).otherwise(level(F.col("psi"), warn, alert)))
     )
 
 
@@ -77,4 +77,7 @@ def category_share_shift(
     cur = F.try_divide(F.col("n_cur"), F.lit(totals["cur_all"]))
     return counts.select(
         "category_value", ref.alias("ref_share"), cur.alias("cur_share"), F.abs(cur - ref).alias("share_diff")
-    ).withColumn("status", level(F.col("share_diff"), warn, alert))
+    ).withColumn(
+        "status",
+        F.when(F.col("share_diff").isNull(), F.lit("no data")).otherwise(level(F.col("share_diff"), warn, alert)),
+    )

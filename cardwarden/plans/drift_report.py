@@ -22,7 +22,7 @@ def drift_report(
     numeric_threshold: float = 0.05,
     target_threshold: float = 0.05,
     label: str = LABEL,
-    p_method: str = "auto",
+    p_method: str = "asymptotic",
 ) -> DataFrame:
     """One row per section and subject: every feature, the target (if both sides carry the label)
     and the summary, with the section's values as JSON."""

@@ -6,7 +6,6 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cardwarden.schema import REQUEST_SCHEMA, ROW_ID, SOURCE_INDEX, SOURCE_SCHEMA
 
@@ -56,11 +55,24 @@ def write_csv(df: DataFrame, path: str) -> None:
 def read_request_csv(spark: SparkSession, path: str) -> DataFrame:
     """Scoring requests from CSV files whose header names may carry stray blanks.
 
-    Columns are matched by trimmed name in any order and read with the request types; columns
-    outside the request schema stay text, missing ones are left out.
+    Columns are matched by trimmed name. Files of a folder may order their columns differently: files
+    are grouped by their header line, and each group is read by its own header. Known columns get the
+    request types, others stay text; columns that no file has are left out.
     """
-    raw = spark.read.option("header", True).csv(path)
-    # The reader is told the types by position, so only the header line is looked at twice.
-    types = {f.name: f.dataType for f in REQUEST_SCHEMA.fields}
-    fields = [T.StructField(c.strip(), types.get(c.strip(), T.StringType())) for c in raw.columns]
-    return spark.read.schema(T.StructType(fields)).option("header", True).csv(path)
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    # One line per file: the first of its first block.
+    headers = lines.where("start = 0").groupBy("file").agg(F.first("value").alias("header"))
+    by_header: dict[str, list[str]] = {}
+    for r in headers.orderBy("file").collect():
+        by_header.setdefault(r["header"], []).append(r["file"])
+    types = {f.name: f.dataType.simpleString() for f in REQUEST_SCHEMA.fields}
+
+    def read(files: list[str]) -> DataFrame:
+        raw = spark.read.option("header", True).option("enforceSchema", False).csv(files)
+        named = raw.toDF(*[c.strip() for c in raw.columns])
+        return named.select(*[F.col(f"`{c}`").try_cast(types[c]).alias(c) if c in types else F.col(f"`{c}`") for c in named.columns])
+
+    parts = [read(files) for files in by_header.values()]
+    if not parts:
+        return spark.read.option("header", True).csv(path)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

@@ -8,7 +8,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from cardwarden.operators.history import MOMENTS, earlier_moments, moment_statistics, moment_sums
+from cardwarden.operators.history import (
+    MOMENTS,
+    added,
+    earlier_moments,
+    merged_sums,
+    moment_statistics,
+    moment_sums,
+)
 from cardwarden.operators.keyed_join import attach
 from cardwarden.operators.scoring import score_requests
 from cardwarden.operators.validation import Rule, request_rules, with_reasons
@@ -153,12 +160,13 @@ def stream_history(
     """Statistics of a key's earlier transactions for every row of a stream.
 
     A row sees the strictly earlier rows of its own micro-batch and all rows of earlier batches.
-    The state is a log of additive moments per key and batch. Output and log of a batch are written
+    Earlier batches count as the past, whatever the times of their rows.
+    The state is a log of moments per key and batch, merged pair by pair. Output and log of a batch are written
     below its number and only lower numbers are read, so a repeated batch gives the same result.
     """
     spark = transactions.sparkSession
     kept = keep or ["trans_num"]
-    schema = f"{key} string, n bigint, s double, q double, p bigint, batch bigint"
+    schema = f"{key} string, n bigint, k bigint, mean double, m2 double, l bigint, p bigint, batch bigint"
 
     def write_batch(batch: DataFrame, number: int) -> None:
         batch = batch.persist()
@@ -166,13 +174,13 @@ def stream_history(
             own = batch.where(F.col(key).isNotNull()).groupBy(key).agg(*moment_sums(F.col("amt")))
             own.write.mode("overwrite").parquet(f"{state}/batch={number}")
             log = spark.read.schema(schema).parquet(state).where(F.col("batch") < number)
-            past = log.groupBy(key).agg(*[F.sum(m).alias(f"past_{m}") for m in MOMENTS])
+            past = log.groupBy(key).agg(*merged_sums()).select(key, *[F.col(m).alias(f"past_{m}") for m in MOMENTS])
             now = own.select(key, F.col("n").alias("_rows"))
             # Only keys of this batch, with their row counts for the skew-safe join.
             known = now.join(past, key, "left")
             rows = earlier_moments(batch, key, spread_by=spread_by)
             joined = attach(rows, known, [key], "_rows", spread_by or ["trans_num"])
-            total = [F.col(m) + F.coalesce(f"past_{m}", F.lit(0)) for m in MOMENTS]
+            total = added([F.coalesce(f"past_{m}", F.lit(0)) for m in MOMENTS], [F.col(m) for m in MOMENTS])
             stats = moment_statistics(*total, prefix)
             joined.select(*kept, *[c.alias(n) for n, c in stats.items()]).write.mode(
                 "overwrite"

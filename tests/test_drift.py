@@ -34,7 +34,7 @@ def test_fixture(tables):
     ref, cur = tables
     columns = shared_numeric(ref, cur)
     both = two_sides(ref, cur, columns)
-    rows = {r["feature"]: r for r in feature_drift(both, columns).collect()}
+    rows = {r["feature"]: r for r in feature_drift(both, columns, p_method="exact").collect()}
     assert rows["amt"]["statistic"] == 0.25 and rows["city_pop"]["statistic"] == 0.25
     assert rows["is_fraud"]["statistic"] == 0.0
     assert rows["amt"]["p_value"] == pytest.approx(1.0)
@@ -179,3 +179,17 @@ def test_stability_index(spark):
     assert got["x"]["psi"] == pytest.approx(((c - r) * np.log(c / r)).sum(), abs=1e-9)
     assert got["x"]["status"] == "alert"
     assert got["flat"]["psi"] == 0.0 and got["flat"]["status"] == "ok"
+
+
+def test_empty_sides_give_no_verdict(spark):
+    from cardwarden.operators.metrics import bias_variance
+    from cardwarden.operators.stability import population_stability
+
+    one_sided = spark.createDataFrame([("ref", 1.0, 1), ("ref", 2.0, 0)], "side string, x double, is_fraud int")
+    row = target_drift(one_sided).first()
+    assert row["p_value"] is None and row["drifted"] is None
+    assert target_drift(one_sided.where("false")).first()["p_value"] is None
+    row = population_stability(one_sided, ["x"]).first()
+    assert row["psi"] is None and row["status"] == "no data"
+    long = spark.createDataFrame([("m", "val", "auprc", 0.5)], "model string, split string, metric string, value double")
+    assert bias_variance(long).first()["diagnosis"] is None

@@ -125,3 +125,46 @@ def test_whole_job(spark):
     assert rows["m"]["promoted"] and rows["m"]["champion_run_id"] == "old"
     assert rows["n"]["reason"].startswith("No champion")
     assert {(r["model_name"], r["version"]) for r in champion_versions(after).collect()} == {("m", 2), ("n", 1)}
+
+
+def test_plain_names_are_compared(spark):
+    from cardwarden.plans.promote import promote
+
+    challengers = spark.createDataFrame([("m", "new")], "model_name string, run_id string")
+    metrics = spark.createDataFrame(
+        [("new", "recall", 0.90), ("new", "precision", 0.9), ("old", "recall", 0.95), ("old", "precision", 0.9)],
+        "run_id string, name string, value double",
+    )
+    registry = spark.createDataFrame(
+        [("m", 1, "Production", "champion", "old")],
+        "model_name string, version int, stage string, alias string, run_id string",
+    )
+    report, _ = promote(challengers, metrics, registry)
+    row = report.first()
+    assert not row["promoted"] and row["reason"].startswith("Challenger Recall (0.9000)")
+    # A champion whose run has no metrics is compared all the same.
+    report, after = promote(challengers, metrics.where("run_id = 'new'"), registry)
+    row = report.first()
+    assert row["promoted"] and row["champion_run_id"] == "old" and row["reason"].startswith("Recall: 0.9000 >= 0.0000")
+    assert {(r["version"], r["stage"]) for r in after.collect()} == {(1, "Archived"), (2, "Production")}
+
+
+def test_equal_models_go_by_order(spark):
+    from cardwarden.operators.promotion import promotion_metrics
+
+    rows = [("r", f"{m}_val_{k}", 0.5 + d, p) for m, d, p in (("zeta", 0.1, 0), ("alpha", 0.2, 1)) for k in ("recall", "precision")]
+    rows += [("r", f"{m}_val_auprc", 0.7, p) for m, p in (("zeta", 0), ("alpha", 1))]
+    metrics = spark.createDataFrame(rows, "run_id string, name string, value double, position int")
+    assert promotion_metrics(metrics).first()["val_recall"] == 0.6
+
+
+def test_two_promotions_of_a_model(spark):
+    from cardwarden.operators.promotion import apply_promotions
+
+    registry = spark.createDataFrame(
+        [("m", 4, "Production", "champion", "old")],
+        "model_name string, version int, stage string, alias string, run_id string",
+    )
+    promoted = spark.createDataFrame([("m", "r1"), ("m", "r2")], "model_name string, run_id string")
+    got = {(r["version"], r["stage"], r["alias"]) for r in apply_promotions(registry, promoted).collect()}
+    assert got == {(4, "Archived", None), (5, "Archived", None), (6, "Production", "champion")}

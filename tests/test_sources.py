@@ -173,3 +173,12 @@ def test_cluster_without_shared_folder_is_an_error():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_root(Session)
+
+
+def test_request_files_with_columns_in_another_order(spark, tmp_path):
+    from cardwarden.sources.csv_files import read_request_csv
+
+    (tmp_path / "a.csv").write_text("lat, long \n1.5,2.5\n")
+    (tmp_path / "b.csv").write_text("long,lat\n20.5,10.5\n")
+    got = {(r["lat"], r["long"]) for r in read_request_csv(spark, str(tmp_path)).collect()}
+    assert got == {(1.5, 2.5), (10.5, 20.5)}
