@@ -67,7 +67,7 @@ def keep_rows(
     arrow_kind = pa.int64() if key_type == "bigint" else pa.string()
 
     def flag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 2 << 20):
             codes, keys = keys_of(batch.column(1))
             hit = in_bitmap(doubtful.value, hash_longs(codes))
             yield pa.RecordBatch.from_arrays(

@@ -31,6 +31,8 @@ from cardwarden.session import settle, settle_table
 PRIMES = (2147483647, 2147483629)
 BASES = (911382323, 972663749)
 CHUNK = 4096
+#: Bytes of text handled at a time; a byte needs some forty bytes of memory meanwhile.
+SLICE = 2 << 20
 #: Bytes per row of the streaming comparison.
 COMPARED = 16384
 
@@ -103,7 +105,7 @@ def _fingerprinted(docs: DataFrame, id_col: str, text_col: str, what: str, prime
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, place = uuid.uuid4().hex, 0
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             data, bounds = normalised_bytes(batch.column(1))
             prints = fingerprints(data, bounds, primes, bases)
             keys = [pa.array(np.diff(bounds)), pa.array(prints)]

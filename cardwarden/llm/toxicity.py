@@ -202,7 +202,7 @@ class Lexicon:
         self.insults = insults
         self.fixed = {w: c for c, ws in WORDS.items() for w in ws.split()}
         self._sizes = sorted({len(p) for p in insults if p[0] != "="}, reverse=True)
-        self.cache = WordCache(self._look_up)
+        self.cache = WordCache(self._look_up, 100_000)
 
     def _look_up(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         out = np.zeros((len(words), 3), np.int64)

@@ -14,21 +14,21 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 #: Bytes of text handled at a time inside a task; only memory depends on it, never a result.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def slices(batches: Iterator[pa.RecordBatch], text: str, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Batches cut so that each has about ``size`` bytes of text, one row at least; missing texts are empty."""
     for batch in batches:
         at = batch.schema.get_field_index(text)
-        column = pc.fill_null(batch.column(at).cast(pa.large_string()), "")
-        batch = batch.set_column(at, pa.field(text, pa.large_string()), column)
-        ends = np.cumsum(pc.binary_length(column).to_numpy())
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy().astype(np.int64))
         begin = 0
         while begin < batch.num_rows:
             before = ends[begin - 1] if begin else 0
             end = max(begin + 1, int(np.searchsorted(ends, before + size, side="right")))
-            yield batch.slice(begin, end - begin)
+            part = batch.slice(begin, end - begin)
+            column = pc.fill_null(part.column(at).cast(pa.large_string()), "")
+            yield part.set_column(at, pa.field(text, pa.large_string()), column)
             begin = end
 
 
