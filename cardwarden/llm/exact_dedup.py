@@ -147,7 +147,8 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, primes=PRIMES, bases=BA
     sums = settle_table(_fingerprinted(docs, id_col, text_col, "sums", primes, bases), "sums")
     repeated = sums.groupBy("n", "fp").agg(F.count("*").alias("members")).where("members > 1").select("n", "fp")
     bits = bitmap(repeated.select(F.xxhash64("fp").alias("h")), "h")
-    texts = _fingerprinted(docs, id_col, text_col, "texts", primes, bases, bits).join(repeated, ["n", "fp"], "left_semi")
+    # A text that comes along by chance is a group of its own, whose chunks equal themselves.
+    texts = _fingerprinted(docs, id_col, text_col, "texts", primes, bases, bits)
     places = F.sequence(F.lit(0), F.greatest(F.ceil(F.col("n") / COMPARED) - 1, F.lit(0)).cast("int"))
     compared = (
         texts.select("n", "fp", "bytes", F.explode(places).alias("at"))
