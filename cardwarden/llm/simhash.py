@@ -224,7 +224,9 @@ def links_within(fps: DataFrame, radius: int = 2, part_rows: int | None = None)
             yield flush()
 
     dealt = fps.select("fp").mapInArrow(deal, "home bigint, role tinyint, fp bigint")
-    return dealt.repartition("home").sortWithinPartitions("home", "role").mapInArrow(compare, "a bigint, b bigint")
+    # Comparisons outweigh bytes, so these tasks are not merged by size.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return dealt.repartition(tasks, "home").sortWithinPartitions("home", "role").mapInArrow(compare, "a bigint, b bigint")
 
 
 def near_duplicate_components(

@@ -195,7 +195,7 @@ def top_k(
     residents = table.select(group.alias("part"), "n", F.lit(0).cast("byte").alias("role"), "id", "q")
     everywhere = F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))
     asked = table.where(queries).select(everywhere.alias("part"), "n", F.lit(1).cast("byte").alias("role"), "id", "q")
-    dealt = residents.unionByName(asked).repartition("part").sortWithinPartitions("part", "n", "role")
+    dealt = residents.unionByName(asked).repartition(groups, "part").sortWithinPartitions("part", "n", "role")
     found = dealt.mapInArrow(search, "query_id bigint, vec_id bigint, score bigint")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

@@ -34,6 +34,8 @@ _PAGE = "urn:x-page:"
 #: Bytes of a range, and of the reads behind its end.
 RANGE = 4 << 20
 AHEAD = 256 << 10
+#: Tasks of a reading stage; beyond it a task reads several ranges.
+MOST_TASKS = 100_000
 RECORD = "record_id string, page_id bigint, record_type string, refers_to bigint, url string, payload_bytes bigint, payload_digest string"
 
 
@@ -228,7 +230,9 @@ def read_archives(archives: DataFrame, payloads: bool = False, range_bytes: int
 
     starts = F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("bytes") - 1, F.lit(0)), F.lit(range_bytes).cast("long")))
     ranges = archives.where("bytes > 0").select("path", "bytes", starts.alias("begin"))
-    return ranges.repartition("path", "begin").mapInArrow(read, schema)
+    # A range is a few bytes here and megabytes of work, so tasks are counted, not sized by what is shuffled.
+    tasks = min(max(1, ranges.count()), MOST_TASKS)
+    return ranges.repartition(tasks, "path", "begin").mapInArrow(read, schema)
 
 
 def round_trip(pages: DataFrame, least_bytes: int = 0, range_bytes: int = RANGE) -> DataFrame:
