@@ -95,23 +95,21 @@ def fold_merges(words: Column, ranks: Column, longest: int, ordered: bool = True
 
         def by_borders(word: Column, n: Column) -> Column:
             def part(i: Column, size: Column) -> Column:
-                return rank(F.substr(word, i + 1, size)).cast("long") * 4096 + i * 64 + size
+                return rank(F.substr(word, i + 1, size)).cast("long") * 4096 + (i * 65 + size)
 
             parts = F.transform(
                 F.sequence(F.lit(0), n - 2), lambda i: F.transform(F.sequence(F.lit(2), F.least(n - i, F.lit(longest))), lambda k: part(i, k))
             )
 
             def merge(borders: Column, code: Column) -> Column:
+                # ``code``: rank, first byte and byte behind the part. Cheap conditions first: both ends are borders.
                 begin = F.shiftright(code, 6).bitwiseAND(63).cast("int")
-                low = bit(begin)
-                high = bit(begin + code.bitwiseAND(63).cast("int"))
-                left = borders.bitwiseAND(high + high - low)
-                inside = left - low - high
-                # Both ends and one border between them.
-                fits = (F.bit_count(left) == 3) & (left.bitwiseAND(low + high) == low + high)
-                return F.when(fits, borders - inside).otherwise(borders)
-
-            borders = F.aggregate(F.array_sort(F.array_compact(F.flatten(parts))), bit(n + 1) - 1, merge)
+                end = code.bitwiseAND(63).cast("int")
+                inside = borders.bitwiseAND(bit(end) - bit(begin))
+                fits = (F.getbit(borders, begin) == 1) & (F.getbit(borders, end) == 1) & (F.bit_count(inside) == 2)
+                return F.when(fits, borders - inside + bit(begin)).otherwise(borders)
+
+            borders = F.aggregate(F.sort_array(F.array_compact(F.flatten(parts))), bit(n + 1) - 1, merge)
 
             def tokens(borders: Column) -> Column:
                 starts = F.filter(F.sequence(F.lit(0), n - 1), lambda i: borders.bitwiseAND(bit(i)) != 0)
