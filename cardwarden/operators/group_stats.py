@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardwarden.operators.keyed_join import BROADCAST_BYTES, ROWS_PER_TASK, attach, attach_shuffled
+from cardwarden.operators.keyed_join import attach, attach_shuffled, broadcast_limit
 from cardwarden.schema import LABEL
 from cardwarden.session import settle
 
@@ -146,8 +146,8 @@ def join_groupings(
     df: DataFrame,
     tables: GroupTables,
     spread_by: list[str] | None = None,
-    broadcast_bytes: int = BROADCAST_BYTES,
-    rows_per_task: int = ROWS_PER_TASK,
+    broadcast_bytes: int | None = None,
+    rows_per_task: int | None = None,
     same_rows: bool = False,
 ) -> DataFrame:
     """Append stored statistics to every transaction.
@@ -157,9 +157,10 @@ def join_groupings(
     the keys of ``df``, because a key may be hot here without being known there.
     """
     joined, columns = df, list(df.columns)
+    limit = broadcast_limit(df.sparkSession, broadcast_bytes)
     for g in tables.groups:
         stats = tables.of(g)
-        if tables.sizes.get(g.key, 0) <= broadcast_bytes:
+        if tables.sizes.get(g.key, 0) <= limit:
             joined = joined.join(F.broadcast(stats), g.key, "left")
         else:
             counted = {}
@@ -182,8 +183,8 @@ def join_all_statistics(
     df: DataFrame,
     groups: tuple[Grouping, ...] = GROUPINGS,
     spread_by: list[str] | None = None,
-    broadcast_bytes: int = BROADCAST_BYTES,
-    rows_per_task: int = ROWS_PER_TASK,
+    broadcast_bytes: int | None = None,
+    rows_per_task: int | None = None,
 ) -> DataFrame:
     """Append the statistics that ``df`` has about itself: one scan to aggregate, one to join."""
     tables = aggregate_groupings(df, groups)

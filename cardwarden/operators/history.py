@@ -16,7 +16,7 @@ from cardwarden.operators.group_stats import (
     aggregate_groupings,
     join_groupings,
 )
-from cardwarden.operators.keyed_join import ROWS_PER_TASK, attach_shuffled
+from cardwarden.operators.keyed_join import attach_shuffled
 from cardwarden.schema import LABEL
 
 #: Width of one time slice of a key; a slice holds at most this many distinct seconds.
@@ -134,7 +134,7 @@ def earlier_moments(
     label: str = LABEL,
     spread_by: list[str] | None = None,
     slice_seconds: int = SLICE_SECONDS,
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = None,
 ) -> DataFrame:
     """Append the moments of the key's strictly earlier rows; NULL without a key.
 
@@ -177,7 +177,7 @@ def earlier_statistics(
     prefix: str = "prior",
     spread_by: list[str] | None = None,
     slice_seconds: int = SLICE_SECONDS,
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = None,
 ) -> DataFrame:
     """Append count, mean, deviation and positive rate of the key's strictly earlier rows.
 

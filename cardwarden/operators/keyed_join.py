@@ -9,18 +9,22 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cardwarden.session import settle
+from cardwarden.session import setting, settle
 
-#: Statistics up to this size are shipped to every executor.
+#: Statistics up to this size are shipped to every executor. Setting ``broadcastBytes``.
 BROADCAST_BYTES = 64 * 1024 * 1024
-#: Keys with more rows than this are spread over several join tasks.
+#: Keys with more rows than this are spread over several join tasks. Setting ``rowsPerTask``.
 ROWS_PER_TASK = 2_000_000
 
 
+def broadcast_limit(spark: SparkSession, given: int | None = None) -> int:
+    return setting(spark, "broadcastBytes", BROADCAST_BYTES) if given is None else given
+
+
 def measured_bytes(stats: DataFrame) -> int:
     """Size of a settled table as it would sit in a broadcast hash map."""
     text = [f.name for f in stats.schema.fields if isinstance(f.dataType, T.StringType)]
@@ -38,8 +42,8 @@ def attach(
     keys: list[str],
     rows_column: str,
     spread_by: list[str],
-    broadcast_bytes: int = BROADCAST_BYTES,
-    rows_per_task: int = ROWS_PER_TASK,
+    broadcast_bytes: int | None = None,
+    rows_per_task: int | None = None,
 ) -> DataFrame:
     """Left join of ``stats`` (one row per key) on ``keys``; rows without a key keep NULLs.
 
@@ -47,7 +51,7 @@ def attach(
     if ``df`` should not see it (prefix ``_``). ``spread_by`` are columns that vary inside a key.
     """
     stats = settle(stats)
-    if measured_bytes(stats) <= broadcast_bytes:
+    if measured_bytes(stats) <= broadcast_limit(df.sparkSession, broadcast_bytes):
         joined = df.join(F.broadcast(stats), keys, "left")
     else:
         joined = attach_shuffled(df, stats, keys, rows_column, spread_by, rows_per_task)
@@ -60,27 +64,32 @@ def attach_shuffled(
     keys: list[str],
     rows_column: str,
     spread_by: list[str],
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = None,
     counts: DataFrame | None = None,
     counted_by: list[str] | None = None,
 ) -> DataFrame:
     """The same left join without a broadcast of the statistics.
 
     A group with ``c`` rows is split into ``ceil(c / rows_per_task)`` slices. At most
-    ``rows / rows_per_task`` groups can have more than one slice, which bounds the broadcast list of
-    hot groups; the statistics of a hot group are repeated once per slice. The groups are the keys
+    ``rows / rows_per_task`` groups can have more than one slice. Their list is measured; beyond
+    ``BROADCAST_BYTES`` (over a million hot groups) it is joined as Spark sees fit, with its skew joins.
+    The statistics of a hot group are repeated once per slice. The groups are the keys
     themselves unless ``counts`` gives row counts (``rows_column``) for coarser ``counted_by``
     columns, which both ``df`` and ``stats`` then have to carry.
     """
     counts, counted_by = (stats, keys) if counts is None else (counts, counted_by)
+    rows_per_task = rows_per_task or setting(df.sparkSession, "rowsPerTask", ROWS_PER_TASK)
     slices = F.ceil(F.col(rows_column) / F.lit(rows_per_task)).cast("int")
     hot = counts.where(F.col(rows_column) > rows_per_task).select(*counted_by, slices.alias("_slices"))
+    hot = settle(hot)
+    if measured_bytes(hot) <= BROADCAST_BYTES:
+        hot = F.broadcast(hot)
     if counts is stats:
         parts = F.greatest(slices, F.lit(1))
         repeated = stats
     else:
         parts = F.coalesce("_slices", F.lit(1))
-        repeated = stats.join(F.broadcast(hot), counted_by, "left")
+        repeated = stats.join(hot, counted_by, "left")
     sliced = repeated.withColumn("_slice", F.explode(F.sequence(F.lit(0), parts - 1)))
     sliced = sliced.drop("_slices", *[c for c in counted_by if c not in keys])
     spread = F.xxhash64(*spread_by)
@@ -92,5 +101,5 @@ def attach_shuffled(
         .otherwise(F.lit(0))
         .cast("int")
     )
-    marked = df.join(F.broadcast(hot), counted_by, "left").withColumn("_slice", slice_of_row)
+    marked = df.join(hot, counted_by, "left").withColumn("_slice", slice_of_row)
     return marked.drop("_slices").join(sliced, [*keys, "_slice"], "left").drop("_slice")

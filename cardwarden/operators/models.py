@@ -78,6 +78,10 @@ def fit_logistic(
     return pipeline.fit(weighted)
 
 
+#: Histogram bins of a feature (fixed value: the default of the usual leaf-wise learner).
+MAX_BINS = 255
+
+
 def tree_depth(leaves: int) -> int:
     """The smallest depth at which a balanced tree has at least this many leaves."""
     return max(1, math.ceil(math.log2(max(2, leaves))))
@@ -114,6 +118,7 @@ def fit_trees(
                 if p["colsample_bytree"] < 1.0
                 else "all",
                 minInstancesPerNode=int(p["min_child_samples"]),
+                maxBins=MAX_BINS,
                 seed=int(p["random_state"]),
                 maxMemoryInMB=512,
                 cacheNodeIds=False,

@@ -15,32 +15,39 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cardwarden.session import setting, settle_table
 
-#: Rows that one task sorts comfortably; below it a table needs no buckets at all.
+#: Rows that one task sorts comfortably; below it a table needs no buckets at all. Setting ``rowsPerBucket``.
 ROWS_PER_BUCKET = 1_000_000
-#: Keeps the quantile sketch of one task at a few hundred kB per column.
-MAX_BUCKETS = 4096
+#: Keeps the quantile sketch of one task at a few hundred kB per column; more buckets are cut in a second
+#: level. Setting ``bucketsPerLevel``.
+BUCKETS_PER_LEVEL = 4096
 #: Operators that skip most buckets use at least this many of them.
 PRUNING_BUCKETS = 256
 
 
 def choose_buckets(
-    df: DataFrame, at_least: int = 1, rows_per_bucket: int = ROWS_PER_BUCKET
+    df: DataFrame, at_least: int = 1, rows_per_bucket: int | None = None
 ) -> int:
     """Buckets by counted size: one for a small table, otherwise ``at_least`` and by rows.
 
     Inputs that are costly to recompute should be stored first.
     """
-    needed = math.ceil(df.count() / rows_per_bucket)
-    return 1 if needed <= 1 else min(MAX_BUCKETS, max(needed, at_least))
+    size = rows_per_bucket or setting(df.sparkSession, "rowsPerBucket", ROWS_PER_BUCKET)
+    needed = math.ceil(df.count() / size)
+    return 1 if needed <= 1 else max(needed, at_least)
 
 
 def add_buckets(df: DataFrame, columns: list[str], buckets: int) -> DataFrame:
     """Append ``<column>_bucket`` for each column: an order-preserving bucket number.
 
-    One pass merges quantile sketches of all columns as a tree; ``columns x buckets`` borders reach
-    the driver. Values are compared as doubles; missing values get a bucket nobody reads.
+    One pass merges quantile sketches of all columns as a tree; at most ``columns x BUCKETS_PER_LEVEL`` borders
+    reach the driver. Beyond that many buckets each one is cut again. Values are compared as doubles; missing
+    values get a bucket nobody reads.
     """
+    level = setting(df.sparkSession, "bucketsPerLevel", BUCKETS_PER_LEVEL)
+    if buckets > level:
+        return _refined(add_buckets(df, columns, level), columns, math.ceil(buckets / level))
     if buckets <= 1:
         return df.withColumns({f"{c}_bucket": F.lit(0.0) for c in columns})
     number = {c: _number(c) for c in columns}
@@ -66,6 +73,39 @@ def add_buckets(df: DataFrame, columns: list[str], buckets: int) -> DataFrame:
     return marked.drop(*[f"{c}_value" for c in cut])
 
 
+def _refined(marked: DataFrame, columns: list[str], parts: int) -> DataFrame:
+    """Each bucket cut into up to ``parts`` at its own approximate quantiles, numbered in value order.
+
+    A second pass merges one sketch per column and bucket, which the tasks combine before the shuffle. The borders
+    of a column are one row per bucket and eight bytes per final bucket: 8 MB for a million of them.
+    """
+    steps = [i / parts for i in range(1, parts)]
+    entries = [
+        F.struct(F.lit(i).alias("feature"), F.col(f"{c}_bucket").alias("bucket"), _number(c).alias("value"))
+        for i, c in enumerate(columns)
+    ]
+    cut = settle_table(
+        marked.select(F.inline(F.array(*entries)))
+        .where(F.col("value").isNotNull())
+        .groupBy("feature", "bucket")
+        .agg(F.array_distinct(F.percentile_approx("value", steps, 2 * parts)).alias("borders")),
+        "borders",
+    )
+    for i, c in enumerate(columns):
+        own = cut.where(F.col("feature") == i).select(
+            F.col("bucket").alias(f"{c}_bucket"), F.col("borders").alias(f"{c}_borders")
+        )
+        # At most BUCKETS_PER_LEVEL rows.
+        marked = marked.join(F.broadcast(own), f"{c}_bucket", "left")
+
+    def inner(c: str) -> Column:
+        passed = F.size(F.filter(f"{c}_borders", lambda b: b <= _number(c)))
+        return F.when(F.col(f"{c}_borders").isNull() | _number(c).isNull(), 0).otherwise(passed)
+
+    fine = {f"{c}_bucket": F.col(f"{c}_bucket") * parts + inner(c) for c in columns}
+    return marked.withColumns(fine).drop(*[f"{c}_borders" for c in columns])
+
+
 def _number(column: str) -> Column:
     """A numeric column as a double, with NaN treated as missing."""
     return F.nanvl(F.col(column).cast("double"), F.lit(None).cast("double"))

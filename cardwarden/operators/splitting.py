@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 
 from cardwarden.functions.hashing import digest, uniform
 from cardwarden.schema import LABEL, SPLIT_DEFAULTS
+from cardwarden.session import setting
 
-#: A digest range is narrowed by four hex digits at a time until it holds at most this many rows.
+#: A digest range is narrowed by four hex digits at a time until it holds at most this many rows;
+#: only time depends on it. Setting ``digestRange``.
 _SMALL_RANGE = 100_000
 
 
@@ -48,12 +50,21 @@ class Cuts:
         )
 
 
-def stratum_counts(df: DataFrame, stratum: str | None) -> dict[object, int]:
-    """Rows per stratum; one row per label value reaches the driver."""
+#: Strata whose counts reach the driver and whose cuts become constants of a plan.
+MAX_STRATA = 1000
+
+
+def stratum_counts(df: DataFrame, stratum: str | None, complete: bool = False) -> dict[object, int]:
+    """Rows per stratum, at most ``MAX_STRATA``; rows without one are left out, or an error if ``complete``."""
     if stratum is None:
         return {None: df.count()}
-    rows = df.where(F.col(stratum).isNotNull()).groupBy(stratum).count().orderBy(stratum).collect()
-    return {r[0]: r["count"] for r in rows}
+    rows = df.groupBy(stratum).count().orderBy(stratum).limit(MAX_STRATA + 2).collect()
+    if complete and any(r[0] is None for r in rows):
+        raise ValueError(f"rows without {stratum} belong to no split")
+    counts = {r[0]: r["count"] for r in rows if r[0] is not None}
+    if len(counts) > MAX_STRATA:
+        raise ValueError(f"{stratum} has more than {MAX_STRATA} values; it is no label")
+    return counts
 
 
 def digests_at_ranks(
@@ -66,6 +77,7 @@ def digests_at_ranks(
     range are finally put in order.
     """
     spark = df.sparkSession
+    small = setting(spark, "digestRange", _SMALL_RANGE)
     h = digest(key, seed)
     group = F.lit(0) if stratum is None else F.col(stratum)
     rows = df.select(group.alias("s"), h.alias("h"))
@@ -104,7 +116,7 @@ def digests_at_ranks(
             (None if stratum is None else r["s"], r["rank"], r["rest"] - r["before"], r["next"]) for r in found
         ]
         digits += 4
-        if all(r["n"] <= _SMALL_RANGE for r in found):
+        if all(r["n"] <= small for r in found):
             break
     goal = targets(narrowed)
     order = Window.partitionBy("s", "rank").orderBy("h")
@@ -175,12 +187,12 @@ def fit_split(
     seed: int = SPLIT_DEFAULTS["seed"],
     stratify: bool = True,
 ) -> Cuts:
-    """Exact train/validation/test cuts. ``key`` must identify a row.
+    """Exact train/validation/test cuts. ``key`` must identify a row; a row without a label is an error.
 
     ``df`` should be the raw table: only key and label are read.
     """
     stratum = label if stratify else None
-    counts = stratum_counts(df, stratum)
+    counts = stratum_counts(df, stratum, complete=True)
     n_train, n_val, n_test = split_sizes(sum(counts.values()), test_size, val_size)
     kept = proportional_shares(counts, n_train + n_val)
     test = {c: n - kept[c] for c, n in counts.items()}

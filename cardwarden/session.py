@@ -71,6 +71,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def setting(spark: SparkSession, name: str, default: int) -> int:
+    """``cardwarden.<name>`` of the session. Such settings move work between plans, never a result."""
+    return int(spark.conf.get(f"cardwarden.{name}", str(default)))
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write ``df`` to the reliable checkpoint folder and cut its lineage there."""
     scratch_root(df.sparkSession)

@@ -6,7 +6,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from cardwarden.operators.history import (
     MOMENTS,
@@ -32,18 +32,25 @@ def file_stream(
     return reader.parquet(folder)
 
 
-def run_available(df: DataFrame, path: str, checkpoint: str, mode: str = "append") -> StreamingQuery:
-    """Process everything that is there and append it to a Parquet folder, exactly once."""
-    query = (
+def start(writer: DataStreamWriter, every: str | None = None) -> StreamingQuery:
+    """Without ``every`` all that is there is processed before this returns. Otherwise the query keeps running,
+    one micro-batch per interval (such as ``"10 seconds"``), and the caller stops it."""
+    if every is not None:
+        return writer.trigger(processingTime=every).start()
+    query = writer.trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query
+
+
+def run_available(df: DataFrame, path: str, checkpoint: str, mode: str = "append", every: str | None = None) -> StreamingQuery:
+    """Append a stream to a Parquet folder, exactly once; ``every`` as in :func:`start`."""
+    writer = (
         df.writeStream.format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .outputMode(mode)
-        .trigger(availableNow=True)
-        .start()
     )
-    query.awaitTermination()
-    return query
+    return start(writer, every)
 
 
 def score_stream(
@@ -56,6 +63,7 @@ def score_stream(
     threshold: float = 0.5,
     rules: list[Rule] | None = None,
     keep: list[str] | None = None,
+    every: str | None = None,
 ) -> StreamingQuery:
     """Score valid requests and set invalid ones aside with their reasons.
 
@@ -76,14 +84,11 @@ def score_stream(
         finally:
             checked.unpersist()
 
-    query = (
+    writer = (
         requests.writeStream.foreachBatch(write_batch)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
     )
-    query.awaitTermination()
-    return query
+    return start(writer, every)
 
 
 def outcome_windows(
@@ -130,21 +135,18 @@ def running_card_statistics(df: DataFrame, amount: str = "amt", label: str = LAB
     )
 
 
-def write_updates(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def write_updates(df: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
     """Changed rows of every micro-batch, below the batch number."""
 
     def write_batch(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
-    query = (
+    writer = (
         df.writeStream.foreachBatch(write_batch)
         .outputMode("update")
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
     )
-    query.awaitTermination()
-    return query
+    return start(writer, every)
 
 
 def stream_history(
@@ -156,6 +158,7 @@ def stream_history(
     prefix: str = "prior",
     keep: list[str] | None = None,
     spread_by: list[str] | None = None,
+    every: str | None = None,
 ) -> StreamingQuery:
     """Statistics of a key's earlier transactions for every row of a stream.
 
@@ -188,14 +191,11 @@ def stream_history(
         finally:
             batch.unpersist()
 
-    query = (
+    writer = (
         transactions.writeStream.foreachBatch(write_batch)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
     )
-    query.awaitTermination()
-    return query
+    return start(writer, every)
 
 
 def latest_state(updates: DataFrame, key: str) -> DataFrame:

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cardwarden.functions.pvalues import binomial_two_sided, chi2_tail, ks_exact_tail
+from cardwarden.operators.ordered import add_buckets
 from cardwarden.operators.drift import (
     category_counts,
     category_drift,
@@ -193,3 +194,20 @@ def test_empty_sides_give_no_verdict(spark):
     assert row["psi"] is None and row["status"] == "no data"
     long = spark.createDataFrame([("m", "val", "auprc", 0.5)], "model string, split string, metric string, value double")
     assert bias_variance(long).first()["diagnosis"] is None
+
+
+def test_buckets_cut_in_two_levels_keep_the_order_and_equal_values_together(spark):
+    values = [None, float("nan"), *[float(i % 97) for i in range(1000)], *[5.0] * 500, -3.0]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id long, x double")
+    spark.conf.set("cardwarden.bucketsPerLevel", "4")
+    try:
+        rows = add_buckets(df, ["x"], 50).collect()
+    finally:
+        spark.conf.unset("cardwarden.bucketsPerLevel")
+    known = [(r["x"], r["x_bucket"]) for r in rows if r["x"] is not None and r["x"] == r["x"]]
+    assert len(rows) == len(values)
+    bucket_of = dict(known)
+    assert all(bucket_of[x] == b for x, b in known)
+    ordered = [bucket_of[x] for x in sorted(bucket_of)]
+    assert ordered == sorted(ordered)
+    assert len(set(ordered)) > 20

@@ -94,3 +94,15 @@ def test_text_labels(spark):
     )
     rows = stratified_sample(df, ["row_id"], 0.1, label="kind").collect()
     assert Counter(r["kind"] for r in rows) == {"a": 3, "b": 7}
+
+
+def test_rows_without_a_label_belong_to_no_split(spark):
+    df = spark.range(20).selectExpr("id AS row_id", "if(id = 3, NULL, cast(id % 2 AS int)) AS is_fraud")
+    with pytest.raises(ValueError, match="no split"):
+        fit_split(df, ["row_id"])
+
+
+def test_a_label_with_very_many_values_is_refused(spark):
+    df = spark.range(1500).selectExpr("id AS row_id", "id AS is_fraud")
+    with pytest.raises(ValueError, match="no label"):
+        fit_split(df, ["row_id"])

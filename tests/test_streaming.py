@@ -96,3 +96,17 @@ def test_repeated_deliveries_are_dropped(spark, pieces, tmp_path):
     run_available(deduplicated(rows.unionByName(rows)).select("trans_num"), str(tmp_path / "d"), str(tmp_path / "cp"))
     got = spark.read.parquet(str(tmp_path / "d"))
     assert got.count() == got.distinct().count() == txn.count()
+
+
+def test_a_stream_with_an_interval_keeps_running(spark, pieces, tmp_path):
+    txn, _ = pieces
+    out = str(tmp_path / "out")
+    query = run_available(
+        stream(spark, pieces).select("row_id"), out, str(tmp_path / "cp"), every="1 second"
+    )
+    try:
+        query.processAllAvailable()
+        assert query.isActive
+        assert spark.read.parquet(out).count() == txn.count()
+    finally:
+        query.stop()
