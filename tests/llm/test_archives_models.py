@@ -128,6 +128,18 @@ def test_model_beats_the_base_on_held_out_texts(real, monkeypatch):
     assert sum(g.score for g in held) > sum(g.base_score for g in held)
 
 
+def test_model_learns_from_all_training_texts(docs_of):
+    """One text above ``fit_tokens`` tokens, and many that exceed it together."""
+    def gain(docs):
+        rows = lm_scoring.score(docs, fit_tokens=1000).collect()
+        return sum(r.score - r.base_score for r in rows) / sum(r.n_tokens for r in rows)
+
+    assert gain(docs_of(["ab cd ef gh " * 5000])) > 0.3
+    # Several tasks and rounds; copies of one text share a round.
+    texts = ["one two three four five six seven " * 30] * 60 + [f"ab cd ef gh {i} " * 40 for i in range(100)]
+    assert gain(docs_of(texts).repartition(5)) > 0
+
+
 def test_probabilities_are_normalised():
     rng = np.random.default_rng(1)
     sequence, bounds = rng.integers(0, lm_scoring.CLASSES, 300), np.array([0, 100, 100, 300])
