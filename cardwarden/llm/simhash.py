@@ -34,6 +34,11 @@ _LANE_MAX = 65535
 
 def batch_fingerprints(column: pa.Array, shingle: int = 3, seed: int = SEED) -> np.ndarray:
     """SimHash (uint64) of each text: lower case A-Z, shingles of words, XXH64, majority of every bit."""
+    return majority(*shingle_hashes(column, shingle, seed))
+
+
+def shingle_hashes(column: pa.Array, shingle: int, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
+    """XXH64 of all shingles in order, and their number in each text; fewer words than a shingle are one."""
     words = split_words(column, lower=True)
     counts = np.diff(words.bounds)
     ends = np.append(words.starts, 0)[:-1] + _word_sizes(words)
@@ -51,7 +56,7 @@ def batch_fingerprints(column: pa.Array, shingle: int = 3, seed: int = SEED) ->
         (digest(data[a:b], seed) for a, b in zip(begin[first].tolist(), (begin[last] + sizes[last]).tolist())),
         np.uint64, len(first),
     )
-    return majority(hashes, n)
+    return hashes, n
 
 
 def _word_sizes(words) -> np.ndarray:
