@@ -6,9 +6,10 @@ value counts. Equal sets of shingles are one node. Nodes that agree in all coord
 pair of similarity 0.85 meets in none with a probability below 1e-7.
 
 Links are found without listing the pairs of a bucket: all its nodes are compared with one of them, the pivot, set
-against set; then buckets whose nodes are not yet in one component take further pivots, ``STEP`` times as many in
-each round, until each bucket is one component or each of its nodes has been a pivot. So no link inside a bucket is lost,
-and a bucket of copies costs one comparison a node.
+against set. Buckets whose nodes are not yet in one component are then cut into parts of a bounded weight, and tasks
+compare two parts at a time by matrix products over the shingles that they share, handing on a spanning forest. So no
+link inside a bucket is lost, and a bucket of copies costs one comparison a node. One whose texts mostly miss the
+similarity is compared completely: the rows that move grow with its size times its parts, the products with its square.
 
 Texts are equal in lower case A-Z and by words; fewer words than a shingle are one shingle. Texts without words, and
 missing ones, have no shingles and link with nothing; their component is their own id. Missing ids keep their rows; a
@@ -22,20 +23,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardwarden.llm.bitmaps import bitmap, in_bitmap
 from cardwarden.llm.components import components
-from cardwarden.llm.simhash import shingle_hashes
+from cardwarden.llm.simhash import local_forest, shingle_hashes
 from cardwarden.llm.words import slices
 from cardwarden.session import settle_table
 
 #: Coordinates of a band, and bands.
 ROWS, BANDS = 5, 28
-#: How many times more pivots a bucket takes in each round.
-STEP = 8
+#: Shingles of a part of a bucket (a node counts 128 more), shingles of one product, rows of tiles in a task.
+WEIGHT, CHUNK, TASK = 1 << 18, 2048, 4000
 #: Bytes of text handled at a time.
 SLICE = 1 << 20
 
@@ -155,28 +157,87 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _links(rows: DataFrame, nodes: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Links ``(a, b)`` between nodes ``(key, n, bands)`` that connect what all links connect."""
+    # Smaller sets are alike only if they are equal.
+    nodes = nodes.where(f"100 * n >= {percent} * (n + 1)")
     members = nodes.select("key", "n", F.explode(F.array_distinct("bands")).alias("h"))
     shared = members.groupBy("h").agg(F.count("*").alias("size"), F.min(F.struct("key", "n")).alias("pivot")).where("size > 1")
     meet = settle_table(members.join(shared, "h"), "meet")
     sets = settle_table(_sets(rows, settle_table(meet.select("key").distinct(), "wanted"), shingle), "sets")
     pairs = meet.where(f"key <> pivot.key AND {_alike('n', 'pivot.n', percent)}")
     links = _confirmed(pairs.select(F.col("pivot.key").alias("a"), F.col("key").alias("b")), sets, percent)
-    done = 1
-    while True:
+    # A quarter of the buckets first: what they connect needs no second look in the others.
+    for turn in ("pmod(h, 4) = 0", "pmod(h, 4) <> 0"):
         roots = components(links).withColumnRenamed("node", "key")
-        placed = meet.where(f"size > {done + 1}").select("h", "key", "n").join(roots, "key", "left")
-        placed = placed.withColumn("root", F.coalesce("root", "key"))
-        several = placed.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-        open_ = settle_table(placed.join(several.select("h"), "h", "left_semi"), "open")
-        if not open_.take(1):
-            return links
-        # The first nodes of a bucket by key take their turn; those before a node have met it already.
-        order = Window.partitionBy("h").orderBy("key")
-        turn = open_.withColumn("nth", F.row_number().over(order)).where(f"nth <= {done * STEP}").where(f"nth > {done}")
-        turn = turn.select("h", F.col("key").alias("a"), F.col("n").alias("m"), F.col("root").alias("other"))
-        pairs = turn.join(open_.withColumnRenamed("key", "b"), "h").where(f"b > a AND root <> other AND {_alike('m', 'n', percent)}")
-        links = settle_table(links.unionByName(_confirmed(pairs, sets, percent)), "links")
-        done *= STEP
+        # Of two nodes one was the pivot.
+        placed = meet.where(f"size > 2 AND {turn}").select("h", "key", "n").join(roots, "key", "left")
+        placed = settle_table(placed.withColumn("root", F.coalesce("root", "key")), "placed")
+        found = settle_table(_tiles(placed, sets).mapInArrow(_tile_links(percent), "a binary, b binary"), "links")
+        links = settle_table(links.unionByName(found), "links")
+    return links
+
+
+def _tiles(placed: DataFrame, sets: DataFrame) -> DataFrame:
+    """``(h, i, j, part, key, root, grams)``, tile by tile: the nodes of parts i and j of a bucket that isn't one component.
+    Of buckets with the same nodes one is taken."""
+    mixed = [F.sum(F.xxhash64(F.lit(i), "key").cast("decimal(20,0)")) for i in range(2)]
+    buckets = placed.groupBy("h").agg(
+        F.min("root").alias("low"), F.max("root").alias("high"), F.sum(F.col("n") + 128).alias("weight"), F.hash(*mixed).alias("x"),
+        F.xxhash64(*mixed).alias("y"),
+    )
+    parts = F.ceil(F.col("weight") / WEIGHT).cast("int")
+    buckets = buckets.where("low <> high").groupBy("x", "y", "weight").agg(F.min("h").alias("h")).select("h", parts.alias("parts"))
+    own = F.pmod(F.xxhash64("key", "h"), F.col("parts")).cast("int")
+    rows = placed.join(settle_table(buckets, "buckets"), "h").select("h", "key", "root", "parts", own.alias("part"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    rows = settle_table(rows.select("h", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "key", "root"), "tiles")
+    number = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows.count() // TASK)
+    return rows.join(sets, "key").select(*rows.columns, "grams").repartition(number, "h", "i", "j").sortWithinPartitions("h", "i", "j")
+
+
+def _tile_links(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tile, rows = None, []
+        for batch in batches:
+            place = np.stack([batch.column(c).to_numpy() for c in ("h", "i", "j")])
+            cuts = np.flatnonzero(np.diff(place, axis=1).any(0)) + 1
+            for at, to in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+                if at == to:
+                    continue
+                if tile != (new := tuple(place[:, at].tolist())):
+                    if rows:
+                        yield _compared(pa.Table.from_batches(rows).combine_chunks(), percent)
+                    tile, rows = new, []
+                rows.append(batch.slice(at, to - at))
+        if rows:
+            yield _compared(pa.Table.from_batches(rows).combine_chunks(), percent)
+
+    return run
+
+
+def _compared(tile: pa.Table, percent: int) -> pa.RecordBatch:
+    """A spanning forest of the links between nodes of different roots in a tile: within one part, or across two."""
+    part, lists, n = tile.column("part").to_numpy(), tile.column("grams").combine_chunks(), tile.num_rows
+    size = pc.list_value_length(lists).to_numpy().astype(np.int64)
+    root = tile.column("root").combine_chunks().dictionary_encode().indices.to_numpy()
+    first = np.flatnonzero(part == tile.column("i")[0].as_py())
+    second = first if tile.column("i")[0].as_py() == tile.column("j")[0].as_py() else np.setdiff1d(np.arange(n), first)
+    _, gram, times = np.unique(lists.flatten().to_numpy(), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(n), size)
+    shared = times[gram] > 1
+    owner, gram = owner[shared], (np.cumsum(times > 1) - 1)[gram[shared]]
+    order = np.argsort(gram, kind="stable")
+    owner, gram = owner[order], gram[order]
+    both = np.zeros((len(first), len(second)), np.float32)
+    for at in range(0, int(gram[-1]) + 1 if len(gram) else 0, CHUNK):
+        some = slice(*np.searchsorted(gram, [at, at + CHUNK]))
+        holds = np.zeros((n, CHUNK), np.float32)
+        holds[owner[some], gram[some] - at] = 1
+        both += holds[first] @ holds[second].T
+    enough = (100 + percent) * both.astype(np.int64) >= percent * (size[first][:, None] + size[second])
+    i, j = np.nonzero(enough & (root[first][:, None] != root[second]))
+    a, b = local_forest(first[i], second[j])
+    key = tile.column("key").combine_chunks()
+    return pa.RecordBatch.from_arrays([key.take(pa.array(a)), key.take(pa.array(b))], ["a", "b"])
 
 
 def near_duplicates(
