@@ -5,11 +5,12 @@ Registered fits use few iterations; the defaults of the library are those of the
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardwarden.catalog.base import KEY, TXN, query, rounded, table, transactions
+from cardwarden.catalog.base import KEY, TXN, query, rounded, split_sql, table, transactions
 from cardwarden.catalog.feature_queries import earlier_sql
+from cardwarden.operators.leaf_values import leaf_table, objective
 from cardwarden.operators.models import (
     feature_importance,
     fit_logistic,
@@ -35,7 +36,7 @@ from cardwarden.plans.prepare import settled_features
 from cardwarden.plans.train import LOGISTIC, TREES, evaluate_saved, train_and_save, train_models
 from cardwarden.plans.tune import tune, tune_one
 from cardwarden.schema import numeric_features
-from cardwarden.session import scratch_path
+from cardwarden.session import scratch_path, settle_table
 from cardwarden.sources.events import project_transactions
 from cardwarden.sources.split_files import train_val_pool
 from cardwarden.streaming.transactions import (
@@ -77,6 +78,29 @@ def gbt_fit(spark, sf_dir):
     return model.transform(df).groupBy("split", "is_fraud", "prediction").agg(F.count(F.lit(1)).alias("rows"))
 
 
+@query(
+    "tree_leaf_values",
+    f"""WITH {TXN}, n AS (SELECT count(*) AS rows FROM (SELECT {split_sql()} AS split FROM txn) WHERE split = 'train')
+SELECT CAST(t AS INT) AS tree, rows, true AS values_fit, true AS step_helps, true AS loss_falls FROM n, range(5) r(t)""",
+)
+def tree_leaf_values(spark, sf_dir):
+    """Leaves of a penalised fit, from their stored table: every value is the penalised minimum, shrunk; no step raises
+    its tree's objective; the loss before a tree is below that before the tree before it."""
+    df = features(spark, sf_dir)
+    names = numeric_features(df)
+    train = df.where("split = 'train'").withColumn("unit", F.lit(1.0))
+    shape = fit_trees(train, names, {**SMALL_TREES, "reg_lambda": 0.0})
+    leaves, _ = leaf_table(train, shape, "is_fraud", "unit", SMALL_TREES["learning_rate"], 2.0, 3.0)
+    leaves = settle_table(leaves, "leaf-values")
+    expected = F.expr("-learning_rate * sign(gradient) * greatest(abs(gradient) - l1, 0) / (curvature + l2)")
+    fits = leaves.groupBy("tree").agg(F.bool_and(F.abs(F.col("value") - expected) < 1e-9).alias("values_fit"))
+    steps = objective(leaves).join(fits, "tree")
+    before = F.lag("loss").over(Window.orderBy("tree"))  # one row per tree
+    return steps.select(
+        "tree", "rows", "values_fit", (F.col("step") <= 0).alias("step_helps"), F.coalesce(F.col("loss") < before, F.lit(True)).alias("loss_falls")
+    )
+
+
 @query("feature_importance")
 def importance(spark, sf_dir):
     df = features(spark, sf_dir)

@@ -510,22 +510,29 @@ def run_metric_rows(spark, sf_dir):
 @query(
     "run_metrics_best",
     f"""WITH {RUN_METRICS_SQL}, plain AS (SELECT run_id, max(value) FILTER (name = 'val_auprc') AS a, max(value) FILTER (name = 'val_recall') AS r,
-  max(value) FILTER (name = 'val_precision') AS p FROM rm GROUP BY 1), kept AS (SELECT * FROM rm WHERE run_id LIKE '%-w1' OR name NOT IN ('val_recall', 'val_precision', 'val_auprc')), x AS (
+  max(value) FILTER (name = 'val_precision') AS p FROM rm GROUP BY 1), kept AS (SELECT run_id, name, value FROM rm WHERE run_id LIKE '%-w1' OR name NOT IN ('val_recall', 'val_precision', 'val_auprc')
+  UNION ALL SELECT run_id || '-plain', substr(name, 5), value FROM rm WHERE run_id LIKE '%-w1' AND name IN ('val_recall', 'val_precision', 'val_auprc')), q AS (
+  SELECT run_id, max(value) FILTER (name = 'auprc') AS a, max(value) FILTER (name = 'recall') AS r, max(value) FILTER (name = 'precision') AS p FROM kept GROUP BY 1), x AS (
   SELECT run_id, regexp_extract(name, '^(.*)_val_(auprc|recall|precision)$', 1) AS mk, regexp_extract(name, '^(.*)_val_(auprc|recall|precision)$', 2) AS mm, value FROM kept), cand AS (
   SELECT run_id, mk, max(value) FILTER (mm = 'auprc') AS a, max(value) FILTER (mm = 'recall') AS r, max(value) FILTER (mm = 'precision') AS p
   FROM x WHERE mm <> '' AND mk <> 'best' GROUP BY 1, 2), pick AS (
   SELECT run_id, coalesce(a, 0) AS a, coalesce(r, 0) AS r, coalesce(p, 0) AS p,
     row_number() OVER (PARTITION BY run_id ORDER BY (a IS NULL OR r IS NULL OR p IS NULL), coalesce(a, 0) DESC, mk) AS rn FROM cand)
-SELECT plain.run_id, round(CASE WHEN plain.run_id LIKE '%-w1' THEN plain.a ELSE k.a END + 1e-9, 6) AS val_auprc,
-  round(CASE WHEN plain.run_id LIKE '%-w1' THEN plain.r ELSE k.r END + 1e-9, 6) AS val_recall,
-  round(CASE WHEN plain.run_id LIKE '%-w1' THEN plain.p ELSE k.p END + 1e-9, 6) AS val_precision
-FROM plain LEFT JOIN pick k ON k.run_id = plain.run_id AND rn = 1""",
+SELECT q.run_id, round(CASE WHEN q.run_id LIKE '%-w1' THEN plain.a ELSE k.a END + 1e-9, 6) AS val_auprc,
+  round(CASE WHEN q.run_id LIKE '%-w1' THEN plain.r ELSE k.r END + 1e-9, 6) AS val_recall,
+  round(CASE WHEN q.run_id LIKE '%-w1' THEN plain.p ELSE k.p END + 1e-9, 6) AS val_precision,
+  round(q.a + 1e-9, 6) AS auprc, round(q.r + 1e-9, 6) AS recall, round(q.p + 1e-9, 6) AS "precision"
+FROM q LEFT JOIN plain ON plain.run_id = q.run_id LEFT JOIN pick k ON k.run_id = q.run_id AND rn = 1""",
 )
 def normalised_runs(spark, sf_dir):
-    """Runs of the first week keep their plain names, all others only have per-model names."""
-    table = run_table(spark, sf_dir).where(
-        F.col("run_id").endswith("-w1") | ~F.col("name").isin("val_recall", "val_precision", "val_auprc")
+    """Runs of the first week keep their validation names, and have a second run with nothing but plain names; all
+    others only have per-model names."""
+    rows = run_table(spark, sf_dir).select("run_id", "name", "value")
+    first, validation = F.col("run_id").endswith("-w1"), F.col("name").isin("val_recall", "val_precision", "val_auprc")
+    plain = rows.where(first & validation).select(
+        F.concat("run_id", F.lit("-plain")).alias("run_id"), F.substring("name", 5, 100).alias("name"), "value"
     )
+    table = rows.where(first | ~validation).unionByName(plain)
     return rounded(promotion_metrics(table))
 
 

@@ -11,9 +11,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardwarden.operators.features import assembler
+from cardwarden.operators.leaf_values import penalised
 from cardwarden.operators.scoring import positive_probability
 from cardwarden.schema import LABEL, LOGISTIC_DEFAULTS, TREE_DEFAULTS
-from cardwarden.session import scratch_root
+from cardwarden.session import scratch_root, settle_table
 
 WEIGHT = "class_weight"
 
@@ -92,8 +93,8 @@ def fit_trees(
 ) -> PipelineModel:
     """Boosted trees with positives weighted by the class ratio.
 
-    Spark grows trees level by level, so a number of leaves becomes a depth; penalties on leaf
-    values have no counterpart and are ignored.
+    Spark grows trees level by level, so a number of leaves becomes a depth. With a penalty (``reg_alpha``,
+    ``reg_lambda``) the leaves get their values in a second step, see ``leaf_values``.
     """
     p = {**TREE_DEFAULTS, **(params or {})}
     # With a checkpoint folder the boosting rounds cut their lineage every few trees.
@@ -125,7 +126,12 @@ def fit_trees(
             ),
         ]
     )
-    return pipeline.fit(weighted)
+    if not p["reg_alpha"] and not p["reg_lambda"]:
+        return pipeline.fit(weighted)
+    weighted = settle_table(weighted, "weighted")
+    return penalised(
+        weighted, pipeline.fit(weighted), label, WEIGHT, float(p["learning_rate"]), float(p["reg_alpha"]), float(p["reg_lambda"])
+    )
 
 
 def score_splits(df: DataFrame, models: dict[str, PipelineModel], label: str = LABEL) -> DataFrame:

@@ -73,6 +73,8 @@ TREE_DEFAULTS = {
     "num_leaves": 63,
     "subsample": 0.9,
     "colsample_bytree": 0.9,
+    "reg_lambda": 1.0,
+    "reg_alpha": 0.0,
     "min_child_samples": 50,
     "random_state": 42,
 }
