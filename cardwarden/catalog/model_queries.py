@@ -289,15 +289,18 @@ def stream_state(spark, sf_dir):
 
 @query("stream_card_history", earlier_sql("cc_num"))
 def card_history(spark, sf_dir):
-    """Statistics of each card's earlier transactions, row by row along the stream."""
-    out = scratch_path(spark, "history")
-    stream_history(
-        project_transactions(event_stream(spark, sf_dir)),
-        "cc_num",
-        out,
-        scratch_path(spark, "moments"),
-        scratch_path(spark, "progress"),
-        keep=["row_id", "cc_num"],
-        spread_by=KEY,
-    )
+    """Statistics of each card's earlier transactions, row by row along a stream that gets a new folder of events, in
+    order of time, for each of seven batches; the state is compacted every third batch."""
+    events = table(spark, sf_dir, "events")
+    landing, out = scratch_path(spark, "landing"), scratch_path(spark, "history")
+    state, progress = scratch_path(spark, "moments"), scratch_path(spark, "progress")
+    seconds = F.unix_seconds(F.col("ts").cast("timestamp"))
+    low, high = events.agg(F.min(seconds), F.max(seconds)).first()
+    slot = F.floor((seconds - low) * 7 / (high - low + 1))
+    for k in range(7):
+        events.where(slot == k).write.parquet(f"{landing}/slot{k}")
+        arrived = spark.readStream.schema(events.schema).option("recursiveFileLookup", "true").parquet(landing)
+        stream_history(
+            project_transactions(arrived), "cc_num", out, state, progress, keep=["row_id", "cc_num"], spread_by=KEY, compact_every=3
+        )
     return rounded(spark.read.parquet(out).drop("batch"))

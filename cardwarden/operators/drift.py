@@ -5,6 +5,7 @@ Parts are told apart by a ``side`` column, so one scan serves all parts and one
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -14,6 +15,7 @@ from pyspark.sql import types as T
 from cardwarden.functions import pvalues
 from cardwarden.operators.ordered import (
     PRUNING_BUCKETS,
+    ROWS_PER_BUCKET,
     add_buckets,
     bucket_offsets,
     choose_buckets,
@@ -22,6 +24,7 @@ from cardwarden.operators.ordered import (
     to_long,
 )
 from cardwarden.schema import LABEL
+from cardwarden.session import setting, settle
 
 KS_NAME, CHI2_NAME = "Kolmogorov-Smirnov", "Chi-Square"
 
@@ -42,6 +45,89 @@ def shared_numeric(reference: DataFrame, current: DataFrame) -> list[str]:
     ]
 
 
+#: Levels of cuts inside buckets, parts of a cut, most cells of a level (they are broadcast: some 60 bytes each), and
+#: the share of all rows below which sorting is no longer worth avoiding.
+LEVELS, PARTS, MOST_CELLS, SMALL_SHARE = 3, 32, 400_000, 0.02
+
+
+@dataclass
+class Narrowed:
+    """What is left to sort: ``rows`` by ``(feature, bucket)``, the open ``cells`` with their offsets, the best distances
+    seen at finer borders, and the numbers of rows in open cells and in all."""
+
+    rows: DataFrame
+    cells: DataFrame
+    borders: DataFrame
+    left: int
+    total: int
+
+
+def _start(a: str, b: str) -> Column:
+    return F.col(f"n_{a}_before") / F.col(f"n_{a}_all") - F.col(f"n_{b}_before") / F.col(f"n_{b}_all")
+
+
+def _own(side: str) -> Column:
+    return F.col(f"n_{side}") / F.col(f"n_{side}_all")
+
+
+def _bounded(cells: DataFrame, pairs: list[tuple[str, str]], known: dict[str, Column]) -> DataFrame:
+    """Append ``border_<a>_<b>``, the feature's best distance at any border so far, and ``open``: whether the inside of
+    the cell can exceed it for some pair. A cell of a single value has no inside."""
+    feature = Window.partitionBy("feature")
+    borders = {
+        f"border_{a}_{b}": F.greatest(
+            known.get(f"border_{a}_{b}", F.lit(0.0)), F.max(F.abs(_start(a, b) + _own(a) - _own(b))).over(feature)
+        )
+        for a, b in pairs
+    }
+    limits = [F.greatest(F.abs(_start(a, b) + _own(a)), F.abs(_start(a, b) - _own(b))) > F.col(f"border_{a}_{b}") for a, b in pairs]
+    return cells.withColumns(borders).withColumn("open", reduce(Column.__or__, limits) & (F.col("low") < F.col("high")))
+
+
+def narrow(
+    long: DataFrame, cells: DataFrame, columns: list[str], pairs: list[tuple[str, str]], counts: list[Column], levels: int = LEVELS
+) -> Narrowed:
+    """Cut the open cells at their own approximate quantiles and count again, level by level, until few rows are left in
+    cells that can hold the maximum. Counting combines in the tasks; nothing is sorted, and borders influence speed only."""
+    total = cells.agg(F.sum(sum(F.col(c) for c in columns))).first()[0] or 0
+    keep = [f"border_{a}_{b}" for a, b in pairs]
+    small = setting(cells.sparkSession, "rowsPerBucket", ROWS_PER_BUCKET)
+    finer = cells.groupBy("feature").agg(*[F.max(c).alias(c.replace("border", "finer")) for c in keep])
+    open_, rows = cells.where("open"), long
+    for level in range(levels + 1):
+        found = open_.agg(F.count(F.lit(1)), F.sum(sum(F.col(c) for c in columns))).first()
+        left = found[1] or 0
+        if level == levels or left <= max(small, SMALL_SHARE * total) or found[0] * PARTS > MOST_CELLS:
+            break
+        rows = rows.join(F.broadcast(open_.select("feature", "bucket")), ["feature", "bucket"], "left_semi")
+        steps = [i / PARTS for i in range(1, PARTS)]
+        cuts = F.array_distinct(F.percentile_approx("value", steps, 4 * PARTS)).alias("cuts")
+        borders = settle(rows.groupBy("feature", "bucket").agg(cuts))
+        passed = F.size(F.filter("cuts", lambda c: c <= F.col("value")))
+        rows = rows.join(F.broadcast(borders), ["feature", "bucket"]).select(
+            *[c for c in long.columns if c != "bucket"], F.col("bucket").alias("parent"),
+            (F.col("bucket").cast("bigint") * PARTS + passed).alias("bucket"),
+        )
+        parents = open_.select(
+            "feature", F.col("bucket").alias("parent"), *keep, *[f"{c}_all" for c in columns],
+            *[F.col(f"{c}_before").alias(f"{c}_first") for c in columns],
+        )
+        counted = rows.groupBy("feature", "parent", "bucket").agg(*counts).join(F.broadcast(parents), ["feature", "parent"])
+        before = Window.partitionBy("feature", "parent").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = {f"{c}_before": F.col(f"{c}_first") + F.coalesce(F.sum(c).over(before), F.lit(0)) for c in columns}
+        known = {c: F.max(f"known_{c}").over(Window.partitionBy("feature")) for c in keep}
+        located = counted.withColumns(offsets).withColumnsRenamed({c: f"known_{c}" for c in keep})
+        cells = settle(_bounded(located, pairs, known).select("feature", "bucket", "low", "high", *columns, *offsets, *[f"{c}_all" for c in columns], *keep, "open"))
+        newer = cells.groupBy("feature").agg(*[F.max(c).alias(c) for c in keep])
+        finer = settle(
+            finer.join(newer, "feature", "left").select(
+                "feature", *[F.greatest(f, F.coalesce(c, F.lit(0.0))).alias(f) for c in keep for f in [c.replace("border", "finer")]]
+            )
+        )
+        open_, rows = cells.where("open"), rows.drop("parent")
+    return Narrowed(rows, open_, finer, left, total)
+
+
 def ks_distances(
     df: DataFrame,
     features: list[str],
@@ -53,9 +139,9 @@ def ks_distances(
 
     Columns: ``feature, n_<side>..., ks_<a>_<b>...``. On a large table a first pass counts rows per
     bucket, which gives the distance at all bucket borders and, for the inside of a bucket, an
-    upper limit. Only buckets whose limit exceeds the best border distance are shuffled and sorted
-    row by row; the others cannot hold the maximum. ``df`` is read up to three times, so it should
-    be a stored table.
+    upper limit. Buckets whose limit exceeds the best border distance are cut and counted again, see :func:`narrow`;
+    only what is open at the end is shuffled and sorted row by row, the rest cannot hold the maximum. ``df`` is read
+    three times and twice more for each level, so it should be a stored table.
     """
     columns = [f"n_{s}" for s in sides]
     wide = df.select("side", *features).where(F.col("side").isin(sides))
@@ -84,30 +170,26 @@ def ks_distances(
         )
         return feature_names(result, features)
 
-    totals = long.groupBy("feature", "bucket").agg(*side_counts())
+    extent = [F.min("value").alias("low"), F.max("value").alias("high")]
+    totals = long.groupBy("feature", "bucket").agg(*side_counts(), *extent)
     offsets = bucket_offsets(totals, ["feature"], columns).where(
         reduce(Column.__and__, [F.col(f"{c}_all") > 0 for c in columns])
     )
 
-    feature_window = Window.partitionBy("feature")
-    borders, limits = {}, []
-    for a, b in pairs:
-        start = share(a, "_before") - share(b, "_before")
-        own_a, own_b = F.col(f"n_{a}") / F.col(f"n_{a}_all"), F.col(f"n_{b}") / F.col(f"n_{b}_all")
-        borders[f"border_{a}_{b}"] = F.max(F.abs(start + own_a - own_b)).over(feature_window)
-        limits.append(
-            F.greatest(F.abs(start + own_a), F.abs(start - own_b)) > F.col(f"border_{a}_{b}")
-        )
-    bounded = offsets.withColumns(borders)
-    open_buckets = bounded.where(reduce(Column.__or__, limits))
-
-    # Never more than features x buckets entries.
-    rows = long.join(
-        F.broadcast(open_buckets.select("feature", "bucket")), ["feature", "bucket"], "left_semi"
+    cells = settle(_bounded(offsets, pairs, {}))
+    outer = cells.groupBy("feature").agg(
+        *[F.max(f"{c}_all").alias(c) for c in columns], *[F.max(f"border_{a}_{b}").alias(f"border_{a}_{b}") for a, b in pairs]
     )
+    narrowed = narrow(long, cells, columns, pairs, [*side_counts(), *extent])
+    rows, open_cells, outer = narrowed.rows, narrowed.cells, outer.join(narrowed.borders, "feature", "left").select(
+        "feature", *columns,
+        *[F.greatest(f"border_{a}_{b}", F.coalesce(f"finer_{a}_{b}", F.lit(0.0))).alias(f"border_{a}_{b}") for a, b in pairs],
+    )
+    # Never more than features x buckets, or MOST_CELLS, entries.
+    rows = rows.join(F.broadcast(open_cells.select("feature", "bucket")), ["feature", "bucket"], "left_semi")
     collapsed = rows.groupBy("feature", "bucket", "value").agg(*side_counts())
     inside = running_totals(
-        collapsed, ["feature"], columns, offsets=open_buckets.drop(*borders)
+        collapsed, ["feature"], columns, offsets=open_cells.select("feature", "bucket", *[c for m in columns for c in (m, f"{m}_before", f"{m}_all")])
     )
     inner = inside.groupBy("feature").agg(
         *[
@@ -115,9 +197,6 @@ def ks_distances(
             for a, b in pairs
         ]
     )
-    outer = bounded.groupBy("feature").agg(
-        *[F.max(f"{c}_all").alias(c) for c in columns], *[F.max(b).alias(b) for b in borders]
-    )
     result = outer.join(inner, "feature", "left").select(
         "feature",
         *columns,

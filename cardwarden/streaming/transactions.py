@@ -149,6 +149,13 @@ def write_updates(df: DataFrame, path: str, checkpoint: str, every: str | None =
     return start(writer, every)
 
 
+def history_folders(state: str, number: int, compact_every: int) -> list[str]:
+    """Folders that together hold the moments of all batches before ``number``: the latest snapshot and the logs since."""
+    base = number // compact_every * compact_every
+    snapshot = [f"{state}/snapshot/before={base}"] if base else []
+    return snapshot + [f"{state}/log/batch={i}" for i in range(base, number)]
+
+
 def stream_history(
     transactions: DataFrame,
     key: str,
@@ -159,25 +166,32 @@ def stream_history(
     keep: list[str] | None = None,
     spread_by: list[str] | None = None,
     every: str | None = None,
+    compact_every: int = 16,
 ) -> StreamingQuery:
     """Statistics of a key's earlier transactions for every row of a stream.
 
     A row sees the strictly earlier rows of its own micro-batch and all rows of earlier batches.
     Earlier batches count as the past, whatever the times of their rows.
-    The state is a log of moments per key and batch, merged pair by pair. Output and log of a batch are written
-    below its number and only lower numbers are read, so a repeated batch gives the same result.
+    The state is one row of moments per key in a snapshot, written anew after every ``compact_every`` batches, and a log
+    per batch since then: a batch reads one snapshot and fewer than ``compact_every`` logs, however long the stream has
+    run, and merges as many entries per key. Output, log and snapshot of a batch are written below its number and only
+    lower numbers are read, so a repeated batch gives the same result.
     """
     spark = transactions.sparkSession
     kept = keep or ["trans_num"]
-    schema = f"{key} string, n bigint, k bigint, mean double, m2 double, l bigint, p bigint, batch bigint"
+    schema = f"{key} string, n bigint, k bigint, mean double, m2 double, l bigint, p bigint"
+
+    def stored(number: int) -> DataFrame:
+        folders = history_folders(state, number, compact_every)
+        return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
 
     def write_batch(batch: DataFrame, number: int) -> None:
         batch = batch.persist()
         try:
             own = batch.where(F.col(key).isNotNull()).groupBy(key).agg(*moment_sums(F.col("amt")))
-            own.write.mode("overwrite").parquet(f"{state}/batch={number}")
-            log = spark.read.schema(schema).parquet(state).where(F.col("batch") < number)
-            past = log.groupBy(key).agg(*merged_sums()).select(key, *[F.col(m).alias(f"past_{m}") for m in MOMENTS])
+            own.write.mode("overwrite").parquet(f"{state}/log/batch={number}")
+            own = spark.read.schema(schema).parquet(f"{state}/log/batch={number}")
+            past = stored(number).groupBy(key).agg(*merged_sums()).select(key, *[F.col(m).alias(f"past_{m}") for m in MOMENTS])
             now = own.select(key, F.col("n").alias("_rows"))
             # Only keys of this batch, with their row counts for the skew-safe join.
             known = now.join(past, key, "left")
@@ -188,6 +202,10 @@ def stream_history(
             joined.select(*kept, *[c.alias(n) for n, c in stats.items()]).write.mode(
                 "overwrite"
             ).parquet(f"{output}/batch={number}")
+            if (number + 1) % compact_every == 0:
+                folders = [*history_folders(state, number, compact_every), f"{state}/log/batch={number}"]
+                merged = spark.read.schema(schema).parquet(*folders).groupBy(key).agg(*merged_sums())
+                merged.write.mode("overwrite").parquet(f"{state}/snapshot/before={number + 1}")
         finally:
             batch.unpersist()
 

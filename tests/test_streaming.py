@@ -8,6 +8,7 @@ from cardwarden.sources.events import table, transactions
 from cardwarden.streaming.transactions import (
     deduplicated,
     file_stream,
+    history_folders,
     latest_state,
     outcome_windows,
     p95_windows,
@@ -44,13 +45,25 @@ def stream(spark, pieces, files=1):
     return file_stream(spark, folder, txn.schema, "*.parquet", files)
 
 
-def test_history_along_the_stream_equals_the_batch(spark, pieces, tmp_path):
+def test_state_is_one_snapshot_and_few_logs():
+    assert history_folders("s", 0, 3) == []
+    assert history_folders("s", 2, 3) == ["s/log/batch=0", "s/log/batch=1"]
+    assert history_folders("s", 3, 3) == ["s/snapshot/before=3"]
+    assert history_folders("s", 100, 3) == ["s/snapshot/before=99", "s/log/batch=99"]
+    assert all(len(history_folders("s", n, 16)) <= 16 for n in range(200))
+
+
+@pytest.mark.parametrize("compact_every", [1, 2, 16])
+def test_history_along_the_stream_equals_the_batch(spark, pieces, tmp_path, compact_every):
+    """Whatever of the state is in a snapshot."""
     txn, _ = pieces
     out = str(tmp_path / "out")
     stream_history(
         stream(spark, pieces), "cc_num", out, str(tmp_path / "state"), str(tmp_path / "cp"),
-        keep=["row_id"], spread_by=["row_id"],
+        keep=["row_id"], spread_by=["row_id"], compact_every=compact_every,
     )
+    snapshots = sorted(p.name for p in (tmp_path / "state" / "snapshot").glob("*"))
+    assert snapshots == [f"before={n}" for n in range(compact_every, 4, compact_every)]
     stored = spark.read.parquet(out)
     assert stored.select("batch").distinct().count() == 3
     got = {r["row_id"]: r for r in stored.collect()}
