@@ -40,6 +40,8 @@ from cardwarden.operators.summaries import (
     class_weights,
     dataset_summary,
     exact_p95,
+    histogram,
+    histogram_quantile,
     feature_profile,
     outcome_counts,
     score_summary,
@@ -327,6 +329,30 @@ def outcomes(spark, sf_dir):
     return outcome_counts(decide(scored(spark, sf_dir), "score"), ["model"])
 
 
+_BOUNDS = [1.0, 2.5, 5.0, 10.0, 25.0, 50.0, 75.0, 100.0, 150.0, 200.0, 300.0]
+
+
+def histogram_sql(source: str, by: str, value: str, q: str = "0.95e0") -> str:
+    """CTE ``hq (by, p, observations)``: interpolation inside the cumulative bucket that holds the rank."""
+    ends = ", ".join(f"({i}, {b}e0, {low}e0)" for i, (b, low) in enumerate(zip(_BOUNDS, [0.0, *_BOUNDS[:-1]])))
+    return f"""ends(i, le, low) AS (VALUES {ends}), cum AS (
+  SELECT {by}, i, le, low, count(*) FILTER ({value} <= le) AS upto, count(*) FILTER ({value} <= le AND ({value} > low OR i = 0)) AS own,
+         count(*) AS observations FROM {source}, ends GROUP BY ALL), hq AS (
+  SELECT {by}, CASE WHEN max(upto) < {q} * max(observations) THEN {_BOUNDS[-1]}e0
+    ELSE min_by(low + (le - low) * ({q} * observations - (upto - own)) / own, i) FILTER (upto >= {q} * observations AND own > 0) END AS p,
+    max(observations) AS observations FROM cum GROUP BY {by})"""
+
+
+@query(
+    "latency_p95_histogram",
+    f"WITH {TXN}, {histogram_sql('txn', 'category', 'amt')} SELECT category, round(p + 1e-9, 6) AS p95, observations FROM hq",
+)
+def p95_histogram(spark, sf_dir):
+    """95th percentile per category from bucket counts, counted per day and added up."""
+    days = histogram(transactions(spark, sf_dir).withColumn("day", F.substring("trans_date_trans_time", 1, 10)), "amt", _BOUNDS, ["category", "day"])
+    return rounded(histogram_quantile(days, _BOUNDS, 0.95, ["category"], "p95"))
+
+
 @query("latency_p95", f"WITH {TXN} SELECT round(quantile_cont(amt, 0.95) + 1e-9, 6) AS p95 FROM txn")
 def p95(spark, sf_dir):
     return rounded(exact_p95(transactions(spark, sf_dir), "amt"))
@@ -391,13 +417,18 @@ def fit_apply(spark, sf_dir):
     return rounded(out.select("row_id", "split", *[F.col(c).cast("double").alias(c) for c in GROUP_STATS]))
 
 
-_STANDARD = ["amt", "city_pop", "unix_time", "distance_km", "customer_avg_amt"]
+_STANDARD = [
+    "amt", "lat", "long", "city_pop", "unix_time", "merch_lat", "merch_long", "hour_of_day", "day_of_week", "is_weekend", "month",
+    "day_of_month", "customer_txn_count", "customer_avg_amt", "customer_std_amt", "customer_fraud_rate", "merchant_fraud_rate",
+    "merchant_txn_count", "merchant_avg_amt", "merchant_std_amt", "category_fraud_rate", "category_txn_count", "category_avg_amt",
+    "distance_km", "is_distant_txn", "amt_zscore", "amt_is_outlier", "amt_ratio_to_customer_avg",
+]
 
 
 @query(
     "standardize",
     f"""WITH {FEATURES} SELECT row_id, {", ".join(
-        f"round(({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () + 1e-9, 6) AS {c}" for c in _STANDARD)} FROM feat""",
+        f"round(coalesce(({c} - avg({c}) OVER ()) / nullif(stddev_pop({c}) OVER (), 0), 0) + 1e-9, 6) AS {c}" for c in _STANDARD)} FROM feat""",
 )
 def standardize(spark, sf_dir):
     from cardwarden.operators.models import standardized

@@ -43,12 +43,18 @@ def typed_csv_scan(spark, sf_dir):
 
 @query(
     "batch_upload_parse",
-    f"WITH {RAW} SELECT cc_num, merchant, nullif(category, '') AS category, round(amt + 1e-9, 6) AS amt, trans_num, unix_time FROM raw",
+    f"WITH {RAW} SELECT "
+    + ", ".join(
+        f'round("{f.name}" + 1e-9, 6) AS "{f.name}"' if f.dataType.simpleString() == "double"
+        else f"""nullif("{f.name}", '') AS "{f.name}\"""" if f.dataType.simpleString() == "string" else f'"{f.name}"'
+        for f in REQUEST_SCHEMA.fields
+    )
+    + " FROM raw",
 )
 def batch_upload_parse(spark, sf_dir):
-    """Request rows from CSV files whose header carries blanks."""
+    """Request rows with all their columns, from CSV files whose header carries blanks."""
     path = scratch_path(spark, "upload-csv")
-    raw = raw_transactions(spark, sf_dir).select("cc_num", "merchant", "category", "amt", "trans_num", "unix_time")
+    raw = raw_transactions(spark, sf_dir).select(*REQUEST_SCHEMA.fieldNames())
     write_csv(raw.toDF(*[f" {c} " for c in raw.columns]), path)
     return rounded(read_request_csv(spark, path))
 
@@ -240,14 +246,14 @@ def request_quarantine(spark, sf_dir):
     return checked.select("row_id", "valid", F.array_join("reasons", ",").alias("reason_text"))
 
 
-_NULL_COLUMNS = ["row_id", "trans_date_trans_time", "cc_num", "merchant", "category", "amt", "gender", "zip", "lat", "dob", "is_fraud"]
+_NULL_COLUMNS = TRANSACTION_COLUMNS
 
 
 @query(
     "null_counts",
     f"WITH {RAW} "
-    + " UNION ALL ".join(f"SELECT '{c}' AS column_name, count(*) - count({c}) AS nulls FROM raw" for c in _NULL_COLUMNS)
-    + f" UNION ALL SELECT '(total)' AS column_name, {' + '.join(f'(count(*) - count({c}))' for c in _NULL_COLUMNS)} AS nulls FROM raw",
+    + " UNION ALL ".join(f"SELECT '{c}' AS column_name, count(*) - count(\"{c}\") AS nulls FROM raw" for c in _NULL_COLUMNS)
+    + f" UNION ALL SELECT '(total)' AS column_name, {' + '.join(f'(count(*) - count({chr(34)}{c}{chr(34)}))' for c in _NULL_COLUMNS)} AS nulls FROM raw",
 )
 def nulls(spark, sf_dir):
     return null_counts(raw_transactions(spark, sf_dir), _NULL_COLUMNS)

@@ -8,8 +8,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardwarden.catalog.base import KEY, TXN, query, rounded, split_sql, table, transactions
-from cardwarden.catalog.feature_queries import earlier_sql
+from cardwarden.catalog.base import KEY, RAW, TXN, query, raw_transactions, rounded, split_sql, table, transactions
+from cardwarden.catalog.feature_queries import _BOUNDS, earlier_sql, histogram_sql
+from cardwarden.catalog.ingest import _REASON_LIST
 from cardwarden.operators.leaf_values import leaf_table, objective
 from cardwarden.operators.models import (
     feature_importance,
@@ -17,11 +18,12 @@ from cardwarden.operators.models import (
     fit_trees,
     load_model,
     logistic_coefficients,
+    logistic_gradient,
     save_model,
 )
 from cardwarden.operators.scoring import collect_defaults, decide, score_requests
 from cardwarden.operators.splitting import stratified_sample, with_folds
-from cardwarden.operators.summaries import serving_defaults
+from cardwarden.operators.summaries import histogram_quantile, serving_defaults
 from cardwarden.operators.tuning import (
     LOGISTIC_CV_SPACE,
     LOGISTIC_SPACE,
@@ -33,15 +35,19 @@ from cardwarden.operators.tuning import (
 )
 from cardwarden.operators.validation import request_rules
 from cardwarden.plans.prepare import settled_features
-from cardwarden.plans.train import LOGISTIC, TREES, evaluate_saved, train_and_save, train_models
+from cardwarden.plans.train import LOGISTIC, TREES, evaluate_saved, train_and_save, train_models, training_job
+from cardwarden.plans.promote import promote
+from cardwarden.plans.score import score_job
 from cardwarden.plans.tune import tune, tune_one
 from cardwarden.schema import numeric_features
 from cardwarden.session import scratch_path, settle_table
 from cardwarden.sources.events import project_transactions
+from cardwarden.sources.run_documents import read_part
 from cardwarden.sources.split_files import train_val_pool
 from cardwarden.streaming.transactions import (
     deduplicated,
     file_stream,
+    histogram_windows,
     latest_state,
     outcome_windows,
     p95_windows,
@@ -52,6 +58,9 @@ from cardwarden.streaming.transactions import (
     write_updates,
 )
 
+#: Largest entry of the gradient at the end of a fit (the solver stops at a relative change of 1e-6).
+GRADIENT_TOLERANCE = 1e-4
+
 SMALL_TREES = {"n_estimators": 5, "learning_rate": 0.3, "num_leaves": 8, "subsample": 1.0, "colsample_bytree": 1.0}
 SMALL_LOGISTIC_SPACE = {**LOGISTIC_SPACE, "max_iter": (50, 100, 50)}
 SMALL_TREE_SPACE = {**TREE_SPACE, "n_estimators": (2, 4, 1), "num_leaves": (4, 16, 4)}
@@ -70,6 +79,19 @@ def logistic_fit(spark, sf_dir):
     return rounded(logistic_coefficients(model, names, df))
 
 
+@query(
+    "logistic_gradient",
+    f"""WITH {TXN}, n AS (SELECT count(*) AS rows FROM (SELECT {split_sql()} AS split FROM txn) WHERE split = 'train')
+SELECT CAST(29 AS BIGINT) AS entries, true AS at_minimum FROM n WHERE rows > 0""",
+)
+def logistic_gradient_norm(spark, sf_dir):
+    """Whether the objective's gradient is zero at the fit with the full number of iterations: no other solver needed."""
+    df = features(spark, sf_dir)
+    names, train = numeric_features(df), df.where("split = 'train'")
+    gradient = logistic_gradient(train, names, fit_logistic(train, names))
+    return gradient.agg(F.count(F.lit(1)).alias("entries"), (F.max(F.abs("gradient")) < GRADIENT_TOLERANCE).alias("at_minimum"))
+
+
 @query("gbt_fit")
 def gbt_fit(spark, sf_dir):
     """Training rows by label and decision of a small boosted model."""
@@ -183,6 +205,45 @@ def score_batch(spark, sf_dir):
     return score_requests(requests, model, medians, keep=["row_id", "trans_num"])
 
 
+@query(
+    "score_job",
+    f"""WITH {RAW}, checked AS (SELECT row_id, list_filter([{_REASON_LIST}], lambda x: x IS NOT NULL) AS reasons FROM raw)
+SELECT 'totals' AS part, NULL AS reason, count(*) AS requests, count(*) FILTER (len(reasons) > 0) AS rejected, count(*) FILTER (len(reasons) = 0) AS scored FROM checked
+UNION ALL SELECT 'rejected', r.reason, count(*), count(*), 0 FROM (SELECT unnest(reasons) AS reason FROM checked) r GROUP BY 2""",
+)
+def batch_job(spark, sf_dir):
+    """The written totals of a scoring job, and its written rejects by reason."""
+    model, medians = _model_and_defaults(spark, sf_dir)
+    path = scratch_path(spark, "scores")
+    score_job(raw_transactions(spark, sf_dir).drop("trans_date_trans_time", "is_fraud"), model, medians, path, "r1", keep=["row_id"])
+    totals, rejected = (read_part(spark, path, "r1", p) for p in ("totals", "rejected"))
+    scored = read_part(spark, path, "r1", "scored").where("fraud_probability BETWEEN 0 AND 1").agg(F.count(F.lit(1)).alias("scored"))
+    first = totals.drop("scored").crossJoin(scored).select(F.lit("totals").alias("part"), F.lit(None).cast("string").alias("reason"), "requests", "rejected", "scored")
+    n = F.count(F.lit(1))
+    by_reason = rejected.select(F.explode("reasons").alias("reason")).groupBy("reason").agg(n.alias("requests"), n.alias("rejected"))
+    return first.unionByName(by_reason.select(F.lit("rejected").alias("part"), "reason", "requests", "rejected", F.lit(0).cast("bigint").alias("scored")))
+
+
+@query(
+    "train_and_promote",
+    f"""WITH {TXN} SELECT 'detector' AS model_name, count(*) > 0 AS promoted, 'No champion model, promoting as first production model' AS reason,
+  true AS metrics_agree, CAST(34 AS BIGINT) AS metrics FROM txn""",
+)
+def train_and_promote(spark, sf_dir):
+    """A training run's written rows go through the gate; they agree with the run's own long metrics."""
+    df, path = features(spark, sf_dir), scratch_path(spark, "runs")
+    training_job(df, scratch_path(spark, "model"), path, "r1", logistic_params={"max_iter": 50}, tree_params=SMALL_TREES)
+    rows, long = read_part(spark, path, "r1", "run_metrics"), read_part(spark, path, "r1", "metrics")
+    challenger = spark.createDataFrame([("detector", "r1")], "model_name string, run_id string")
+    nobody = spark.createDataFrame([], "model_name string, version bigint, stage string, alias string, run_id string")
+    report, _ = promote(challenger, rows, nobody)
+    slug = F.replace(F.lower("model"), F.lit(" "), F.lit("_"))
+    named = long.select(F.concat_ws("_", slug, "split", "metric").alias("name"), F.col("value").alias("own"))
+    agree = named.join(rows, "name", "left").agg(F.bool_and(F.col("own").eqNullSafe(F.col("value"))).alias("metrics_agree"))
+    counted = rows.agg(F.count(F.lit(1)).alias("metrics"))
+    return report.select("model_name", "promoted", "reason").join(agree.join(counted, F.lit(True)), F.lit(True))
+
+
 def event_stream(spark, sf_dir) -> DataFrame:
     """The events table as a stream of files."""
     schema = table(spark, sf_dir, "events").schema
@@ -258,6 +319,20 @@ def stream_p95(spark, sf_dir):
     return rounded(daily)
 
 
+@query(
+    "stream_p95_histogram",
+    f"""WITH w AS (SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, value FROM events), {histogram_sql('w', 'window_start', 'value')}
+SELECT strftime(window_start, '%Y-%m-%d') AS window_start, round(p + 1e-9, 6) AS p95, observations FROM hq WHERE {_CLOSED}""",
+)
+def stream_p95_histogram(spark, sf_dir):
+    """95th percentile per closed day from streamed bucket counts."""
+    events = event_stream(spark, sf_dir).select(F.col("ts").cast("timestamp").alias("ts"), "value")
+    out = scratch_path(spark, "buckets")
+    run_available(histogram_windows(events, "value", _BOUNDS), out, scratch_path(spark, "progress"))
+    daily = histogram_quantile(spark.read.parquet(out), _BOUNDS, 0.95, ["window_start"], "p95")
+    return rounded(daily.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd")))
+
+
 @query("stream_deduplicated", f"WITH {TXN} SELECT row_id, trans_num FROM txn")
 def stream_deduplicated(spark, sf_dir):
     """Every event delivered twice, kept once."""

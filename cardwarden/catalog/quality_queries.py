@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cardwarden.catalog.base import (
     FEATURES,
     KEY,
+    ORACLES,
     SCORED,
     SCORERS,
     TXN,
@@ -56,12 +57,13 @@ from cardwarden.operators.selection import best_model, top_features
 from cardwarden.operators.splitting import hash_split
 from cardwarden.operators.stability import category_share_shift, population_stability
 from cardwarden.operators.tuning import improvement_flags, parameter_diff, tuning_comparison
-from cardwarden.plans.drift_report import drift_report
+from cardwarden.plans.drift_report import drift_job, drift_report
 from cardwarden.plans.prepare import settled_features
-from cardwarden.plans.promote import promote
+from cardwarden.plans.promote import promote, promotion_job
 from cardwarden.plans.train import positions
 from cardwarden.schema import FEATURE_GROUPS, GROUP_STATS
-from cardwarden.session import settle
+from cardwarden.session import scratch_path, settle
+from cardwarden.sources.run_documents import read_part
 
 BY = ["model", "split"]
 MS = f"WITH {SCORED}, {metrics_sql('model, split')}"
@@ -246,7 +248,7 @@ def both_sides(spark, sf_dir, columns: list[str]) -> DataFrame:
     return features.withColumn("side", side).where(F.col("side").isNotNull()).select("side", *columns)
 
 
-_RAW_KS = ["amt", "unix_time", "city_pop"]
+_RAW_KS = ["amt", "lat", "long", "city_pop", "unix_time", "merch_lat", "merch_long", "is_fraud"]
 
 
 @query(
@@ -277,7 +279,7 @@ def drift(spark, sf_dir):
 @query("feature_drift_exact")
 def drift_exact(spark, sf_dir):
     """The same with the exact small-sample p-value (no closed form in SQL)."""
-    columns = ["amt", "distance_km", "is_fraud"]
+    columns = NUMERIC
     return rounded(feature_drift(both_sides(spark, sf_dir, columns), columns, p_method="exact"))
 
 
@@ -380,8 +382,10 @@ def full_report(spark, sf_dir):
     """The report's sections with the figures read back from their JSON."""
     train, test = train_and_test(spark, sf_dir)
     columns = shared_numeric(train, test)
-    report = drift_report(train.select(*columns), test.select(*columns), p_method="asymptotic")
+    return report_figures(drift_report(train.select(*columns), test.select(*columns), p_method="asymptotic"))
 
+
+def report_figures(report: DataFrame) -> DataFrame:
     def field(name: str, kind: str):
         return F.get_json_object("result", f"$.{name}").cast(kind)
 
@@ -395,7 +399,7 @@ def full_report(spark, sf_dir):
     )
 
 
-_PSI = ["amt", "distance_km", *GROUP_STATS]
+_PSI = [c for c in NUMERIC if c not in ("row_id", "is_fraud")]
 
 
 def _psi_sql() -> str:
@@ -563,6 +567,34 @@ def promotion(spark, sf_dir):
     return out.select("model_name", "challenger_run_id", "champion_run_id", "champion_version", "promoted", "reason")
 
 
+@query(
+    "promotion_document",
+    f"""WITH {GATE_SQL}, sides AS (
+  SELECT g.model_name, promoted, 'challenger' AS side, g.run_id FROM gated g UNION ALL
+  SELECT g.model_name, promoted, 'champion', c.run_id FROM gated g JOIN champions c ON g.model_name = c.model_name)
+SELECT model_name, promoted, side, name, round(value + 1e-9, 6) AS value FROM sides JOIN rm ON sides.run_id = rm.run_id""",
+)
+def promotion_document(spark, sf_dir):
+    """The metrics of both runs of every decision, from the written report."""
+    path, reg = scratch_path(spark, "promotions"), settle(registry(spark, sf_dir))
+    promotion_job(challengers(reg), run_table(spark, sf_dir), reg, path, "r1")
+    report = read_part(spark, path, "r1", "report")
+    sides = [
+        report.select("model_name", "promoted", F.lit(side).alias("side"), F.explode(f"{side}_metrics").alias("name", "value"))
+        for side in ("challenger", "champion")
+    ]
+    return rounded(sides[0].unionByName(sides[1]))
+
+
+@query("drift_document", ORACLES["drift_report"])
+def drift_document(spark, sf_dir):
+    """The drift report's figures, read back from a complete run."""
+    train, test = train_and_test(spark, sf_dir)
+    columns, path = shared_numeric(train, test), scratch_path(spark, "drift")
+    drift_job(train.select(*columns), test.select(*columns), path, "r1")
+    return report_figures(read_part(spark, path, "r1", "report"))
+
+
 @query(
     "promotion_apply",
     f"""WITH {SCORED}, {REGISTRY_SQL}, pr AS (SELECT model_name, run_id FROM registry WHERE version = 4 AND model_name <> 'detector-view')

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import math
 
+from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import StandardScaler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +46,15 @@ def standardized(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
+class SummaryFreeLogistic(LogisticRegression):
+    """Models without their training summary: that holds the session, which can't be sent to tasks once anything has been
+    observed in it."""
+
+    def _create_model(self, java_model):
+        java_model.setSummary(SparkContext._active_spark_context._jvm.scala.Option.empty())
+        return super()._create_model(java_model)
+
+
 def fit_logistic(
     df: DataFrame, features: list[str], params: dict | None = None, label: str = LABEL
 ) -> PipelineModel:
@@ -66,7 +77,7 @@ def fit_logistic(
         stages=[
             assembler(features),
             StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True),
-            LogisticRegression(
+            SummaryFreeLogistic(
                 labelCol=label,
                 weightCol=WEIGHT,
                 maxIter=int(p["max_iter"]),
@@ -79,6 +90,31 @@ def fit_logistic(
     return pipeline.fit(weighted)
 
 
+def logistic_gradient(
+    df: DataFrame, features: list[str], model: PipelineModel, params: dict | None = None, label: str = LABEL
+) -> DataFrame:
+    """``(feature, gradient)`` of the fit's own objective at the fitted coefficients, the intercept last: one aggregation.
+
+    The objective is the weighted mean of the log loss plus half the penalty times the squared coefficients, as in
+    :func:`fit_logistic`; at its minimum all entries are zero, whatever solver got there.
+    """
+    p = {**LOGISTIC_DEFAULTS, **(params or {})}
+    neg, pos = class_sizes(df, label)
+    n, y = neg + pos, F.col(label).cast("double")
+    weight = _either(label, n / (2 * max(pos, 1)), n / (2 * max(neg, 1))) if p["class_weight"] == "balanced" else F.lit(1.0)
+    scored = model.transform(df.select(*features, label))
+    x, away = vector_to_array("features"), (weight * (positive_probability() - y)).alias("away")
+    rows = scored.select(x.alias("x"), away, weight.alias("w"))
+    sums = rows.agg(
+        F.sum("w").alias("w"), F.sum("away").alias("b"), *[F.sum(F.col("away") * F.get("x", F.lit(i))).alias(f"g{i}") for i in range(len(features))]
+    ).first()
+    fitted = model.stages[-1]
+    out = [
+        (f, sums[f"g{i}"] / sums["w"] + fitted.getRegParam() * float(fitted.coefficients[i])) for i, f in enumerate(features)
+    ] + [("(intercept)", sums["b"] / sums["w"])]
+    return df.sparkSession.createDataFrame(out, "feature string, gradient double")
+
+
 #: Histogram bins of a feature (fixed value: the default of the usual leaf-wise learner).
 MAX_BINS = 255
 

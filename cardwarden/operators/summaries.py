@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardwarden.operators.ordered import exact_quantiles
@@ -114,5 +116,42 @@ def outcome_counts(decisions: DataFrame, by: list[str] | None = None) -> DataFra
     return decisions.groupBy(*(by or []), outcome).agg(F.count(F.lit(1)).alias("predictions"))
 
 
+#: Upper ends of latency buckets in seconds (fixed values: the usual defaults of request histograms).
+LATENCY_BOUNDS = [0.005, 0.01, 0.025, 0.05, 0.075, 0.1, 0.25, 0.5, 0.75, 1.0, 2.5, 5.0, 7.5, 10.0]
+
+
+def bucket_of(value: Column, bounds: list[float]) -> Column:
+    """The smallest bound that is not below the value; infinity beyond the last."""
+    return F.coalesce(F.get(F.filter(F.array(*map(F.lit, bounds)), lambda b: b >= value), F.lit(0)), F.lit(math.inf))
+
+
+def histogram(df: DataFrame, value: str, bounds: list[float], by: list[str] | None = None) -> DataFrame:
+    """``(by, le, n)``: observations per bucket. Counts of parts of the data simply add up."""
+    some = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
+    return some.groupBy(*(by or []), bucket_of(F.col(value).cast("double"), bounds).alias("le")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def histogram_quantile(buckets: DataFrame, bounds: list[float], q: float, by: list[str] | None = None, name: str = "value") -> DataFrame:
+    """``(by, <name>, observations)`` by interpolation inside the bucket that holds rank ``q * n``.
+
+    The first bucket begins at zero if its bound is positive; a rank beyond the last bound gives that bound. The error is
+    at most one bucket's width, whatever the number of observations; a group is at most one row per bucket.
+    """
+    ends = [float(b) for b in bounds]
+    counts = F.map_from_entries(F.collect_list(F.struct("le", "n")))
+    whole = buckets.groupBy(*(by or []), "le").agg(F.sum("n").alias("n")).groupBy(*(by or [])).agg(counts.alias("c"))
+    at = [F.coalesce(F.try_element_at("c", F.lit(b)), F.lit(0)).cast("double") for b in [*ends, math.inf]]
+    upto = [sum(at[1 : i + 1], at[0]) for i in range(len(at))]
+    rank = F.lit(float(q)) * upto[-1]
+    # From the last bucket to the first, so that the first that reaches the rank decides.
+    out = F.lit(ends[-1])
+    for i in reversed(range(len(ends))):
+        low = ends[i - 1] if i else (0.0 if ends[0] > 0 else ends[0])
+        before = upto[i - 1] if i else F.lit(0.0)
+        inside = F.lit(low) + F.lit(ends[i] - low) * F.coalesce(F.try_divide(rank - before, at[i]), F.lit(0.0))
+        out = F.when(upto[i] >= rank, inside).otherwise(out)
+    return whole.select(*(by or []), out.alias(name), upto[-1].cast("bigint").alias("observations"))
+
+
 def exact_p95(df: DataFrame, column: str, buckets: int | None = None) -> DataFrame:
     return exact_quantiles(df, [column], [0.95], buckets).select(F.col("value").alias("p95"))

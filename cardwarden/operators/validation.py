@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cardwarden.schema import DATE_FORMAT, LABEL, ROW_ID, TIMESTAMP_FORMAT, TRANSACTION_COLUMNS
+from cardwarden.session import settle_table
 
 # The accepted forms, ranges and codes.
 REQUIRED_TEXT = ["merchant", "category", "first", "last", "street", "city", "job"]
@@ -118,17 +119,36 @@ def violations(df: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
     return counted.select(F.inline(F.array(*entries)))
 
 
+def store_checked(df: DataFrame, name: str, measures: dict[str, Column] | None = None) -> tuple[DataFrame, dict]:
+    """Write ``df`` below the shared folder and check it by that write, so that its source is read once.
+
+    Rule violations and the given aggregates are observed while the rows pass. Returns the stored table and the
+    aggregates with ``rows``; a breach is the same error as in :func:`enforce`, and the stored table is not handed on.
+    """
+    if [c for c in df.columns if c in TRANSACTION_COLUMNS] != TRANSACTION_COLUMNS:
+        raise ValueError(f"columns differ: expected {TRANSACTION_COLUMNS}, got {df.columns}")
+    rules, seen = transaction_rules(), Observation()
+    counts = [F.count_if(r.broken).alias(f"rule_{i}") for i, r in enumerate(rules)]
+    extra = [c.alias(n) for n, c in (measures or {}).items()]
+    stored = settle_table(df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts, *extra), name)
+    found = seen.get
+    for i, rule in enumerate(rules):
+        _refuse(rule.name, rule.column, found[f"rule_{i}"])
+    return stored, {n: found[n] for n in ("rows", *(measures or {}))}
+
+
+def _refuse(rule: str, column: str, rows: int) -> None:
+    if rows:
+        raise ValueError(f"column '{column}' breaks rule '{rule}' in {rows} rows")
+
+
 def enforce(df: DataFrame) -> DataFrame:
     """``df`` itself if it satisfies the contract, otherwise an error naming the first breach."""
     if df.columns != TRANSACTION_COLUMNS:
         raise ValueError(f"columns differ: expected {TRANSACTION_COLUMNS}, got {df.columns}")
     broken = violations(df).where("violations > 0").collect()  # at most one row per rule
     if broken:
-        first = broken[0]
-        raise ValueError(
-            f"column '{first['column_name']}' breaks rule '{first['rule']}' "
-            f"in {first['violations']} rows"
-        )
+        _refuse(broken[0]["rule"], broken[0]["column_name"], broken[0]["violations"])
     return df
 
 

@@ -14,6 +14,7 @@ from cardwarden.operators.drift import (
 )
 from cardwarden.schema import LABEL
 from cardwarden.session import settle
+from cardwarden.sources.run_documents import write_run
 
 
 def drift_report(
@@ -45,3 +46,8 @@ def drift_report(
             section("target", target_drift(both, label, target_threshold), F.lit(label))
         )
     return report
+
+
+def drift_job(reference: DataFrame, current: DataFrame, path: str, run_id: str, **options) -> None:
+    """The report written as a run."""
+    write_run(reference.sparkSession, path, run_id, {"report": drift_report(reference, current, **options)})

@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cardwarden.operators.features import add_all_features
 from cardwarden.operators.splitting import fit_split, hash_split, with_split
-from cardwarden.operators.summaries import split_summary
-from cardwarden.operators.validation import enforce
-from cardwarden.schema import ENGINEERED, SPLIT_DEFAULTS, TRANSACTION_COLUMNS
+from cardwarden.operators.summaries import dataset_summary, split_summary
+from cardwarden.operators.validation import store_checked
+from cardwarden.schema import ENGINEERED, LABEL, SPLIT_DEFAULTS, TRANSACTION_COLUMNS
 from cardwarden.session import settle_table
-from cardwarden.sources.csv_files import load_sources, write_csv
+from cardwarden.sources.csv_files import first_rows, load_sources, read_transactions_csv, write_csv
 from cardwarden.sources.report_files import write_report
-from cardwarden.sources.split_files import write_splits
+from cardwarden.sources.split_files import SPLITS, write_splits
 
 
 def split_features(
@@ -41,12 +41,30 @@ def prepare_dataset(
 ) -> DataFrame:
     """Load, validate, engineer, split and write; returns the per-split summary.
 
-    The summary reads the written table, so features are computed once.
+    Each CSV file is parsed once, while its typed rows are stored; the rules are counted by that write, and a breach
+    stops the job before there is an output. The summary is counted while the features are written.
     """
-    raw = load_sources(spark, paths, sample_rows)
-    enforce(raw.select(*TRANSACTION_COLUMNS))
-    write_splits(split_features(raw, ["source", "row_id"], engineer=engineer), output)
-    return preparation_summary(spark.read.parquet(output), len(TRANSACTION_COLUMNS))
+    raw, _ = store_checked(load_sources(spark, paths, sample_rows), "raw")
+    seen = Observation()
+    counts = [
+        c.alias(f"{s}_{n}")
+        for s in SPLITS
+        for n, c in (
+            ("rows", F.count_if(F.col("split") == s)),
+            ("fraud", F.sum(F.when(F.col("split") == s, F.col(LABEL).cast("bigint")))),
+            ("labels", F.count(F.when(F.col("split") == s, F.col(LABEL)))),
+        )
+    ]
+    write_splits(split_features(raw, ["source", "row_id"], engineer=engineer).observe(seen, *counts), output)
+    found, width = seen.get, len(TRANSACTION_COLUMNS)
+    rows = [
+        (s, found[f"{s}_rows"], found[f"{s}_fraud"], found[f"{s}_fraud"] / found[f"{s}_labels"] if found[f"{s}_labels"] else None,
+         width - 1, width + len(ENGINEERED))
+        for s in SPLITS if found[f"{s}_rows"]
+    ]
+    return spark.createDataFrame(
+        rows, "split string, rows bigint, fraud_rows bigint, fraud_rate double, original_features int, engineered_features int"
+    )
 
 
 def preparation_summary(written: DataFrame, original_columns: int) -> DataFrame:
@@ -64,13 +82,13 @@ def preparation_summary(written: DataFrame, original_columns: int) -> DataFrame:
 def clean_sources(
     spark, paths: dict[str, str], output: str, report: str, sample_rows: int | None = None
 ) -> DataFrame:
-    """Validated CSV copies per source and one summary row per source."""
-    from cardwarden.operators.summaries import dataset_summary
-    from cardwarden.sources.csv_files import first_rows, read_transactions_csv
+    """Validated CSV copies per source and one summary row per source.
 
+    A source is parsed once, while its typed rows are stored and checked; copy and summary read those.
+    """
     summaries = None
     for name, path in paths.items():
-        frame = enforce(first_rows(read_transactions_csv(spark, path), sample_rows))
+        frame, _ = store_checked(first_rows(read_transactions_csv(spark, path), sample_rows), "clean")
         write_csv(frame, f"{output}/{name}")
         part = dataset_summary(frame).select(F.lit(name).alias("dataset"), "*")
         summaries = part if summaries is None else summaries.unionByName(part)

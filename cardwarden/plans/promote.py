@@ -13,6 +13,27 @@ from cardwarden.operators.promotion import (
     promotion_gate,
     promotion_metrics,
 )
+from cardwarden.session import settle
+from cardwarden.sources.run_documents import write_run
+
+
+def with_metric_maps(report: DataFrame, metrics: DataFrame) -> DataFrame:
+    """The report with all metrics of both runs, by name; a run without metrics has none."""
+    maps = metrics.groupBy("run_id").agg(F.map_from_entries(F.collect_list(F.struct("name", "value"))).alias("values"))
+    for side in ("challenger", "champion"):
+        own = maps.select(F.col("run_id").alias(f"{side}_run_id"), F.col("values").alias(f"{side}_metrics"))
+        report = report.join(own, f"{side}_run_id", "left")
+    return report
+
+
+def promotion_job(
+    challengers: DataFrame, metrics: DataFrame, registry: DataFrame, path: str, run_id: str,
+    min_precision_ratio: float = MIN_PRECISION_RATIO,
+) -> None:
+    """Gate the challengers and write the report, with both runs' metrics, and the new registry as a run."""
+    metrics, registry = settle(metrics), settle(registry)
+    report, after = promote(challengers, metrics, registry, min_precision_ratio)
+    write_run(challengers.sparkSession, path, run_id, {"report": with_metric_maps(report, metrics)}, {"registry": after})
 
 
 def promote(

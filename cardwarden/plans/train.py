@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from cardwarden.operators.metrics import bias_variance, evaluate, metrics_long, nest_metrics
 from cardwarden.operators.models import fit_logistic, fit_trees, load_model, save_model, score_splits
+from cardwarden.operators.promotion import run_metrics
 from cardwarden.operators.selection import best_model
 from cardwarden.schema import LABEL, numeric_features
 from cardwarden.session import settle_table
+from cardwarden.sources.run_documents import write_run
 
 LOGISTIC, TREES = "Logistic Regression", "Boosted Trees"
 
@@ -84,6 +86,21 @@ def train_and_save(df: DataFrame, model_path: str, **params) -> Training:
     return training
 
 
+def run_rows(training: Training, run_id: str) -> DataFrame:
+    """``(run_id, name, value)``: the run's metrics as the promotion gate reads them."""
+    long = training.metrics.select(F.lit(run_id).alias("run_id"), positions(list(training.models)).alias("position"), "*")
+    return run_metrics(long)
+
+
+def training_job(df: DataFrame, model_path: str, path: str, run_id: str, **params) -> Training:
+    """Train both models, store the better one, and write report, metrics and run rows as a run; the stored model comes
+    first, so a complete run has one."""
+    training = train_and_save(df, model_path, **params)
+    reports = {"report": training_report(training, run_id), "metrics": training.metrics}
+    write_run(df.sparkSession, path, run_id, reports, {"run_metrics": run_rows(training, run_id)})
+    return training
+
+
 def evaluate_saved(df: DataFrame, model_path: str, name: str = "model") -> tuple[DataFrame, DataFrame]:
     """Metrics and bias-variance row of a stored model."""
     metrics = settle_table(score_and_measure(df, {name: load_model(model_path)}), "metrics")

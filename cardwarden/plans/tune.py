@@ -3,24 +3,28 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardwarden.operators.models import fit_logistic, fit_trees
+from cardwarden.operators.models import fit_logistic, fit_trees, save_model
 from cardwarden.operators.tuning import (
     LOGISTIC_SPACE,
     TREE_SPACE,
     best_trial,
     draw_parameters,
+    improvement_flags,
     parameter_rows,
+    parameter_table,
     search,
     tuning_comparison,
 )
 from cardwarden.plans.train import LOGISTIC, TREES, score_and_measure
 from cardwarden.schema import LABEL, numeric_features
 from cardwarden.session import settle, settle_table
+from cardwarden.sources.run_documents import write_run
 from cardwarden.sources.split_files import train_val_pool
 
 FITTERS = {LOGISTIC: fit_logistic, TREES: fit_trees}
@@ -33,6 +37,7 @@ class Tuning:
     models: dict[str, PipelineModel]
     comparison: DataFrame
     best: str
+    trials: DataFrame | None = None
 
 
 def tune_one(
@@ -62,9 +67,9 @@ def tune(
     """Tune both families; the tree family wins an equal test average precision."""
     features = numeric_features(df, label)
     train, pool = df.where(F.col("split") == "train"), train_val_pool(df)
-    best, tuned, baseline = {}, {}, {}
+    best, tuned, baseline, trials_of = {}, {}, {}, {}
     for name, fit in FITTERS.items():
-        _, best[name] = tune_one(df, name, trials, (spaces or SPACES)[name], seed, label)
+        trials_of[name], best[name] = tune_one(df, name, trials, (spaces or SPACES)[name], seed, label)
         tuned[name] = fit(pool, features, best[name], label)
         baseline[name] = fit(train, features, (baseline_params or {}).get(name), label)
     long = score_and_measure(df, tuned).withColumn("variant", F.lit("tuned")).unionByName(
@@ -72,4 +77,18 @@ def tune(
     )
     comparison = settle_table(tuning_comparison(long), "comparison")
     test = {r["model"]: r["tuned"] for r in comparison.where("split = 'test'").collect()}
-    return Tuning(best, tuned, comparison, TREES if test[TREES] >= test[LOGISTIC] else LOGISTIC)
+    table = reduce(DataFrame.unionByName, [t.withColumn("model", F.lit(m)) for m, t in trials_of.items()])
+    return Tuning(best, tuned, comparison, TREES if test[TREES] >= test[LOGISTIC] else LOGISTIC, table)
+
+
+def tuning_job(df: DataFrame, model_path: str, path: str, run_id: str, **options) -> Tuning:
+    """Tune, store the better refitted model, and write parameters, trials, comparison and flags as a run."""
+    tuning = tune(df, **options)
+    save_model(tuning.models[tuning.best], model_path)
+    reports = {
+        "best_parameters": parameter_table(df.sparkSession, tuning.best_params), "trials": tuning.trials,
+        "comparison": tuning.comparison.withColumn("is_best", F.col("model") == F.lit(tuning.best)),
+        "flags": improvement_flags(tuning.comparison),
+    }
+    write_run(df.sparkSession, path, run_id, reports)
+    return tuning

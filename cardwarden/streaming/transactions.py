@@ -18,6 +18,7 @@ from cardwarden.operators.history import (
 )
 from cardwarden.operators.keyed_join import attach
 from cardwarden.operators.scoring import score_requests
+from cardwarden.operators.summaries import bucket_of
 from cardwarden.operators.validation import Rule, request_rules, with_reasons
 from cardwarden.schema import LABEL
 
@@ -116,6 +117,16 @@ def p95_windows(
     )
 
 
+def histogram_windows(
+    df: DataFrame, value: str, bounds: list[float], time: str = "ts", window: str = "1 day", delay: str = "1 hour"
+) -> DataFrame:
+    """Observations per bucket and closed event-time window; state is one counter per bucket. Quantiles come from the
+    written counts, of one window or of many together, by ``histogram_quantile``."""
+    some = df.where(F.col(value).isNotNull()).withColumn("le", bucket_of(F.col(value).cast("double"), bounds))
+    counted = some.withWatermark(time, delay).groupBy(F.window(time, window), "le").agg(F.count(F.lit(1)).alias("n"))
+    return counted.select(F.col("window.start").alias("window_start"), "le", "n")
+
+
 def deduplicated(df: DataFrame, key: str = "trans_num", time: str = "ts", delay: str = "1 hour") -> DataFrame:
     """Repeated deliveries of a transaction removed, with state bounded by the delay."""
     return df.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
