@@ -18,13 +18,14 @@ import hashlib
 import json
 import os
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import sentencepiece
+import tiktoken
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,17 +37,42 @@ from cardwarden.session import settle_table
 
 #: Pairs whose counts every task knows: 8 MB.
 KNOWN = 500_000
+#: What a byte-level pre-tokenizer cuts by (fixed value).
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Bytes of text tokenized at a time.
 SLICE = 1 << 20
 
 
+def encoder(a_json: str) -> Callable[[list[str]], list[list[int]]]:
+    """Ids of texts by a ``tokenizer.json``, special strings being plain text.
+
+    Of a byte-level BPE whose merges rank in the order of their ids, tiktoken gives the same ids in a quarter of the time;
+    all others are left to the file's own library.
+    """
+    spec = json.loads(a_json)
+    model, cut = spec["model"], spec["pre_tokenizer"] or {}
+    vocab, symbol = model["vocab"], byte_symbols()
+    merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+    plain = (
+        spec["normalizer"] is None and cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space")
+        and sorted(vocab.get(c, -1) for c in symbol) == list(range(256))
+        and all(vocab.get(a + b) == 256 + i for i, (a, b) in enumerate(merges)) and len(vocab) == 256 + len(merges)
+    )
+    if plain:
+        ranks = {bytes(symbol[c] for c in token): i for token, i in vocab.items()}
+        fast = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        return lambda texts: list(map(fast.encode_ordinary, texts))
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    library = Tokenizer.from_str(a_json)
+    library.encode_special_tokens = True
+    return lambda texts: [x.ids for x in library.encode_batch_fast(texts, add_special_tokens=False)]
+
+
 class Vocabularies:
     """Both tokenizers, the bytes of their ids, and the same-bytes table (-1: none)."""
 
     def __init__(self, a_json: str, b_model: bytes):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self._a = Tokenizer.from_str(a_json)
-        self._a.encode_special_tokens = True
+        self._encode_a = encoder(a_json)
         self._b = sentencepiece.SentencePieceProcessor(model_proto=b_model)
         symbol = byte_symbols()
         vocab = json.loads(a_json)["model"]["vocab"]
@@ -77,7 +103,7 @@ class Vocabularies:
     def align(self, texts: pa.Array) -> Alignment:
         """``texts``: strings without nulls."""
         plain = texts.to_pylist()
-        a = [x.ids for x in self._a.encode_batch_fast([" " + t if t else "" for t in plain], add_special_tokens=False)]
+        a = self._encode_a([" " + t if t else "" for t in plain])
         b = self._b.encode(plain, num_threads=1)
         want = pc.binary_join_element_wise(pa.scalar(" ", texts.type), texts, pa.scalar("", texts.type))
         want = want.cast(pa.large_binary())

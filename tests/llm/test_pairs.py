@@ -243,3 +243,17 @@ def test_aligned_tokens_and_nothing(docs_of, empty):
     v = token_alignment._load(open(files[0], encoding="utf-8").read(), open(files[1], "rb").read())
     found = v.align(pa.array(["one two", ""], pa.large_string()))
     assert found.n_a.tolist()[1] == 0 and found.n_links.tolist() == (found.n_a + found.n_b - found.n_groups).tolist()
+
+
+def test_encoder_gives_the_librarys_ids(real):
+    raw = open(vocabulary("byte_bpe_50k.json"), encoding="utf-8").read()
+    library = Tokenizer.from_str(raw)
+    library.encode_special_tokens = True
+    texts = [" " + (r.text or "") for r in real.select("text").collect()] + [" " + t for t in HARD_TEXTS]
+    texts += ["".join(chr(c) + (" " if c % 3 else "1") for c in range(at, at + 997) if not 0xD800 <= c < 0xE000) for at in range(0, 0x110000, 9973)]
+    want = [x.ids for x in library.encode_batch_fast(texts, add_special_tokens=False)]
+    assert token_alignment.encoder(raw)(texts) == want
+    # Other vocabularies go to the library itself.
+    spec = json.loads(raw)
+    spec["normalizer"] = {"type": "Lowercase"}
+    assert token_alignment.encoder(json.dumps(spec))(["Ab cD"]) == token_alignment.encoder(raw)(["ab cd"])
