@@ -5,17 +5,13 @@ A bitmap has no false negatives; a full one lets more rows pass to the exact joi
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardwarden.llm.words import slices
-
 #: Bits of a bitmap, as a power of two: 16 MB.
 FILTER_BITS = 27
 
@@ -46,38 +42,31 @@ def hash_longs(values: np.ndarray) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(raw[i : i + 8], 42) for i in range(0, len(raw), 8)), np.uint64, len(values))
 
 
-def keep_rows(
-    docs: DataFrame, id_col: str, text_col: str, keys_of: Callable[[pa.Array], tuple[np.ndarray, list]], key_type: str,
-    decisions: DataFrame,
-) -> DataFrame:
-    """The rows of ``docs`` that ``decisions (id, code long, key, kept)`` keeps, with all their columns.
+def text_hash(text_col: str) -> Column:
+    """What tells the texts of rows with one id apart; computed beside the row, so no text leaves the JVM for it."""
+    return F.xxhash64(F.col(f"`{text_col}`").cast("string"))
+
+
+def keep_rows(docs: DataFrame, id_col: str, text_col: str, decisions: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that ``decisions (id, text_hash, kept)`` keeps, with all their columns.
 
-    ``keys_of(texts)`` gives a code and a key for each text, as in the decisions. Rows whose code belongs to no
-    document that goes, nor to one that occurs twice, stay where they are; only the others are joined. Of rows with
-    the same id and key one stays.
+    Rows whose hash belongs to no document that goes, nor to one that occurs twice, stay where they are; only the
+    others are joined. Of rows with the same id and text one stays. Python sees the hashes alone.
     """
-    per_key = decisions.groupBy("id", "key").agg(
-        F.max("code").alias("code"), F.count("*").alias("times"), F.max("kept").alias("kept")
-    )
-    doubtful = bitmap(per_key.where(~F.col("kept") | (F.col("times") > 1)).select(F.xxhash64("code").alias("h")), "h")
-    rows = docs.select(
-        F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"),
+    per_key = decisions.groupBy("id", "text_hash").agg(F.count("*").alias("times"), F.max("kept").alias("kept"))
+    bits = bitmap(per_key.where(~F.col("kept") | (F.col("times") > 1)).select(F.col("text_hash").alias("h")), "h")
+
+    def hit(hashes: pa.Array) -> pa.Array:
+        return pa.array(in_bitmap(bits.value, hashes.to_numpy(zero_copy_only=False).astype(np.uint64)))
+
+    doubt = F.arrow_udf(hit, "boolean")(F.col("text_hash"))
+    flagged = docs.select(
+        F.col(f"`{id_col}`").alias("id"), text_hash(text_col).alias("text_hash"),
         F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
-    )
-    arrow_kind = pa.int64() if key_type == "bigint" else pa.string()
-
-    def flag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 2 << 20):
-            codes, keys = keys_of(batch.column(1))
-            hit = in_bitmap(doubtful.value, hash_longs(codes))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(keys, arrow_kind), pa.array(hit), batch.column(2)], ["id", "key", "doubt", "row"]
-            )
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    flagged = rows.mapInArrow(flag, f"id {kind}, key {key_type}, doubt boolean, row {rows.schema['row'].dataType.simpleString()}")
-    kept = per_key.where("kept").select(F.col("id").alias("kept_id"), F.col("key").alias("kept_key"))
-    found = flagged.where("doubt").join(kept, F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("key") == F.col("kept_key")))
-    order = Window.partitionBy("id", "key").orderBy(F.xxhash64(*(F.col(f"row.`{c}`") for c in docs.columns)))
+    ).withColumn("doubt", doubt)
+    kept = per_key.where("kept").select(F.col("id").alias("kept_id"), F.col("text_hash").alias("kept_hash"))
+    same = F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("text_hash") == F.col("kept_hash"))
+    found = flagged.where("doubt").join(kept, same)
+    order = Window.partitionBy("id", "text_hash").orderBy(F.xxhash64(*(F.col(f"row.`{c}`") for c in docs.columns)))
     first = found.withColumn("nth", F.row_number().over(order)).where("nth = 1").select("row.*")
     return flagged.where(~F.col("doubt")).select("row.*").unionByName(first)

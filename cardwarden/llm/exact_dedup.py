@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardwarden.llm.bitmaps import bitmap, hash_longs, in_bitmap, keep_rows
+from cardwarden.llm.bitmaps import bitmap, hash_longs, in_bitmap, keep_rows, text_hash
 from cardwarden.llm.words import SPACE, slices, spread, text_bytes
 from cardwarden.session import settle, settle_table
 
@@ -97,10 +97,12 @@ def fingerprints(data: np.ndarray, bounds: np.ndarray, primes=PRIMES, bases=BASE
     return out.astype(np.int64)
 
 
-def _fingerprinted(docs: DataFrame, id_col: str, text_col: str, what: str, primes, bases, bits=None) -> DataFrame:
-    """``what``: "sums" for ids and digests, "texts" for the normalised bytes of texts in ``bits``."""
+def _fingerprinted(docs: DataFrame, id_col: str, text_col: str, what: str, primes, bases, bits=None, hashed=False) -> DataFrame:
+    """``what``: "sums" for ids and digests (and ``text_hash`` if ``hashed``), "texts" for the normalised bytes of texts in ``bits``."""
     sums = what == "sums"
     columns = [F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")]
+    if hashed:
+        columns.append(text_hash(text_col).alias("text_hash"))
     rows = docs.select(*columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,13 +121,14 @@ def _fingerprinted(docs: DataFrame, id_col: str, text_col: str, what: str, prime
                 continue
             digest, n = text_digests(data, bounds), batch.num_rows
             out = [batch.column(0), *keys, pa.array(digest, pa.string()), pa.array([part] * n, pa.string())]
-            out.append(pa.array(np.arange(place, place + n)))
+            out += [pa.array(np.arange(place, place + n)), *batch.columns[2:]]
             place += n
-            yield pa.RecordBatch.from_arrays(out, ["id", "n", "fp", "sha", "part", "place"])
+            yield pa.RecordBatch.from_arrays(out, ["id", "n", "fp", "sha", "part", "place", *batch.schema.names[2:]])
 
     if not sums:
         return rows.mapInArrow(run, "n bigint, fp bigint, bytes binary")
     schema = f"id {docs.schema[id_col].dataType.simpleString()}, n bigint, fp bigint, sha string, part string, place bigint"
+    schema += ", text_hash bigint" * hashed
     return rows.mapInArrow(run, schema)
 
 
@@ -143,8 +146,8 @@ def exact_groups(
     )
 
 
-def _groups(docs: DataFrame, id_col: str, text_col: str, primes=PRIMES, bases=BASES) -> DataFrame:
-    sums = settle_table(_fingerprinted(docs, id_col, text_col, "sums", primes, bases), "sums")
+def _groups(docs: DataFrame, id_col: str, text_col: str, primes=PRIMES, bases=BASES, hashed: bool = False) -> DataFrame:
+    sums = settle_table(_fingerprinted(docs, id_col, text_col, "sums", primes, bases, hashed=hashed), "sums")
     repeated = sums.groupBy("n", "fp").agg(F.count("*").alias("members")).where("members > 1").select("n", "fp")
     bits = bitmap(repeated.select(F.xxhash64("fp").alias("h")), "h")
     # A text that comes along by chance is a group of its own, whose chunks equal themselves.
@@ -166,16 +169,11 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, primes=PRIMES, bases=BA
     groups = keyed.groupBy("n", "fp", "sub").agg(F.count("*").alias("group_size"), first.alias("keep"))
     kept = (F.col("part") == F.col("keep.part")) & (F.col("place") == F.col("keep.place"))
     return keyed.join(groups, ["n", "fp", "sub"]).select(
-        "id", "fp", "sha", F.col("keep.id").alias("keep_id"), "group_size", kept.alias("kept")
+        "id", "sha", F.col("keep.id").alias("keep_id"), "group_size", kept.alias("kept"), *(["text_hash"] if hashed else [])
     )
 
 
-def _keys(texts: pa.Array) -> tuple[np.ndarray, list[str]]:
-    data, bounds = normalised_bytes(texts)
-    return fingerprints(data, bounds), text_digests(data, bounds)
-
-
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The first row, by id, of every group of equal texts, with all its columns."""
-    groups = _groups(docs, id_col, text_col).select("id", F.col("fp").alias("code"), F.col("sha").alias("key"), "kept")
-    return keep_rows(docs, id_col, text_col, _keys, "string", settle_table(groups, "groups"))
+    groups = _groups(docs, id_col, text_col, hashed=True).select("id", "text_hash", "kept")
+    return keep_rows(docs, id_col, text_col, settle_table(groups, "groups"))

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardwarden.llm.bitmaps import keep_rows
+from cardwarden.llm.bitmaps import keep_rows, text_hash
 from cardwarden.llm.components import components
 from cardwarden.llm.words import slices, split_words, spread
 from cardwarden.session import settle_table
@@ -84,16 +84,20 @@ def majority(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return out
 
 
-def fingerprint_table(docs: DataFrame, id_col: str, text_col: str, shingle: int = 3) -> DataFrame:
-    """``(id, fp)``"""
+def fingerprint_table(docs: DataFrame, id_col: str, text_col: str, shingle: int = 3, hashed: bool = False) -> DataFrame:
+    """``(id, fp[, text_hash])``"""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             fp = pa.array(batch_fingerprints(batch.column(1), shingle).astype(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), fp], ["id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), fp, *batch.columns[2:]], ["id", "fp", *batch.schema.names[2:]])
 
-    source = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    return source.mapInArrow(run, f"id {docs.schema[id_col].dataType.simpleString()}, fp bigint")
+    source = docs.select(
+        F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"),
+        *([text_hash(text_col).alias("text_hash")] if hashed else []),
+    )
+    kind = docs.schema[id_col].dataType.simpleString()
+    return source.mapInArrow(run, f"id {kind}, fp bigint" + ", text_hash bigint" * hashed)
 
 
 # --------------------------------------------------------------------------- tiles
@@ -243,14 +247,14 @@ def near_duplicate_components(
     )
 
 
-def _components(docs: DataFrame, id_col: str, text_col: str, radius: int, shingle: int) -> DataFrame:
-    table = settle_table(fingerprint_table(docs, id_col, text_col, shingle), "fingerprints")
+def _components(docs: DataFrame, id_col: str, text_col: str, radius: int, shingle: int, hashed: bool = False) -> DataFrame:
+    table = settle_table(fingerprint_table(docs, id_col, text_col, shingle, hashed), "fingerprints")
     distinct = settle_table(table.groupBy("fp").agg(F.min("id").alias("least_id")), "distinct")
     roots = components(links_within(distinct, radius)).withColumnRenamed("node", "fp")
     nodes = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     smallest = nodes.groupBy("root").agg(F.min("least_id").alias("component_id"))
     named = nodes.join(smallest, "root").select("fp", "root", "component_id")
-    return table.join(named, "fp").select("id", "fp", "root", "component_id")
+    return table.join(named, "fp").select("id", "fp", "root", "component_id", *(["text_hash"] if hashed else []))
 
 
 def keep_first(
@@ -260,15 +264,8 @@ def keep_first(
 
     Of rows that share this id (or all lack one) the one with the smallest fingerprint stays, then any one.
     """
-
-    def keys(texts: pa.Array) -> tuple[np.ndarray, list[int]]:
-        fps = batch_fingerprints(texts, shingle).astype(np.int64)
-        return fps, fps
-
-    named = settle_table(_components(docs, id_col, text_col, radius, shingle), "components")
-    first = named.groupBy("root").agg(
-        F.min(F.when(F.col("id").eqNullSafe(F.col("component_id")), F.col("fp"))).alias("first_fp")
-    )
-    kept = F.col("id").eqNullSafe(F.col("component_id")) & (F.col("fp") == F.col("first_fp"))
-    decisions = named.join(first, "root").select("id", F.col("fp").alias("code"), F.col("fp").alias("key"), kept.alias("kept"))
-    return keep_rows(docs, id_col, text_col, keys, "bigint", decisions)
+    named = settle_table(_components(docs, id_col, text_col, radius, shingle, hashed=True), "components")
+    own = F.col("id").eqNullSafe(F.col("component_id"))
+    first = named.groupBy("root").agg(F.min(F.when(own, F.struct("fp", "text_hash"))).alias("first"))
+    kept = own & (F.struct("fp", "text_hash") == F.col("first"))
+    return keep_rows(docs, id_col, text_col, named.join(first, "root").select("id", "text_hash", kept.alias("kept")))

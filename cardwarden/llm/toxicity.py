@@ -294,30 +294,36 @@ def fit(
     return Model(insults, fit_logistic(np.array([r["x"] for r in rows]), y))
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", rows: bool = False) -> DataFrame:
-    """``(id, held_out, score, predicted[, row])``, one row per document."""
-    columns = [F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")]
-    columns.append((_remainder(id_col) == 0).alias("held_out"))
-    if rows:
-        columns.append(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
-    source = docs.select(*columns)
-    insults, weights = model.insults, model.weights
+def probabilities(model: Model, texts: pa.Array) -> np.ndarray:
+    """That each text is toxic; large strings without nulls."""
+    x = _lexicon(model.insults).features(texts)
+    return 1 / (1 + np.exp(-np.clip(x @ model.weights[:-1] + model.weights[-1], -50, 50)))
+
+
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(id, held_out, score, predicted)``, one row per document."""
+    source = docs.select(
+        F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"),
+        (_remainder(id_col) == 0).alias("held_out"),
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            x = _lexicon(insults).features(batch.column(1))
-            p = 1 / (1 + np.exp(-np.clip(x @ weights[:-1] + weights[-1], -50, 50)))
+            p = probabilities(model, batch.column(1))
             out = [batch.column(0), batch.column(2), pa.array(p), pa.array((p >= 0.5).astype(np.int32))]
-            yield pa.RecordBatch.from_arrays(
-                out + ([batch.column(3)] if rows else []), ["id", "held_out", "score", "predicted", "row"][: 4 + rows]
-            )
+            yield pa.RecordBatch.from_arrays(out, ["id", "held_out", "score", "predicted"])
 
     schema = f"id {docs.schema[id_col].dataType.simpleString()}, held_out boolean, score double, predicted int"
-    schema += f", row {source.schema['row'].dataType.simpleString()}" if rows else ""
     return source.mapInArrow(run, schema).withColumnRenamed("id", id_col)
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents predicted to be clean, with all their columns."""
+    """The documents predicted to be clean, with all their columns. Only the texts go to Python, one number comes back."""
     model = fit(docs, labels, id_col, text_col)
-    return score(docs, model, id_col, text_col, rows=True).where("predicted = 0").select("row.*")
+
+    def clean(texts: pa.Array) -> pa.Array:
+        batch = pa.RecordBatch.from_arrays([texts], ["text"])
+        parts = [probabilities(model, part.column(0)) < 0.5 for part in slices(iter([batch]), "text")]
+        return pa.array(np.concatenate([np.zeros(0, bool), *parts]))
+
+    return docs.where(F.arrow_udf(clean, "boolean")(F.col(f"`{text_col}`").cast("string")))
