@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cardwarden.llm import exact_dedup, near_copies, packing, substring_dedup, toxicity
+from cardwarden.llm import exact_dedup, packing, simhash, substring_dedup, toxicity
 from cardwarden.llm.queries import table, vocabulary
 from cardwarden.session import settle_table, ship_package
 
@@ -26,9 +26,9 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of texts with five-word similarity 0.8 at least the document with the smallest id stays."""
+    """Of each component of fingerprints linked at 2 or fewer bits the document with the smallest id stays."""
     ship_package(spark)
-    return near_copies.keep_first(docs, shingle=5)
+    return simhash.keep_first(docs, radius=2, shingle=3)
 
 
 def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
