@@ -154,25 +154,46 @@ def test_probabilities_are_normalised():
 # --------------------------------------------------------------------------- search
 @pytest.mark.parametrize("group_rows", [20, 1000])
 def test_search_equals_brute_force(shipped, group_rows):
+    """Ties, repeated ids, large components, rows that take no part, lists of another length."""
     rng = np.random.default_rng(0)
     x = np.round(rng.normal(size=(300, 8)) * rng.exponential(1, (300, 1)), 2)
     rows = [(i, [float(v) for v in r]) for i, r in enumerate(x)]
     rows += [(300, rows[7][1]), (301, rows[7][1]), (302, None), (303, [1.0, None]), (304, [float("nan")] * 8), (305, []),
-             (306, [float("inf")] * 8), (None, rows[3][1]), (400, [1.0, 2.0]), (401, [2.0, 1.0]), (307, [1e30] * 8)]
+             (306, [float("inf")] * 8), (None, rows[3][1]), (400, [1.0, 2.0]), (401, [2.0, 1.0]), (200, rows[9][1]), (8, rows[9][1]),
+             (500, [70000.0, 1.0, 0.0]), (501, [1.0, 70000.0, 0.0]), (502, [0.0, 1.0, 2.0**70]), (500, [0.0] * 3)]
     table = shipped.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
     got = topk.top_k(table, "id % 100 = 0", 10, fit_rows=50, group_rows=group_rows).collect()
-    valid = {i: np.floor(1024 * np.array(v)).astype(np.int64) for i, v in rows if i is not None and v and i not in (303, 304, 306, 307)}
+    gone = (303, 304, 306)
+    valid = [(i, [int(np.floor(1024 * c)) for c in v]) for i, v in rows if i is not None and v and i not in gone]
     want = []
-    for q in (0, 100, 200, 300, 400):
-        scored = sorted((-int(valid[q] @ v), i) for i, v in valid.items() if i != q and len(v) == len(valid[q]))[:10]
-        want += [(q, n, i, -s) for n, (s, i) in enumerate(scored, 1)]
+    for at, (q, v) in enumerate(valid):
+        if q % 100 == 0:
+            others = [(i, w) for j, (i, w) in enumerate(valid) if j != at and len(w) == len(v)]
+            scored = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in others)[:10]
+            want += [(q, n, i, -s) for n, (s, i) in enumerate(scored, 1)]
+    assert (500, 1, 501, 2 * 71680000 * 1024) in want
     assert sorted(map(tuple, got)) == sorted(want)
     assert topk.top_k(table.where("false"), "id % 100 = 0").count() == 0
 
 
+def test_search_refuses_scores_beyond_a_long(shipped):
+    table = shipped.createDataFrame([(0, [2.0**60]), (1, [2.0**60])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="range of a long"):
+        topk.top_k(table, "id % 100 = 0").collect()
+
+
+def test_queries_go_only_to_groups_that_can_reach_their_floor(shipped):
+    """Vectors of falling length along one line: the ten longest are the answer, and only their group is asked."""
+    rows = [(i, [float(1000 - i), 0.0]) for i in range(1000)]
+    table = shipped.createDataFrame(rows, "vec_id long, embedding array<double>")
+    out = topk.top_k(table, "id = 500", 10, fit_rows=32, group_rows=50)
+    assert [(r.rank, r.vec_id) for r in out.orderBy("rank").collect()] == [(n + 1, n) for n in range(10)]
+
+
 def test_products_stay_exact():
     big = np.array([[1 << 26, (1 << 26) - 1]] * 2, np.int32)
     assert topk.exact_products(big, big)[0, 0] == (1 << 52) + ((1 << 26) - 1) ** 2
+    assert topk.row_products(big, big).tolist() == [(1 << 52) + ((1 << 26) - 1) ** 2] * 2
 
 
 # --------------------------------------------------------------------------- the pipeline
