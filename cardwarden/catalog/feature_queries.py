@@ -48,8 +48,10 @@ from cardwarden.operators.summaries import (
     serving_defaults,
     split_summary,
 )
+from cardwarden.operators.sketches import KEYS, daily_summaries, read_days, relative_errors, store_days, unite_summaries
 from cardwarden.schema import ENGINEERED, FEATURE_GROUPS, GROUP_STATS
 from cardwarden.plans.prepare import settled_features, split_features
+from cardwarden.session import scratch_path
 
 _INTEGERS = {
     "hour_of_day", "day_of_week", "is_weekend", "month", "day_of_month", "customer_txn_count",
@@ -154,6 +156,25 @@ def summary_approx(spark, sf_dir):
     return rounded(dataset_summary(transactions(spark, sf_dir), approximate=True))
 
 
+@query(
+    "dataset_summary_united",
+    f"""WITH {TXN}, s AS (SELECT *, {split_sql()} AS split FROM txn), u AS (
+  SELECT split, {SUMMARY_COLUMNS} FROM s GROUP BY split)
+SELECT * EXCLUDE (unique_cards, unique_merchants, unique_categories), true AS unique_cards_close,
+  true AS unique_merchants_close, true AS unique_categories_close FROM u""",
+)
+def summary_united(spark, sf_dir):
+    """Stored days of each split united; the distinct counts by whether they are within 3 % of the exact ones."""
+    txn = hash_split(transactions(spark, sf_dir), KEY)
+    path = scratch_path(spark, "days")
+    store_days(daily_summaries(txn, ["split"]), path)
+    united = unite_summaries(read_days(spark, path), ["split"])
+    errors = relative_errors(united, dataset_summary(txn, ["split"]), ["split"])
+    close = errors.groupBy("split").pivot("key", list(KEYS.values())).agg(F.first(F.col("error") <= 0.03))
+    close = close.select("split", *[F.col(k).alias(f"{k}_close") for k in KEYS.values()])
+    return rounded(united.drop(*KEYS.values()).join(close, "split"))
+
+
 @query("stratified_split_hash", f"WITH {TXN} SELECT row_id, is_fraud, {split_sql()} AS split FROM txn")
 def split_hash(spark, sf_dir):
     return hash_split(transactions(spark, sf_dir), KEY).select("row_id", "is_fraud", "split")

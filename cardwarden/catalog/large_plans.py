@@ -28,6 +28,7 @@ NAMES = [
     "split_metrics",
     "pr_curve",
     "roc_curve",
+    "roc_corners",
     "psi",
     "all_features",
     "pit_customer_stats",

@@ -156,6 +156,21 @@ def receiver_curve(spark, sf_dir):
     return rounded(roc_curve(scored(spark, sf_dir), BY))
 
 
+@query(
+    "roc_corners",
+    f"""WITH {SCORED}, {ranked_sql('model, split')}, steps AS (
+  SELECT *, lead(pos) OVER w AS pos2, lead(n) OVER w AS n2 FROM ranked WINDOW w AS (PARTITION BY model, split ORDER BY s DESC))
+SELECT model, split, round(s + 1e-9, 6) AS threshold,
+  round(CASE WHEN n_all - p_all > 0 THEN (cnt - tp) / (n_all - p_all) ELSE 0 END + 1e-9, 6) AS fpr,
+  round(CASE WHEN p_all > 0 THEN tp / p_all ELSE 0 END + 1e-9, 6) AS tpr
+FROM steps WHERE n2 IS NULL OR pos * (n2 - pos2) <> (n - pos) * pos2
+UNION ALL SELECT DISTINCT model, split, CAST(NULL AS DOUBLE), 0e0, 0e0 FROM ranked""",
+)
+def receiver_corners(spark, sf_dir):
+    """Only the points where the curve turns."""
+    return rounded(roc_curve(scored(spark, sf_dir), BY, corners=True))
+
+
 def measured(spark, sf_dir) -> DataFrame:
     """Long metrics of both scorers on all splits."""
     return metrics_long(evaluate(scored(spark, sf_dir), BY), BY)

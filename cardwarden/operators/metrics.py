@@ -6,10 +6,10 @@ in one plan. Equal scores are collapsed before anything is shuffled, so heavy ti
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardwarden.operators.ordered import add_buckets, choose_buckets, running_totals
+from cardwarden.operators.ordered import add_buckets, bucket_offsets, choose_buckets, running_totals
 
 # Diagnosis limits and texts, class names of the report.
 LOW_TRAIN_METRIC = 0.5
@@ -30,12 +30,18 @@ def ratio_or_zero(numerator: Column, denominator: Column) -> Column:
 
 
 def ranked_scores(
-    df: DataFrame, by: list[str], label: str = "label", score: str = "score", buckets: int | None = None
+    df: DataFrame,
+    by: list[str],
+    label: str = "label",
+    score: str = "score",
+    buckets: int | None = None,
+    following: bool = False,
 ) -> DataFrame:
     """One row per group and distinct score, best first.
 
     ``pos`` and ``n`` count the rows at the score, ``pos_upto`` and ``n_upto`` all rows scored at
-    least as high, ``pos_all`` and ``n_all`` the group.
+    least as high, ``pos_all`` and ``n_all`` the group. ``following`` adds ``pos_next`` and ``n_next``,
+    the counts at the next lower score (NULL at the lowest).
     """
     narrow = df.select(*by, F.col(label).cast("int").alias("y"), F.col(score).cast("double").alias("value"))
     buckets = choose_buckets(narrow) if buckets is None else buckets
@@ -43,7 +49,23 @@ def ranked_scores(
     collapsed = marked.groupBy(*by, "bucket", "value").agg(
         F.sum("y").alias("pos"), F.count(F.lit(1)).alias("n")
     )
-    return running_totals(collapsed, by, ["pos", "n"], descending=True, buckets=buckets)
+    if not following:
+        return running_totals(collapsed, by, ["pos", "n"], descending=True, buckets=buckets)
+    inside = Window.partitionBy(*by, "bucket").orderBy(F.desc("value"))
+    ahead = {f"{m}_next": F.lead(m).over(inside) for m in ("pos", "n")}
+    if buckets <= 1:
+        return running_totals(collapsed.withColumns(ahead), by, ["pos", "n"], descending=True, buckets=buckets)
+    # The next score of a bucket's last row opens the next bucket; one row per bucket carries it over.
+    totals = collapsed.groupBy(*by, "bucket").agg(
+        F.sum("pos").alias("pos"), F.sum("n").alias("n"), F.max(F.struct("value", "pos", "n")).alias("top")
+    )
+    behind = F.lead("top").over(Window.partitionBy(*by).orderBy(F.desc("bucket")))
+    offsets = bucket_offsets(totals, by, ["pos", "n"], descending=True).withColumn("behind", behind).drop("top")
+    ranked = running_totals(
+        collapsed.withColumns(ahead), by, ["pos", "n"], descending=True, buckets=buckets, offsets=offsets
+    )
+    carried = {f"{m}_next": F.coalesce(f"{m}_next", f"behind.{m}") for m in ("pos", "n")}
+    return ranked.withColumns(carried).drop("behind")
 
 
 def ranking_metrics(
@@ -167,12 +189,16 @@ def classification_report(
     return counts.select(*by, F.inline(F.array(*rows)))
 
 
-def _with_start(points: DataFrame, ranked: DataFrame, by: list[str], start: dict[str, float]) -> DataFrame:
-    """Add the point that lies before any score (its threshold is NULL)."""
-    firsts = ranked.select(*by).distinct().select(
-        *by, F.lit(None).cast("double").alias("threshold"), *[F.lit(v).alias(k) for k, v in start.items()]
-    )
-    return points.unionByName(firsts)
+def _points(
+    ranked: DataFrame, by: list[str], values: dict[str, Column], start: dict[str, float], wanted: Column | None = None
+) -> DataFrame:
+    """``threshold`` and ``values`` of the wanted rows; the row of the best score also gives the point that lies
+    before any score (its threshold is NULL), so the ranked table is read once."""
+    point = F.struct(F.col("value").alias("threshold"), *[v.alias(k) for k, v in values.items()])
+    first = F.struct(F.lit(None).cast("double").alias("threshold"), *[F.lit(v).alias(k) for k, v in start.items()])
+    own = F.array(point) if wanted is None else F.when(wanted, F.array(point)).otherwise(F.array())
+    both = F.when(F.col("n_upto") == F.col("n"), F.concat(F.array(first), own)).otherwise(own)
+    return ranked.select(*by, F.inline(both))
 
 
 def pr_curve(
@@ -180,27 +206,38 @@ def pr_curve(
 ) -> DataFrame:
     """``(threshold, precision, recall)`` at every distinct score plus the end point (1, 0)."""
     ranked = ranked_scores(df, by, label, score, buckets)
-    points = ranked.select(
-        *by,
-        F.col("value").alias("threshold"),
-        (F.col("pos_upto") / F.col("n_upto")).alias("precision"),
-        ratio_or_zero(F.col("pos_upto"), F.col("pos_all")).alias("recall"),
-    )
-    return _with_start(points, ranked, by, {"precision": 1.0, "recall": 0.0})
+    values = {
+        "precision": F.col("pos_upto") / F.col("n_upto"),
+        "recall": ratio_or_zero(F.col("pos_upto"), F.col("pos_all")),
+    }
+    return _points(ranked, by, values, {"precision": 1.0, "recall": 0.0})
 
 
 def roc_curve(
-    df: DataFrame, by: list[str], label: str = "label", score: str = "score", buckets: int | None = None
+    df: DataFrame,
+    by: list[str],
+    label: str = "label",
+    score: str = "score",
+    buckets: int | None = None,
+    corners: bool = False,
 ) -> DataFrame:
-    """``(threshold, fpr, tpr)`` at every distinct score plus the origin."""
-    ranked = ranked_scores(df, by, label, score, buckets)
-    points = ranked.select(
-        *by,
-        F.col("value").alias("threshold"),
-        ratio_or_zero(F.col("n_upto") - F.col("pos_upto"), F.col("n_all") - F.col("pos_all")).alias("fpr"),
-        ratio_or_zero(F.col("pos_upto"), F.col("pos_all")).alias("tpr"),
-    )
-    return _with_start(points, ranked, by, {"fpr": 0.0, "tpr": 0.0})
+    """``(threshold, fpr, tpr)`` at every distinct score plus the origin.
+
+    ``corners``: only the points where the curve turns, and its end. The others lie on the line between two
+    corners, so the curve and its area stay the same.
+    """
+    ranked = ranked_scores(df, by, label, score, buckets, following=corners)
+    values = {
+        "fpr": ratio_or_zero(F.col("n_upto") - F.col("pos_upto"), F.col("n_all") - F.col("pos_all")),
+        "tpr": ratio_or_zero(F.col("pos_upto"), F.col("pos_all")),
+    }
+    turns = None
+    if corners:
+        # Cross product of the steps to and from the point, in decimals that hold products of two counts.
+        step = {c: F.col(c).cast("decimal(18,0)") for c in ("pos", "n", "pos_next", "n_next")}
+        cross = step["pos"] * step["n_next"] - step["n"] * step["pos_next"]
+        turns = F.col("n_next").isNull() | (cross != 0)
+    return _points(ranked, by, values, {"fpr": 0.0, "tpr": 0.0}, turns)
 
 
 def evaluate(

@@ -126,6 +126,51 @@ def test_curves(spark, buckets):
     assert roc[None] == (0.0, 0.0) and roc[0.8] == (0.5, 1.0) and roc[0.1] == (1.0, 1.0)
 
 
+def corners_of(labels, scores):
+    """Points of the curve by plain counting, without those on the line between their neighbours."""
+    y, s = np.array(labels), np.array(scores)
+    points = [(None, 0, 0)] + [(t, int((y[s >= t] == 0).sum()), int((y[s >= t] == 1).sum())) for t in sorted(set(scores), reverse=True)]
+    def turns(a, b, c):
+        return (b[1] - a[1]) * (c[2] - b[2]) != (b[2] - a[2]) * (c[1] - b[1])
+    kept = [points[0]] + [p for a, p, c in zip(points, points[1:], points[2:]) if turns(a, p, c)] + [points[-1]]
+    return [(t, x / max(1, (y == 0).sum()), z / max(1, (y == 1).sum())) for t, x, z in kept]
+
+
+@pytest.mark.parametrize("buckets", [1, 4, 64])
+def test_corners_equal_brute_force(spark, buckets):
+    rng = np.random.default_rng(2)
+    groups = {
+        "ties": (rng.integers(0, 2, 200), rng.integers(0, 30, 200) / 30.0),
+        "free": (rng.integers(0, 2, 300), rng.random(300)),
+        "ones": (np.ones(40, int), rng.random(40)),
+        "line": (np.tile([0, 1], 30), np.repeat(np.arange(30), 2) / 30.0),
+        "single": (np.array([1]), np.array([0.3])),
+    }
+    df = None
+    for name, (y, s) in groups.items():
+        part = frame(spark, y, s, name)
+        df = part if df is None else df.unionByName(part)
+    got = roc_curve(df, ["model"], buckets=buckets, corners=True).collect()
+    every = roc_curve(df, ["model"], buckets=buckets).count()
+    for name, (y, s) in groups.items():
+        mine = sorted(((r["threshold"], r["fpr"], r["tpr"]) for r in got if r["model"] == name), key=lambda p: (p[1], p[2]))
+        want = corners_of(y.tolist(), s.tolist())
+        assert [p[0] for p in mine] == [p[0] for p in want]
+        assert [p[1:] for p in mine] == [pytest.approx(p[1:]) for p in want]
+    # Only the origin and the end are left of a straight line.
+    assert sum(r["model"] == "line" for r in got) == 2 and len(got) < every
+    assert roc_curve(df.where("false"), ["model"], buckets=buckets, corners=True).count() == 0
+
+
+def test_curves_read_their_input_once(spark, tmp_path):
+    rng = np.random.default_rng(4)
+    frame(spark, rng.integers(0, 2, 500), rng.random(500)).write.parquet(str(tmp_path / "scored"))
+    df = spark.read.parquet(str(tmp_path / "scored"))
+    for curve in (pr_curve(df, ["model"], buckets=1), roc_curve(df, ["model"], buckets=1, corners=True)):
+        curve.collect()
+        assert curve._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("FileScan parquet") == 1
+
+
 def test_nested_report_roundtrip(spark):
     rows = [("a", s, m, v) for s in ("train", "val") for m, v in (("auprc", 0.5), ("f1", 0.25))]
     long = spark.createDataFrame(rows, "model string, split string, metric string, value double")
