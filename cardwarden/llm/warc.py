@@ -4,11 +4,13 @@ Every record is a gzip member of its own. Tasks write archives below a shared fo
 only what a finished task has handed on is read, so repeated or lost attempts leave nothing behind that counts.
 The reader cuts archives into byte ranges. A task looks for the gzip magic in its range, decodes the header of
 each place found (and the record's first line) to tell members from chance, and reads those that start inside the
-range to their end, however far that lies behind it. Archives by others are listed by Spark and read alike.
+range to their end, however far that lies behind it, part by part. A member can hold a whole other one unpacked (a
+stored archive); such are no records of the archive: what starts before the end of a member of an earlier range is
+left out. Archives by others are listed by Spark and read alike. Members that cannot be unpacked to their end are none.
 
 Pages of equal payload share a digest: the one with the smallest id is the response, others are revisits that
 refer to it. Missing payloads count as empty. Missing ids never are referred to; pages sharing the smallest id of
-a group are all responses. Missing or odd URLs are written with their control characters encoded. An empty table
+a group are all responses. Ids that are no whole numbers count as missing. Missing or odd URLs are written with their control characters encoded. An empty table
 gives an empty table. Only the named columns are read.
 """
 
@@ -80,7 +82,7 @@ def write_archives(
     ``(path, bytes, records)`` of finished archives."""
     payload = F.coalesce(F.col(f"`{payload_col}`").cast("string"), F.lit("")).cast("binary")
     rows = pages.select(
-        F.col(f"`{id_col}`").cast("long").alias("page_id"), F.col(f"`{url_col}`").cast("string").alias("url"), payload.alias("payload")
+        F.col(f"`{id_col}`").try_cast("long").alias("page_id"), F.col(f"`{url_col}`").cast("string").alias("url"), payload.alias("payload")
     ).withColumn("sha", F.sha1("payload"))
     # Only digests are grouped; map-side sums keep a payload that a third of all pages share cheap.
     large = F.length("payload") >= least_bytes
@@ -123,92 +125,191 @@ def list_archives(spark: SparkSession, folder: str) -> DataFrame:
 
 # --------------------------------------------------------------------------- reading
 class _Window:
-    """A file read from a place on, with as much in memory as is asked for."""
+    """The bytes of a range, read as far as they are asked for."""
 
     def __init__(self, file, begin: int, size: int):
-        self._file, self._size, self.begin = file, size, begin
-        self.data = b""
+        self.file, self.size, self.begin = file, size, begin
+        self.data = bytearray()
 
-    def need(self, end: int) -> bool:
-        """Have everything up to file position ``end``; False if the file is shorter."""
+    def need(self, end: int) -> None:
+        """Have everything up to file position ``end``, if the file is so long."""
         have = self.begin + len(self.data)
-        if end > have and have < self._size:
-            self._file.seek(have)
-            self.data += self._file.read(min(self._size, max(end, have + AHEAD)) - have)
-        return end <= self.begin + len(self.data)
-
-
-def _inflate(window: _Window, at: int) -> tuple[bytes, int] | None:
-    """The member at a file position and where it ends, or None if there is none."""
-    if not window.need(at + 18):
-        return None
-    unpacker, parts, place, seen = zlib.decompressobj(31), [], at, b""
-    while not unpacker.eof:
-        if not window.need(place + 1):
-            return None
-        chunk = window.data[place - window.begin : place - window.begin + AHEAD]
-        try:
-            part = unpacker.decompress(chunk)
-        except zlib.error:
-            return None
+        if end > have and have < self.size:
+            self.file.seek(have)
+            self.data += self.file.read(min(self.size, max(end, have + AHEAD)) - have)
+
+    def chunks(self, at: int) -> Iterator[bytes]:
+        """The file from a position on; what lies behind the bytes in memory is passed on and not kept."""
+        have = self.begin + len(self.data)
+        while at < have:
+            yield bytes(self.data[at - self.begin : at - self.begin + AHEAD])
+            at = min(have, at + AHEAD)
+        while at < self.size:
+            self.file.seek(at)
+            chunk = self.file.read(min(AHEAD, self.size - at))
+            if not chunk:
+                return
+            yield chunk
+            at += len(chunk)
+
+
+class Record:
+    """Reads a record's content part by part: header, digest and size; the payload is kept only if asked for."""
+
+    def __init__(self, keep: bool = False):
+        self.fields: dict[str, str] | None = None
+        self._keep, self._head, self._http, self._left = keep, bytearray(), bytearray(), 0
+        self._in_payload, self._sha, self._size, self._parts = False, hashlib.sha1(), 0, []
+
+    def feed(self, part: bytes) -> None:
+        if self.fields is None:
+            tried = max(0, len(self._head) - 3)
+            self._head += part
+            end = self._head.find(b"\r\n\r\n", tried)
+            if end < 0:
+                return
+            self._start(bytes(self._head[:end]))
+            part, self._head = bytes(self._head[end + 4 :]), bytearray()
+        part = part[: self._left]
+        self._left -= len(part)
+        if not self._in_payload:
+            tried = max(0, len(self._http) - 3)
+            self._http += part
+            end = self._http.find(b"\r\n\r\n", tried)
+            if end < 0:
+                return
+            self._in_payload, part = True, bytes(self._http[end + 4 :])
+            del self._http[end:]
+        self._sha.update(part)
+        self._size += len(part)
+        if self._keep and part:
+            self._parts.append(part)
+
+    def _start(self, head: bytes) -> None:
+        found = re.findall(r"^([^:\r\n]+):[ \t]*(.*?)\r?$", head.decode("utf-8", "replace"), re.M)
+        self.fields = {k.lower(): v for k, v in found}
+        length = self.fields.get("content-length", "").strip()
+        self._left = int(length) if re.fullmatch(r"[0-9]+", length) else 0
+
+    def close(self) -> dict:
+        """The columns of the record. Digest and size come from the payload itself where the record holds it."""
+        if self.fields is None:
+            self._start(bytes(self._head))
+        fields, revisit = self.fields, self.fields.get("warc-type", "") == "revisit"
+        size, digest = self._size, base64.b32encode(self._sha.digest()).decode()
+        if revisit:
+            length = re.search(rb"(?im)^content-length:[ \t]*(\d+)", self._http)
+            size, digest = int(length[1]) if length else None, fields.get("warc-payload-digest", "").removeprefix("sha1:")
+
+        def page(name: str) -> int | None:
+            m = re.fullmatch(rf"<{_PAGE}(-?\d+)>", fields.get(name, ""))
+            return int(m[1]) if m else None
+
+        return {
+            "record_id": fields.get("warc-record-id"), "page_id": page("warc-record-id"), "record_type": fields.get("warc-type", ""),
+            "refers_to": page("warc-refers-to"), "url": fields.get("warc-target-uri"), "payload_bytes": size,
+            "payload_digest": digest, "payload": None if revisit else b"".join(self._parts),
+        }
+
+
+class _Whole:
+    """Keeps a member's content as it is."""
+
+    def __init__(self):
+        self._parts: list[bytes] = []
+        self.feed = self._parts.append
+
+    def close(self) -> bytes:
+        return b"".join(self._parts)
+
+
+def _inflate(window: _Window, at: int, sink) -> int | None:
+    """Feed the member at a file position to ``sink``; where it ends, or None if there is none."""
+    unpacker, place, seen = zlib.decompressobj(31), at, b""
+    for chunk in window.chunks(at):
         place += len(chunk)
-        parts.append(part)
-        if len(seen) < 5:
-            seen = (seen + part)[:5]
-            if not b"WARC/".startswith(seen):
+        while chunk and not unpacker.eof:
+            try:
+                # The first line tells members from chance before anything more is unpacked.
+                part = unpacker.decompress(chunk, 5 - len(seen) if len(seen) < 5 else AHEAD)
+            except zlib.error:
                 return None
-    return b"".join(parts), place - len(unpacker.unused_data)
-
-
-def members(file, begin: int, end: int, size: int) -> Iterator[bytes]:
-    """Contents of the members that start in ``[begin, end)``."""
-    window = _Window(file, begin, size)
-    at = begin
+            chunk = unpacker.unconsumed_tail
+            if len(seen) < 5:
+                seen += part
+                if not b"WARC/".startswith(seen):
+                    return None
+            sink.feed(part)
+        while not unpacker.eof:  # output held back by the limit
+            try:
+                part = unpacker.decompress(b"", AHEAD)
+            except zlib.error:
+                return None
+            if not part:
+                break
+            sink.feed(part)
+        if unpacker.eof:
+            return place - len(unpacker.unused_data) if len(seen) == 5 else None
+    return None
+
+
+def located_members(file, begin: int, end: int, size: int, sink=_Whole) -> Iterator[tuple[int, int, object]]:
+    """``(start, end, what the sink made of it)`` of the members that start in ``[begin, end)``. Those inside a
+    member that starts in the range too are skipped; those inside one that starts earlier cannot be told from here."""
+    window, at = _Window(file, begin, size), begin
+    window.need(min(end + len(MAGIC) - 1, size))
     while at < end:
-        window.need(min(end + len(MAGIC) - 1, size))
         found = window.data.find(MAGIC, at - window.begin, min(end, size) - window.begin + len(MAGIC) - 1)
         if found < 0:
             return
         at = window.begin + found
-        got = _inflate(window, at)
-        if got is None:
+        into = sink()
+        until = _inflate(window, at, into)
+        if until is None:
             at += 1
         else:
-            yield got[0]
-            at = got[1]
-            # What lies behind is done with.
-            window.data, window.begin = window.data[at - window.begin :], at
+            yield at, until, into.close()
+            at = until
+
+
+def members(file, begin: int, end: int, size: int) -> Iterator[bytes]:
+    """Contents of the members that start in ``[begin, end)``."""
+    return (content for _, _, content in located_members(file, begin, end, size))
 
 
 def parse(data: bytes) -> dict:
-    """The columns of a record. Digest and size come from the payload itself where the record holds it."""
-    head, _, rest = data.partition(b"\r\n\r\n")
-    fields = dict(re.findall(r"^([^:\r\n]+):[ \t]*(.*?)\r?$", head.decode("utf-8", "replace"), re.M))
-    fields = {k.lower(): v for k, v in fields.items()}
-    block = rest[: int(fields.get("content-length", 0))]
-    http, _, payload = block.partition(b"\r\n\r\n")
-    kind = fields.get("warc-type", "")
-    if kind == "revisit":
-        length = re.search(rb"(?im)^content-length:[ \t]*(\d+)", http)
-        size, digest = int(length[1]) if length else None, fields.get("warc-payload-digest", "").removeprefix("sha1:")
-    else:
-        size, digest = len(payload), payload_digest(payload)
-
-    def page(name: str) -> int | None:
-        m = re.fullmatch(rf"<{_PAGE}(-?\d+)>", fields.get(name, ""))
-        return int(m[1]) if m else None
-
-    return {
-        "record_id": fields.get("warc-record-id"), "page_id": page("warc-record-id"), "record_type": kind,
-        "refers_to": page("warc-refers-to"), "url": fields.get("warc-target-uri"), "payload_bytes": size,
-        "payload_digest": digest, "payload": None if kind == "revisit" else payload,
-    }
+    """The columns of an unpacked record."""
+    whole = Record(keep=True)
+    whole.feed(data)
+    return whole.close()
+
+
+def _outermost(found: DataFrame, range_bytes: int) -> DataFrame:
+    """Members of stored ``(path, begin, at, until, ...)`` that lie in no other member.
+
+    Members lie beside or inside each other. Those of one range are told apart by its task, so one that is left lies in
+    a member that starts before its range: each member is noted at the ranges that begin inside it. Only ranges
+    whose first member starts before the farthest such end hold members to leave out; they are stored, and mostly none.
+    """
+    step = F.lit(range_bytes).cast("long")
+    inside = F.sequence(F.col("begin") + step, F.col("until") - 1, step)
+    reach = (
+        found.where(F.col("begin") + step < F.col("until"))
+        .select("path", F.explode(inside).alias("begin"), "until")
+        .groupBy("path", "begin")
+        .agg(F.max("until").alias("covered"))
+    )
+    first = found.groupBy("path", "begin").agg(F.min("at").alias("first"))
+    open_ranges = settle_table(first.join(reach, ["path", "begin"]).where("first < covered").drop("first"), "covered-ranges")
+    kept = found.join(open_ranges, ["path", "begin"], "left")
+    return kept.where("covered IS NULL OR at >= covered")
 
 
 def read_archives(archives: DataFrame, payloads: bool = False, range_bytes: int = RANGE) -> DataFrame:
     """One row per record of the archives ``(path, bytes)``: see ``RECORD``; the payload, if asked for."""
-    schema = RECORD + ", payload binary" * payloads
-    names = [c.split()[0] for c in schema.split(", ")]
+    columns = RECORD + ", payload binary" * payloads
+    schema = columns + ", path string, begin bigint, at bigint, until bigint"
+    names = [c.split()[0] for c in columns.split(", ")]
     kinds = {"bigint": pa.int64(), "string": pa.string(), "binary": pa.binary()}
     arrow = pa.schema([(c.split()[0], kinds[c.split()[1]]) for c in schema.split(", ")])
 
@@ -218,10 +319,10 @@ def read_archives(archives: DataFrame, payloads: bool = False, range_bytes: int
                 filesystem, inner = fs.FileSystem.from_uri(path)
                 with filesystem.open_input_file(inner) as file:
                     rows, held = [], 0
-                    for data in members(file, begin, min(size, begin + range_bytes), size):
-                        row = parse(data)
-                        rows.append({n: row[n] for n in names})
-                        held += len(data) if payloads else 200
+                    found = located_members(file, begin, min(size, begin + range_bytes), size, lambda: Record(payloads))
+                    for at, until, row in found:
+                        rows.append({**{n: row[n] for n in names}, "path": path, "begin": begin, "at": at, "until": until})
+                        held += 200 + len(row["payload"] or b"")
                         if held > 8 << 20:
                             yield pa.RecordBatch.from_pylist(rows, arrow)
                             rows, held = [], 0
@@ -232,7 +333,8 @@ def read_archives(archives: DataFrame, payloads: bool = False, range_bytes: int
     ranges = archives.where("bytes > 0").select("path", "bytes", starts.alias("begin"))
     # A range is a few bytes here and megabytes of work, so tasks are counted, not sized by what is shuffled.
     tasks = min(max(1, ranges.count()), MOST_TASKS)
-    return ranges.repartition(tasks, "path", "begin").mapInArrow(read, schema)
+    found = settle_table(ranges.repartition(tasks, "path", "begin").mapInArrow(read, schema), "members")
+    return _outermost(found, range_bytes).select(*names)
 
 
 def round_trip(pages: DataFrame, least_bytes: int = 0, range_bytes: int = RANGE) -> DataFrame:

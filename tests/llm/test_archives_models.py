@@ -6,6 +6,7 @@ import hashlib
 import io
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -69,6 +70,35 @@ def test_every_member_is_owned_once(payloads, step, level):
     assert got == records
 
 
+@pytest.mark.parametrize("range_bytes", [61, 100, 300, 500, 1 << 22])
+def test_members_inside_members_are_no_records(shipped, tmp_path, range_bytes):
+    inner = b"".join(warc.member(warc.record(i, "in", b"inner %d" % i, "d", None)) for i in range(90, 93))
+    nested = warc.member(warc.record(80, "mid", b"<" + inner + b">", "d", None), level=0)
+    payloads = [b"first", b"[" + inner + b"]" * 200, b"last", b"#" + nested + b"#", b""]
+    path = tmp_path / "others.warc.gz"
+    path.write_bytes(b"".join(warc.member(warc.record(i, "u", p, "d", None), 0) for i, p in enumerate(payloads)))
+    listed = warc.list_archives(shipped, str(tmp_path))
+    rows = warc.read_archives(listed, payloads=True, range_bytes=range_bytes).collect()
+    assert sorted((r.page_id, bytes(r.payload)) for r in rows) == list(enumerate(payloads))
+
+
+def test_a_very_large_record_is_read_in_linear_time():
+    payload = np.random.default_rng(1).bytes(64 << 20) * 3
+    data = warc.member(warc.record(1, "u", payload, "d", None), level=0) + warc.member(warc.record(2, "u", b"x", "d", None))
+    begun = time.monotonic()
+    found = list(warc.located_members(io.BytesIO(data), 0, 4 << 20, len(data), warc.Record))
+    assert time.monotonic() - begun < 15
+    assert [(row["page_id"], row["payload_bytes"], row["payload_digest"]) for _, _, row in found] == [
+        (1, len(payload), warc.payload_digest(payload))
+    ]
+
+
+def test_ids_that_are_no_numbers(shipped):
+    pages = shipped.createDataFrame([("7", "u", "a"), ("x", "u", "a"), (None, "u", "b")], "page_id string, url string, html string")
+    rows = warc.round_trip(pages).collect()
+    assert sorted((str(r.page_id), r.record_type) for r in rows) == [("7", "response"), ("None", "response"), ("None", "revisit")]
+
+
 # --------------------------------------------------------------------------- toxicity
 def test_grammar_reads_clauses():
     labels = {}
