@@ -29,6 +29,8 @@ _BASE = 0xC2B2AE3D27D4EB4F | 1
 _MASK = (1 << 64) - 1
 #: Words longer than this are handled one at a time.
 LONG_WORD = 96
+#: Positions of such a word that are looked up together.
+LONG_BLOCK = 65_536
 #: The pre-tokenizer's pattern (fixed value of the vocabulary file), and the separator used here.
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+|\n")
 
@@ -134,6 +136,7 @@ class WordBpe:
         self._token = IntTable(self._keyed(hashes, self._lengths), np.arange(len(contents)))
         order = np.argsort(-np.bincount(self._lengths, minlength=self._longest + 1), kind="stable")
         self._by_use = [int(n) for n in order if n > 0]
+        self._plain: tuple[dict[int, int], list[int], list[int], list[int]] | None = None  # for long words
         # Answers to "may r stand behind l?"; a slot keeps the latest pair.
         self._known_pair = np.full(1 << 20, -1, np.int64)
         self._known_answer = np.zeros(1 << 20, bool)
@@ -240,37 +243,83 @@ class WordBpe:
         kept = back >= 0
         return back[kept], kept.sum(1)
 
+    def _ending_tokens(self, hashes: np.ndarray, begin: int, end: int, mark: int) -> tuple[list[int], list[int]]:
+        """Tokens that end at the positions ``begin + 1`` to ``end`` of a word, longest first, flat, and where
+        each position's tokens begin there; one pass for each token length over all positions."""
+        places, tokens = [], []
+        for size in range(min(end, self._longest), 0, -1):
+            i = np.arange(max(begin + 1, size), end + 1)
+            full = hashes[i] - hashes[i - size] * np.uint64(self._power[size])
+            token = self._token.get(self._keyed(full + np.uint64(mark), size))
+            hit = np.flatnonzero(token >= 0)
+            places.append(i[hit])
+            tokens.append(token[hit])
+        place = np.concatenate(places)
+        order = np.argsort(place, kind="stable")
+        bounds = np.concatenate([[0], np.cumsum(np.bincount(place - begin - 1, minlength=end - begin))])
+        return np.concatenate(tokens)[order].tolist(), bounds.tolist()
+
     def _long_word(self, word: bytes, prefixes: bool):
-        """The same recurrence for one long word, in chunks of memory that follow its length."""
+        """The same recurrence for one long word: tokens are looked up for a block of positions at a time, then
+        chained position by position on plain numbers."""
         n = len(word)
-        hashes = [0] * (n + 1)
-        for i, b in enumerate(word):
-            hashes[i + 1] = (hashes[i] * _BASE + b + 1) & _MASK
-        inner, count, ends = [-1] * (n + 1), [0] * (n + 1), [0] * n
-        last = -1
-        for i in range(1, n + 1):
-            sizes = np.arange(1, min(i, self._longest) + 1)
-            part = [(hashes[i] - hashes[i - s] * self._power[s]) & _MASK for s in sizes]
-            for mark in (0, 256):
-                if (mark and not prefixes and i < n) or (not mark and i == n):
-                    continue
-                keys = self._keyed(np.array(part, np.uint64) + np.uint64(mark), sizes)
-                token = self._token.get(keys)
-                hit = np.flatnonzero(token >= 0)
-                before = np.array([inner[i - int(sizes[h])] for h in hit])
-                fits = (before < 0) | self._may_follow(np.maximum(before, 0), token[hit])
-                t = int(token[hit[np.flatnonzero(fits)[0]]])
-                tokens = count[i - int(self._lengths[t])] + 1
-                if mark:
-                    ends[i - 1], last = tokens, t
+        if self._plain is None:
+            made = range(512, len(self.ids))
+            left, right, length = self._left.tolist(), self._right.tolist(), self._lengths.tolist()
+            self._plain = {left[t] << 20 | right[t]: t for t in made}, left, right, length
+        merges, lefts, rights, lengths = self._plain
+        merged, top = merges.get, len(self.ids)
+
+        def holds(l: int, r: int) -> bool:
+            limit = top
+            while True:
+                if merged(l << 20 | r, limit) < limit:
+                    return False
+                if l < 512 and r < 512:
+                    return True
+                if l > r:
+                    limit, l = l, rights[l]
                 else:
-                    inner[i], count[i] = t, tokens
+                    limit, r = r + 1, lefts[r]
+
+        # Powers and their inverses modulo 2^64 make the running hashes one wrapping sum.
+        inverse = pow(_BASE, -1, 1 << 64)
+        power, back = np.full(n + 1, _BASE, np.uint64), np.full(n + 1, inverse, np.uint64)
+        power[0] = back[0] = 1
+        np.multiply.accumulate(power, out=power)
+        np.multiply.accumulate(back, out=back)
+        values = np.frombuffer(word, np.uint8).astype(np.uint64) + np.uint64(1)
+        hashes = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * back[1:], dtype=np.uint64) * power[1:]])
+        del power, back, values
+
+        inner, count = [-1] * (n + 1), [0] * (n + 1)
+        ends = np.zeros(n, np.int32)
+
+        def last(i: int, tokens: list[int]) -> int:
+            for t in tokens:
+                before = inner[i - lengths[t]]
+                if before < 0 or holds(before, t):
+                    return t
+            raise AssertionError("a prefix without an encoding")
+
+        for begin in range(0, n, LONG_BLOCK):
+            end = min(n, begin + LONG_BLOCK)
+            tokens, bounds = self._ending_tokens(hashes, begin, end, 0)
+            whole, whole_bounds = self._ending_tokens(hashes, begin, end, 256) if prefixes or end == n else ([], None)
+            for i in range(begin + 1, end + 1):
+                k = i - begin
+                if prefixes or i == n:
+                    final = last(i, whole[whole_bounds[k - 1] : whole_bounds[k]])
+                    ends[i - 1] = count[i - lengths[final]] + 1
+                if i < n:
+                    t = last(i, tokens[bounds[k - 1] : bounds[k]])
+                    inner[i], count[i] = t, count[i - lengths[t]] + 1
         if prefixes:
-            return np.array(ends, np.int32)
-        out, at, t = [], n, last
+            return ends
+        out, at, t = [], n, final
         while True:
             out.append(int(self.ids[t]))
-            at -= int(self._lengths[t])
+            at -= lengths[t]
             if at == 0:
                 return np.array(out[::-1], np.int64)
             t = inner[at]

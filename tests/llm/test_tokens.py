@@ -1,6 +1,7 @@
 """Byte-level BPE, prefix counts and packing against the libraries."""
 
 import hashlib
+import time
 import zlib
 from collections import defaultdict
 
@@ -13,7 +14,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from cardwarden.llm import byte_bpe, packing, token_counts
+from cardwarden.llm import byte_bpe, packing, token_counts, word_bpe
 from cardwarden.llm.queries import vocabulary
 from cardwarden.llm.word_bpe import load
 
@@ -90,6 +91,22 @@ def test_every_prefix_and_its_questions(docs_of, library):
         assert r.three == max([0, *(i + 1 for i, n in enumerate(want) if n <= 3)])
 
 
+def test_very_long_words_equal_library(library, monkeypatch):
+    own, rng = load(open(WORDS, encoding="utf-8").read()), np.random.default_rng(5)
+    million = "".join(map(chr, rng.integers(97, 123, 1_000_000)))
+    begun = time.monotonic()
+    flat, _ = own.encode([million])
+    counts, _ = own.prefix_counts([million])
+    assert time.monotonic() - begun < 60
+    assert flat.tolist() == library.encode(million, add_special_tokens=False).ids
+    assert counts[-1] == len(flat) and counts[999] == len(library.encode(million[:1000], add_special_tokens=False).ids)
+    monkeypatch.setattr(word_bpe, "LONG_BLOCK", 100)
+    for word in [million[:777], "x" * 500, "la" * 300, "thequickbrownfox" * 40, "ßé" * 90, "!?" * 120]:
+        assert own.encode([word])[0].tolist() == library.encode(word, add_special_tokens=False).ids
+        want = [len(library.encode(word[: i + 1], add_special_tokens=False).ids) for i in range(len(word))]
+        assert own.prefix_counts([word])[0].tolist() == want
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text(st.characters(exclude_categories=["Cs"], exclude_characters=" \t\n\r\x0b\x0c"), max_size=12), max_size=5))
 def test_words_equal_library(words):
