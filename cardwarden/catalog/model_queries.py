@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from cardwarden.catalog.base import KEY, RAW, TXN, query, raw_transactions, rounded, split_sql, table, transactions
 from cardwarden.catalog.feature_queries import _BOUNDS, earlier_sql, histogram_sql
 from cardwarden.catalog.ingest import _REASON_LIST
+from cardwarden.operators.halving import successive_halving
 from cardwarden.operators.leaf_values import leaf_table, objective
 from cardwarden.operators.models import (
     feature_importance,
@@ -158,6 +159,35 @@ def tune_gbt(spark, sf_dir):
     return rounded(trials.withColumn("params", F.to_json("params")))
 
 
+@query(
+    "tune_halving",
+    f"""WITH {TXN}, n AS (SELECT count(*) FILTER (split = 'val') AS val_rows FROM (SELECT {split_sql()} AS split FROM txn))
+SELECT CAST(r.rung AS INT) AS rung, CAST(r.trials AS BIGINT) AS trials, CAST(r.kept AS BIGINT) AS kept, r.trials * val_rows AS scored_rows,
+  true AS budgets_follow, true AS precision_agrees, true AS best_go_on FROM n, (VALUES (0, 15, 5), (1, 5, 2), (2, 2, 1)) r(rung, trials, kept)""",
+)
+def tune_halving(spark, sf_dir):
+    """The whole search of 15 linear trials over the declared ranges, weak ones ended early. Average precision is computed
+    again in plain SQL from the stored scores of every trial; a rung's survivors must be its best by those."""
+    df = features(spark, sf_dir)
+    names, points = numeric_features(df), draw_parameters(LOGISTIC_SPACE, 15)
+    train, val = (df.where(F.col("split") == s) for s in ("train", "val"))
+    halved = successive_halving(train, val, points, lambda d, p: fit_logistic(d, names, p), "max_iter")
+    budgets = spark.createDataFrame([(i, p["max_iter"]) for i, p in enumerate(points)], "trial int, full int")
+    again = spark.sql(
+        """WITH g AS (SELECT rung, trial, score, sum(label) AS pos, count(*) AS n FROM {scores} GROUP BY ALL), c AS (
+  SELECT *, sum(pos) OVER w AS tp, sum(n) OVER w AS seen, sum(pos) OVER (PARTITION BY rung, trial) AS all_pos FROM g
+  WINDOW w AS (PARTITION BY rung, trial ORDER BY score DESC)), a AS (
+  SELECT rung, trial, sum(pos * tp / seen) / max(nullif(all_pos, 0)) AS ap, sum(n) AS rows FROM c GROUP BY ALL), j AS (
+  SELECT r.*, coalesce(a.ap, 0) AS ap, a.rows, b.full FROM {rungs} r JOIN a USING (rung, trial) JOIN {budgets} b USING (trial))
+SELECT rung, count(*) AS trials, count_if(kept) AS kept, sum(rows) AS scored_rows,
+  bool_and(budget = greatest(1, bround(full / power(3, 2 - rung)))) AS budgets_follow,
+  bool_and(abs(ap - val_auprc) < 1e-9) AS precision_agrees,
+  coalesce(min(CASE WHEN kept THEN ap END) >= max(CASE WHEN NOT kept THEN ap END) - 1e-9, true) AS best_go_on FROM j GROUP BY rung""",
+        scores=halved.scores, rungs=halved.rungs, budgets=budgets,
+    )
+    return settle_table(again, "halving-check")
+
+
 @query("cross_validate")
 def cross_validate(spark, sf_dir):
     """Three folds for the linear model on half of train and validation."""
