@@ -43,8 +43,7 @@ ENDINGS = 64
 CLASSES = FREQUENT + 1 + ENDINGS
 CONTEXT = 3
 WIDTH = 16
-PASSES = 3  # over small corpora; large ones are passed once
-ROUNDS = 3  # of a pass
+ROUNDS = 3  # of the pass over the training texts
 
 
 @functools.lru_cache(65_536)
@@ -234,7 +233,8 @@ def trainer(class_counts: np.ndarray, seed: int = 0) -> Trainer:
         rng.normal(0, 0.1, (CLASSES + 1, WIDTH)), np.stack([np.eye(WIDTH) * 0.5**j for j in range(CONTEXT)]),
         rng.normal(0, 0.1, (CLASSES, WIDTH)), np.log(share),
     )
-    power = [np.full_like(x, 1e-2) for x in (model.inputs, model.places, model.outputs, model.bias)]
+    # Mean gradients of a batch are small: sums that begin much above their squares would hold the steps back.
+    power = [np.full_like(x, 1e-6) for x in (model.inputs, model.places, model.outputs, model.bias)]
     return Trainer(model, power, share)
 
 
@@ -250,17 +250,15 @@ def train(
 
 
 def train_all(docs: DataFrame, words_: Vocabulary, fit_tokens: int) -> LogBilinear:
-    """The model after all texts of ``docs (text)``: in each round tasks train copies of it on their part of the
-    round's texts, and the copies' mean, weighted by tokens, goes to the next round. The rounds of a pass share out
-    the texts by hash; corpora of less than ``PASSES * fit_tokens`` tokens are passed more than once."""
+    """The model after all texts of ``docs (text)``, each of which it learns once, whatever their number: ``ROUNDS``
+    rounds share them out by hash; in each, tasks train copies of the model on their part of the round's texts, and
+    the copies' mean, weighted by tokens, goes to the next round."""
     state = trainer(words_.class_counts)
-    passes = min(PASSES, max(1, -(-PASSES * fit_tokens // max(1, words_.tokens))))
-    rounds = min(ROUNDS, max(1, words_.tokens // max(1, fit_tokens)))
-    tasks = max(1, -(-words_.tokens // (rounds * max(1, fit_tokens))))
-    groups = max(1, math.isqrt(tasks))
+    tasks = max(1, -(-words_.tokens // (ROUNDS * max(1, fit_tokens))))
+    groups = math.isqrt(tasks)
     context = docs.sparkSession.sparkContext
-    for step in range(passes * rounds if words_.tokens else 0):
-        part = docs.where(F.pmod(F.xxhash64("text"), F.lit(rounds)) == step % rounds) if rounds > 1 else docs
+    for step in range(ROUNDS if words_.tokens else 0):
+        part = docs.where(F.pmod(F.xxhash64("text"), F.lit(ROUNDS)) == step)
         shared = context.broadcast((words_.known, state))
 
         def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -293,7 +291,7 @@ def train_all(docs: DataFrame, words_: Vocabulary, fit_tokens: int) -> LogBiline
         kind = "group int, seen bigint, total binary"
         copies = part.select(F.lit(0).alias("id"), "text").coalesce(tasks).mapInArrow(learn, kind)
         # Some 280 KB a task; the driver gets the sums of ``groups`` tasks, the square root of their number.
-        sums = copies.repartition(groups, "group").mapInArrow(add, kind).collect() if groups > 1 else copies.collect()
+        sums = copies.repartition(groups, "group").mapInArrow(add, kind).collect()
         if sums:
             total = sum(np.frombuffer(r["total"], np.float64) for r in sums)
             state.unpack(total / sum(r["seen"] for r in sums))

@@ -170,6 +170,15 @@ def test_model_learns_from_all_training_texts(docs_of):
     assert gain(docs_of(texts).repartition(5)) > 0
 
 
+def test_training_follows_one_schedule_at_any_size(docs_of):
+    """Corpora below, around and above ``fit_tokens`` tokens are learned in the same rounds."""
+    docs = docs_of([f"ab cd ef gh {i} " * 20 for i in range(40)]).coalesce(1)
+    some, *others = (
+        sorted((r.doc_id, r.score) for r in lm_scoring.score(docs, fit_tokens=n).collect()) for n in (10**6, 4000, 1500)
+    )
+    assert all(other == some for other in others)
+
+
 def test_probabilities_are_normalised():
     rng = np.random.default_rng(1)
     sequence, bounds = rng.integers(0, lm_scoring.CLASSES, 300), np.array([0, 100, 100, 300])
