@@ -29,6 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -51,8 +52,11 @@ def _ending(letters: str) -> int:
     return FREQUENT + 1 + zlib.crc32(letters.encode()) % ENDINGS
 
 
-def ending_class(words: list[str]) -> np.ndarray:
-    return np.fromiter((_ending(w[-2:]) for w in words), np.int64, len(words))
+def ending_class(words: pa.Array) -> np.ndarray:
+    """Classes of words by their last letters, each distinct ending hashed once."""
+    coded = pc.utf8_slice_codeunits(words, -2).dictionary_encode()
+    classes = np.fromiter(map(_ending, coded.dictionary.to_pylist()), np.int64, len(coded.dictionary))
+    return classes[coded.indices.to_numpy()]
 
 
 def _remainder(id_col: str) -> F.Column:
@@ -73,13 +77,27 @@ def training_counts(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+@dataclass
+class Known:
+    """Frequent words, most frequent first, with their counts; the first ``FREQUENT`` are classes of their own."""
+
+    words: pa.Array
+    counts: np.ndarray
+
+    def find(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Counts (-1: not in the list) and classes of words."""
+        at = pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy().astype(np.int64)
+        classes = np.where((at >= 0) & (at < FREQUENT), at, ending_class(words))
+        return np.append(self.counts, -1)[at], classes
+
+
 @dataclass
 class Vocabulary:
     """Sums over all training tokens, and the bounded list of frequent words."""
 
     tokens: int
     distinct: int
-    known: dict[str, tuple[int, int]]  # word: (count, class)
+    known: Known
     class_counts: np.ndarray
     class_distinct: np.ndarray
 
@@ -88,9 +106,7 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     totals = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     top = counts.where(F.col("word") != END).orderBy(F.desc("n"), "word").limit(KNOWN).toArrow()
     words, numbers = top.column("word").to_pylist(), top.column("n").to_pylist()
-    classes = ending_class(words)
-    classes[:FREQUENT] = np.arange(min(FREQUENT, len(words)))
-    known = {w: (n, int(c)) for w, n, c in zip(words, numbers, classes)}
+    known = Known(pa.array(words, pa.large_string()), np.array(numbers, np.int64))
     suffix = F.expr("crc32(cast(substring(word, -2, 2) as binary))") % ENDINGS
     rest = (
         counts.where((F.col("word") != END) & ~F.col("word").isin(words[:FREQUENT]))
@@ -108,10 +124,8 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     return Vocabulary(int(totals["n"] or 0), int(totals["v"]), known, class_counts, class_distinct)
 
 
-def class_sequences(words: Words, distinct: list[str], known: dict[str, tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+def class_sequences(words: Words, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Classes of all tokens, each text closed by its end, and the bounds of the texts."""
-    hits = map(known.get, distinct)
-    classes = np.fromiter((hit[1] if hit else _ending(w[-2:]) for w, hit in zip(distinct, hits)), np.int64, len(distinct))
     n = np.diff(words.bounds)
     ends = words.bounds[1:]
     return np.insert(classes[words.codes], ends, FREQUENT), np.concatenate([[0], np.cumsum(n + 1)])
@@ -135,7 +149,7 @@ class LogBilinear:
     outputs: np.ndarray  # (CLASSES, WIDTH)
     bias: np.ndarray
 
-    def log10(self, context: np.ndarray, target: np.ndarray, block: int = 1024) -> np.ndarray:
+    def log10(self, context: np.ndarray, target: np.ndarray, block: int = 512) -> np.ndarray:
         """Normalised log10 probabilities of the targets. The normaliser depends on the context alone, so it is
         taken once for each distinct context."""
         tables = np.einsum("cw,pwv->pcv", self.inputs, self.places).astype(np.float32)
@@ -149,24 +163,50 @@ class LogBilinear:
         predicted = np.ones((len(distinct), WIDTH + 1), np.float32)
         predicted[:, :-1] = sum(tables[j][parts[j]] for j in range(CONTEXT))
         outputs = np.column_stack([self.outputs, self.bias]).astype(np.float32)
-        total, ones = np.zeros(len(distinct)), np.ones(CLASSES, np.float32)
-        # By Cauchy-Schwarz no logit leaves +-reach; only beyond it the largest has to go before the exponential.
-        reach = np.linalg.norm(outputs, axis=1).max() * np.sqrt((predicted**2).sum(1).max(initial=0.0))
-        for at in range(0, len(distinct), block):
-            logits = predicted[at : at + block] @ outputs.T
-            top = 0.0
-            if reach > 60:
-                top = logits.max(1, keepdims=True)
-                logits -= top
-                top = top[:, 0]
-            np.exp(logits, out=logits)
-            total[at : at + block] = np.log((logits @ ones).astype(np.float64)) + top
+        # What each place, and the bias last, adds to the logits, around the middle of its range.
+        added = [*(tables @ self.outputs.T), self.bias[None]]
+        middle = [(x.max(1, keepdims=True) + x.min(1, keepdims=True)) / 2 for x in added]
+        added = [x - m for x, m in zip(added, middle)]
+        if sum(np.abs(x).max() for x in added) < 80:  # no product of exponentials leaves single precision
+            total = self._by_places([np.exp(x).astype(np.float32) for x in added], parts, block) + middle[-1][0]
+            total += sum(m[p, 0] for m, p in zip(middle, parts))
+        else:
+            total = self._by_logits(predicted, outputs, block)
         own = np.zeros(len(target))
-        for at in range(0, len(target), 64 * block):
-            some = slice(at, at + 64 * block)
+        for at in range(0, len(target), 1 << 16):
+            some = slice(at, at + (1 << 16))
             own[some] = np.einsum("nw,nw->n", predicted[which[some]], outputs[target[some]])
         return (own - total[which]) / np.log(10)
 
+    def _by_places(self, factors: list[np.ndarray], parts: list[np.ndarray], block: int) -> np.ndarray:
+        """Logarithms of the normalisers. The exponential of a logit is the product of those of its places, which are
+        taken once for each class; contexts are sorted, so the nearest class and the bias go into a whole table."""
+        *places, bias = factors
+        total = np.zeros(len(parts[0]))
+        for nearest, begin, end in _runs(parts[0]):
+            row = places[0][nearest] * bias[0]
+            table = places[2] * row if end - begin > CLASSES else None
+            for at in range(begin, end, block):
+                some = slice(at, min(at + block, end))
+                rows = places[2][parts[2][some]] * row if table is None else table[parts[2][some]]
+                total[some] = np.einsum("nv,nv->n", rows, places[1][parts[1][some]])
+        return np.log(total)
+
+    def _by_logits(self, predicted: np.ndarray, outputs: np.ndarray, block: int) -> np.ndarray:
+        """The same for logits of any size: the largest goes before the exponential."""
+        total = np.zeros(len(predicted))
+        for at in range(0, len(predicted), block):
+            logits = predicted[at : at + block] @ outputs.T
+            top = logits.max(1, keepdims=True)
+            total[at : at + block] = np.log(np.exp(logits - top).sum(1, dtype=np.float64)) + top[:, 0]
+        return total
+
+
+def _runs(values: np.ndarray) -> list[tuple[int, int, int]]:
+    """``(value, begin, end)`` of the runs of equal values."""
+    begins = np.flatnonzero(np.diff(values, prepend=-1)).tolist()
+    return list(zip(values[begins].tolist(), begins, [*begins[1:], len(values)]))
+
 
 @dataclass
 class Trainer:
@@ -268,7 +308,7 @@ def train_all(docs: DataFrame, words_: Vocabulary, fit_tokens: int) -> LogBiline
             rng = np.random.default_rng([step, task])
             for batch in slices(batches, "text"):
                 words = split_words(batch.column(1), lower=True)
-                sequence, bounds = class_sequences(words, words.distinct.to_pylist(), known)
+                sequence, bounds = class_sequences(words, known.find(words.distinct)[1])
                 state.learn(sequence, bounds, rng)
                 seen += len(sequence)
             if seen:
@@ -322,9 +362,8 @@ def score(
         inside = np.log10(words_.class_counts + 0.5 * (words_.class_distinct + 1))
         for batch in slices(batches, "text"):
             words = split_words(batch.column(1), lower=True)
-            distinct = words.distinct.to_pylist()
-            found = np.fromiter((words_.known.get(w, (-1, 0))[0] for w in distinct), np.int64, len(distinct))
-            sequence, bounds = class_sequences(words, distinct, words_.known)
+            found, classes = words_.known.find(words.distinct)
+            sequence, bounds = class_sequences(words, classes)
             tokens = model.log10(contexts(sequence, bounds), sequence)
             rare = sequence > FREQUENT
             tokens[rare] -= inside[sequence[rare]]
@@ -339,8 +378,8 @@ def score(
             total += np.bincount(text, np.where(here & np.delete(rare, bounds[1:] - 1), own, 0.0), batch.num_rows)
             known = np.bincount(text, here, batch.num_rows).astype(np.int64) + (end > 0)
             missing = np.flatnonzero(~here)
-            pairs, times = np.unique(text[missing] * len(distinct) + words.codes[missing], return_counts=True)
-            owner, code = pairs // max(1, len(distinct)), pairs % max(1, len(distinct))
+            pairs, times = np.unique(text[missing] * len(found) + words.codes[missing], return_counts=True)
+            owner, code = pairs // max(1, len(found)), pairs % max(1, len(found))
             starts = np.searchsorted(owner, np.arange(batch.num_rows + 1)).astype(np.int32)
             rest = pa.StructArray.from_arrays(
                 [words.distinct.take(pa.array(code)).cast(pa.string()), pa.array(times.astype(np.int32))], ["word", "times"]

@@ -190,6 +190,26 @@ def test_probabilities_are_normalised():
         assert (10**p).sum() == pytest.approx(1.0, abs=1e-5)
 
 
+def test_normalisers_need_no_exponential_a_context(monkeypatch):
+    """One exponential for each class, place and class before; large logits, taken one by one, give the same."""
+    rng = np.random.default_rng(2)
+    sequence, bounds = rng.integers(0, lm_scoring.CLASSES, 5000), np.array([0, 1000, 1000, 5000])
+    model = lm_scoring.train(sequence, bounds, np.bincount(sequence, minlength=lm_scoring.CLASSES), rounds=1)
+    context = lm_scoring.contexts(sequence, bounds)
+    tables = np.einsum("cw,pwv->pcv", model.inputs, model.places)
+    logits = sum(t[c] for t, c in zip(tables, context)) @ model.outputs.T + model.bias
+    want = (logits[np.arange(5000), sequence] - np.log(np.exp(logits).sum(1))) / np.log(10)
+    exponentials, exp = [], np.exp
+    monkeypatch.setattr(np, "exp", lambda x, *a, **b: exponentials.append(np.size(x)) or exp(x, *a, **b))
+    assert np.abs(model.log10(context, sequence) - want).max() < 1e-5
+    assert sum(exponentials) < 4 * lm_scoring.CLASSES * (lm_scoring.CLASSES + 1)
+    model.outputs[0, :] = 500.0
+    logits = sum(t[c] for t, c in zip(tables, context)) @ model.outputs.T + model.bias
+    top = logits.max(1, keepdims=True)
+    want = (logits - top - np.log(exp(logits - top).sum(1, keepdims=True)))[np.arange(5000), sequence] / np.log(10)
+    assert np.abs(model.log10(context, sequence) - want).max() < 1e-3
+
+
 # --------------------------------------------------------------------------- search
 @pytest.mark.parametrize("group_rows", [20, 1000])
 def test_search_equals_brute_force(shipped, group_rows):
