@@ -43,6 +43,7 @@ FREQUENT = 447
 ENDINGS = 64
 CLASSES = FREQUENT + 1 + ENDINGS
 CONTEXT = 3
+SLICE = 4 << 20  # larger slices share more contexts
 WIDTH = 16
 ROUNDS = 3  # of the pass over the training texts
 
@@ -67,7 +68,7 @@ def training_counts(docs: DataFrame) -> DataFrame:
     """``(word, n)`` over all rows of ``docs (text)``, their ends included."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             words = split_words(batch.column(1), lower=True)
             counts = np.bincount(words.codes, minlength=len(words.distinct))
             names = pa.concat_arrays([words.distinct.cast(pa.string()), pa.array([END])])
@@ -306,7 +307,7 @@ def train_all(docs: DataFrame, words_: Vocabulary, fit_tokens: int) -> LogBiline
             state, seen = copy.deepcopy(state), 0
             task = TaskContext.get().partitionId()
             rng = np.random.default_rng([step, task])
-            for batch in slices(batches, "text"):
+            for batch in slices(batches, "text", SLICE):
                 words = split_words(batch.column(1), lower=True)
                 sequence, bounds = class_sequences(words, known.find(words.distinct)[1])
                 state.learn(sequence, bounds, rng)
@@ -360,7 +361,7 @@ def score(
         part, place = uuid.uuid4().hex, 0
         end = words_.class_counts[FREQUENT]
         inside = np.log10(words_.class_counts + 0.5 * (words_.class_distinct + 1))
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             words = split_words(batch.column(1), lower=True)
             found, classes = words_.known.find(words.distinct)
             sequence, bounds = class_sequences(words, classes)

@@ -38,6 +38,8 @@ from cardwarden.session import settle_table
 
 #: Words of a k-mer.
 K = 16
+#: Bytes of text at a time; a task holds some 60 times as much in arrays of word positions.
+SLICE = 1 << 20
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
@@ -125,7 +127,7 @@ def _text_keys(words: Words, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndar
 
 def _scan(docs: DataFrame, emit: Callable, schema: str, text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             words = split_words(batch.column(1))
             out = emit(words, batch)
             if out is not None:
@@ -204,7 +206,7 @@ def remove_repeated(
     source = docs.select(*columns)
 
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             k1, k2 = _text_keys(None, batch)
             extra = [batch.column(i) for i in range(2, batch.num_columns)]
             yield pa.RecordBatch.from_arrays(
@@ -218,7 +220,7 @@ def remove_repeated(
     joined = keyed.join(spans, ["k1", "k2"], "left").select("id", "text", "spans", *(["row"] if rows else []))
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             words = split_words(batch.column(1))
             counts = np.diff(words.bounds)
             lists = batch.column(2)

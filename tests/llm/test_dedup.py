@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -223,3 +224,28 @@ def test_rolling_hashes_do_not_depend_on_place():
     at = np.arange(10)
     assert (rolling.of(at, at + 35) == rolling.of(at + 49, at + 49 + 35)).all()
     assert isinstance(pa.array(rolling.of(at, at + 35)), pa.Array)
+
+
+def test_scans_hold_little_beside_a_batch(shipped):
+    """Arrays of word positions are many times as large as the text they stand for."""
+    rng = np.random.default_rng(0)
+    texts = [" ".join(map(str, rng.integers(0, 9000, 400))) for _ in range(4000)]
+    batch = pa.RecordBatch.from_pydict({"id": [0] * len(texts), "text": texts})
+
+    class Docs:
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):
+            return run
+
+    def emit(words, _):
+        found = substring_dedup.anchors(words, 35)
+        return [found.hashes.astype(np.int64)]
+
+    run = substring_dedup._scan(Docs(), emit, "a bigint", "text")
+    tracemalloc.start()
+    assert sum(b.num_rows for b in run(iter([batch]))) > 0
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80e6
