@@ -4,8 +4,9 @@ Texts are cut by the vocabulary's pattern. Distinct pieces of a task are sequenc
 printable character per byte); a fold over the ranked merges that a piece allows, lowest rank first, joins its
 symbols to tokens. Ranks are one literal: an array of small maps, addressed by a hash, since looking up a key
 in one large Spark map is linear. Ids go back to the texts by the pieces' numbers; decoding concatenates the
-binary pieces of the ids. Nothing is shuffled: a task numbers its pieces, folds those it has not folded before,
-and puts its texts together, batch by batch.
+binary pieces of the ids. No text is shuffled: a task numbers its pieces, folds those it has not folded before,
+and puts its texts together, batch by batch. The ``KNOWN`` most frequent pieces of some ``SEEN`` rows are folded once,
+by the same fold, and broadcast; which pieces these are influences time, never a result.
 
 Missing and empty texts have no ids and decode to nothing. Rows are independent: repeated rows, ties and missing
 ids pass through; an empty table gives an empty table. Pieces above ``LONG`` bytes, for which the fold's quadratic
@@ -17,14 +18,16 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
+from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 import tiktoken
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +37,9 @@ from cardwarden.llm.words import slices
 LONG = 512
 #: Pieces a task keeps before it starts numbering anew; only time depends on it.
 KEPT = 400_000
+#: Pieces folded before, and rows whose pieces are counted for that.
+KNOWN = 200_000
+SEEN = 16_000
 BUCKETS = 1 << 14
 #: Bytes of a word whose borders fit in a long.
 BITS = 60
@@ -159,17 +165,55 @@ def fold_merges(words: Column, ranks: Column, longest: int, ordered: bool = True
     return F.get(F.transform(F.array(ranks), with_table), F.lit(0))
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _symbols(raw: list[bytes]) -> pa.Array:
+    """Byte strings as strings of byte symbols."""
+    symbols = pa.array([c for c, _ in sorted(byte_symbols().items(), key=lambda x: x[1])], pa.string())
+    flat = np.frombuffer(b"".join(raw), np.uint8)
+    ends = np.cumsum([0, *map(len, raw)]).astype(np.int32)
+    return pc.binary_join(pa.ListArray.from_arrays(ends, symbols.take(pa.array(flat))), "")
+
+
+def frequent_pieces(texts: DataFrame, pattern: str, fold) -> tuple[pa.Array, pa.Array]:
+    """The most frequent pieces of some rows of ``texts (text)``, and their ids by ``fold(array of words)``."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find = regex.compile(pattern).findall
+        for batch in slices(batches, "text", SLICE):
+            counts = Counter(chain.from_iterable(map(find, batch.column(1).to_pylist())))
+            names = [p for p in counts if len(p.encode()) <= BITS]
+            times = pa.array([counts[p] for p in names], pa.int64())
+            words = _symbols([p.encode() for p in names])
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), words, times], ["piece", "word", "n"])
+
+    some = texts.sample(min(1.0, SEEN / max(1, texts.count())), 0).select(F.lit(0).alias("id"), "text")
+    counts = some.mapInArrow(count, "piece string, word string, n bigint").groupBy("piece", "word").agg(F.sum("n").alias("n"))
+    top = counts.orderBy(F.desc("n"), "piece").limit(KNOWN)
+    spread = top.repartition(4 * texts.sparkSession.sparkContext.defaultParallelism)
+    found = spread.select("piece", F.get(fold(F.array("word")), F.lit(0)).alias("ids")).toArrow().combine_chunks()
+    pieces, ids = found.column("piece").cast(pa.string()), found.column("ids").cast(pa.list_(pa.int32()))
+    return pa.concat_arrays([pa.array([], pa.string()), *pieces.chunks]), pa.concat_arrays([pa.array([], ids.type), *ids.chunks])
+
+
+def encode(
+    docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text"
+) -> tuple[DataFrame, Broadcast]:
     """One row per batch of texts of a task, in order, for :func:`assemble`: the ids of the rows, the texts' pieces
-    by number, and the ids of pieces that are new."""
+    by number, and the ids of pieces that are new. Numbers begin with those of :func:`frequent_pieces`, broadcast."""
     ranks = read_ranks(ranks_path)
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
     kind = docs.schema[id_col].dataType.simpleString()
+    table, longest, ordered = rank_literal(docs.sparkSession, ranks), max(map(len, ranks)), in_order(ranks)
+
+    def fold(words: Column) -> Column:
+        return fold_merges(words, table, longest, ordered)
+
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    frequent = docs.sparkSession.sparkContext.broadcast(frequent_pieces(rows.select("text"), pattern, fold))
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = regex.compile(pattern).findall
-        symbols = pa.array([c for c, _ in sorted(byte_symbols().items(), key=lambda x: x[1])], pa.string())
         library = None
+        before = frequent.value[0]
         numbers: dict[str, int] = {}
         fresh = True
         for batch in slices(batches, "text", SLICE):
@@ -180,22 +224,21 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
                 pieces += find(text)
                 bounds[i + 1] = len(pieces)
             coded = pa.array(pieces, pa.string()).dictionary_encode()
-            distinct = coded.dictionary.to_pylist()
-            known = np.fromiter(map(numbers.get, distinct, repeat(-1)), np.int64, len(distinct))
-            new = [distinct[i] for i in np.flatnonzero(known < 0)]
+            known = pc.fill_null(pc.index_in(coded.dictionary, value_set=before), -1).to_numpy().astype(np.int64)
+            rest = np.flatnonzero(known < 0)
+            distinct = coded.dictionary.take(pa.array(rest)).to_pylist()
+            new = [w for w in distinct if w not in numbers]
             raw = [w.encode() for w in new]
             short = [(w, r) for w, r in zip(new, raw) if len(r) <= LONG]
             long = [(w, r) for w, r in zip(new, raw) if len(r) > LONG]
             for word, _ in short + long:
-                numbers[word] = len(numbers)
+                numbers[word] = len(before) + len(numbers)
             if long and library is None:
                 library = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=shared.value, special_tokens={})
             long_ids = [library.encode_ordinary(w) for w, _ in long]
-            known = np.fromiter(map(numbers.get, distinct), np.int64, len(distinct))
+            known[rest] = np.fromiter(map(numbers.get, distinct), np.int64, len(distinct))
             codes = known[coded.indices.to_numpy()] if len(pieces) else np.zeros(0, np.int64)
-            flat = np.frombuffer(b"".join(r for _, r in short), np.uint8)
-            ends = np.cumsum([0, *(len(r) for _, r in short)]).astype(np.int32)
-            words = pc.binary_join(pa.ListArray.from_arrays(ends, symbols.take(pa.array(flat))), "")
+            words = _symbols([r for _, r in short])
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([fresh]), _row(batch.column(0)), _row(pa.array(bounds)), _row(pa.array(codes.astype(np.int32))),
@@ -205,13 +248,11 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
             )
             fresh = False
 
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     numbered = rows.mapInArrow(
         number,
         f"fresh boolean, ids array<{kind}>, bounds array<int>, codes array<int>, words array<string>, long array<array<int>>",
     )
-    folded = fold_merges(F.col("words"), rank_literal(docs.sparkSession, ranks), max(map(len, ranks)), in_order(ranks))
-    return numbered.select("fresh", "ids", "bounds", "codes", folded.alias("tokens"), "long")
+    return numbered.select("fresh", "ids", "bounds", "codes", fold(F.col("words")).alias("tokens"), "long"), frequent
 
 
 def _row(values: pa.Array) -> pa.Array:
@@ -219,23 +260,28 @@ def _row(values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
-def _tasks_pieces(batches: Iterator[pa.RecordBatch], token_bytes: list[bytes]):
+def _tasks_pieces(batches: Iterator[pa.RecordBatch], token_bytes: list[bytes], frequent: pa.Array):
     """For every row of :func:`encode`: ids of the rows, bounds, codes, and of all pieces numbered so far the
     ids' text, their bytes and their number."""
     texts, raws, sizes = [], [], []
+    tokens = pa.array(token_bytes, pa.binary())
+
+    def add(lists: pa.Array) -> None:
+        flat = lists.flatten()
+        texts.append(pc.binary_join(pa.ListArray.from_arrays(_offsets(lists), flat.cast(pa.string())), ","))
+        pieces = tokens.take(flat)
+        raws.append(pc.binary_join(pa.ListArray.from_arrays(_offsets(lists), pieces), pa.scalar(b"", pa.binary())))
+        sizes.append(pc.list_value_length(lists))
+
     for batch in batches:
         for row in range(batch.num_rows):
             if batch.column("fresh")[row].as_py():
                 texts, raws, sizes = [], [], []
+                add(frequent)
             for name in ("tokens", "long"):
                 lists = batch.column(name)[row].values
-                if lists is None or not len(lists):
-                    continue
-                flat = lists.flatten()
-                texts.append(pc.binary_join(pa.ListArray.from_arrays(_offsets(lists), flat.cast(pa.string())), ","))
-                pieces = pa.array(token_bytes, pa.binary()).take(flat)
-                raws.append(pc.binary_join(pa.ListArray.from_arrays(_offsets(lists), pieces), pa.scalar(b"", pa.binary())))
-                sizes.append(pc.list_value_length(lists))
+                if lists is not None and len(lists):
+                    add(lists)
             if len(texts) > 1:
                 texts, raws, sizes = ([pa.concat_arrays(x)] for x in (texts, raws, sizes))
             yield (
@@ -255,7 +301,7 @@ def digests(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_i
     shared = docs.sparkSession.sparkContext.broadcast([t for t, _ in sorted(ranks.items(), key=lambda x: x[1])])
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, bounds, codes, texts, raws, sizes in _tasks_pieces(batches, shared.value):
+        for ids, bounds, codes, texts, raws, sizes in _tasks_pieces(batches, shared.value, frequent.value[1]):
             starts = pa.array(bounds)
             if texts and len(codes):
                 id_texts = pc.binary_join(pa.ListArray.from_arrays(starts, texts[0].take(codes)), ",")
@@ -273,7 +319,7 @@ def digests(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_i
                 ["id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 
-    coded = encode(docs, ranks_path, pattern, id_col, text_col)
+    coded, frequent = encode(docs, ranks_path, pattern, id_col, text_col)
     out = coded.mapInArrow(assemble, f"id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
     return out.withColumnRenamed("id", id_col)
 
@@ -283,18 +329,16 @@ def encode_ids(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "do
     kind = docs.schema[id_col].dataType.simpleString()
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces: list[pa.Array] = []
+        pieces = [frequent.value[1]]
         for batch in batches:
             for row in range(batch.num_rows):
                 if batch.column("fresh")[row].as_py():
-                    pieces = []
+                    pieces = [frequent.value[1]]
                 new = [batch.column(n)[row].values for n in ("tokens", "long")]
-                pieces = [pa.concat_arrays([*pieces, *(x for x in new if x is not None and len(x))])] if pieces or any(
-                    x is not None and len(x) for x in new
-                ) else []
+                pieces = [pa.concat_arrays([*pieces, *(x for x in new if x is not None and len(x))])]
                 codes, bounds = batch.column("codes")[row].values, batch.column("bounds")[row].values.to_numpy()
                 ids = batch.column("ids")[row].values
-                if pieces and len(codes):
+                if len(codes):
                     lists = pieces[0].take(codes)
                     at = _offsets(lists).to_numpy()[bounds].astype(np.int32)
                     out = pa.ListArray.from_arrays(pa.array(at), lists.flatten().cast(pa.int32()))
@@ -302,7 +346,7 @@ def encode_ids(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "do
                     out = pa.array([[]] * len(ids), pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays([ids, out], ["id", "ids"])
 
-    coded = encode(docs, ranks_path, pattern, id_col, text_col)
+    coded, frequent = encode(docs, ranks_path, pattern, id_col, text_col)
     return coded.mapInArrow(assemble, f"id {kind}, ids array<int>").withColumnRenamed("id", id_col)
 
 

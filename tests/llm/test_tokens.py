@@ -8,6 +8,7 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -49,6 +50,20 @@ def test_byte_bpe_equals_tiktoken(request, tik, name):
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
 
 
+def test_frequent_pieces_are_folded_once(docs_of, tik, monkeypatch):
+    """Tasks that hold the same pieces fold none of them again; pieces outside the list are folded as before."""
+    texts = [f"same words in every naïve task {i % 2}" for i in range(40)]
+    docs, pieces = docs_of(texts).repartition(4), set(regex.findall(public_tokenizers.PATTERN, " ".join(texts)))
+    pieces -= {" same"}
+    for known in (1000, 2):
+        monkeypatch.setattr(byte_bpe, "KNOWN", known)
+        coded, frequent = byte_bpe.encode(docs, RANKS, public_tokenizers.PATTERN)
+        folded, tasks = coded.agg(F.sum(F.size("tokens")), F.count("*")).first()
+        assert tasks == 4 and (folded == 0) == (known == 1000) and len(frequent.value[0]) == min(known, len(pieces))
+        got = {r.doc_id: list(r.ids) for r in byte_bpe.encode_ids(docs, RANKS, public_tokenizers.PATTERN).collect()}
+        assert got == {i: tik.encode_ordinary(t) for i, t in enumerate(texts)}
+
+
 def test_byte_bpe_ids_and_decoding(shipped, edge, tik):
     got = byte_bpe.encode_ids(edge, RANKS, public_tokenizers.PATTERN)
     decoded = got.select("ids", byte_bpe.decode_ids(F.col("ids"), byte_bpe.read_ranks(RANKS)).alias("raw")).collect()
