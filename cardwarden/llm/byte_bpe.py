@@ -38,12 +38,12 @@ LONG = 512
 #: Pieces a task keeps before it starts numbering anew; only time depends on it.
 KEPT = 400_000
 #: Pieces folded before, and rows whose pieces are counted for that.
-KNOWN = 200_000
-SEEN = 16_000
+KNOWN = 600_000
+SEEN = 32_000
 BUCKETS = 1 << 14
 #: Bytes of a word whose borders fit in a long.
 BITS = 60
-SLICE = 2 << 20
+SLICE = 6 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
