@@ -43,6 +43,9 @@ SEEN = 32_000
 BUCKETS = 1 << 14
 #: Bytes of a word whose borders fit in a long.
 BITS = 60
+#: Symbols that tell how long a token beginning with them can be, and slots for that.
+HEAD = 4
+HEADS = 1 << 16
 SLICE = 6 << 20
 
 
@@ -62,10 +65,41 @@ def rank_literal(spark: SparkSession, ranks: dict[bytes, int]) -> Column:
     return F.from_json(F.lit(json.dumps(buckets, ensure_ascii=False)), "array<map<string,int>>")
 
 
+def reach_literal(spark: SparkSession, ranks: dict[bytes, int]) -> Column:
+    """``array<int>``: at ``hash(first HEAD symbols) & (HEADS - 1)`` the bytes of the longest token that begins so. Heads
+    that share a slot share the greater number, so that none is too small; slots of no token have ``HEAD - 1``."""
+    heads: dict[bytes, int] = {}
+    for token in ranks:
+        if len(token) >= HEAD:
+            heads[token[:HEAD]] = max(len(token), heads.get(token[:HEAD], 0))
+    names = pa.table({"name": _symbols(list(heads)), "size": pa.array(heads.values(), pa.int32())})
+    reach = [HEAD - 1] * HEADS
+    for row in spark.createDataFrame(names).select("size", _slot(F.col("name")).alias("slot")).toArrow().to_pylist():
+        reach[row["slot"]] = max(reach[row["slot"]], row["size"])
+    return F.from_json(F.lit(json.dumps(reach)), "array<int>")
+
+
 def _bucket(symbols: Column) -> Column:
     return F.hash(symbols).bitwiseAND(BUCKETS - 1)
 
 
+def _slot(head: Column) -> Column:
+    return F.hash(head).bitwiseAND(HEADS - 1)
+
+
+def part_sizes(word: Column, i: Column, n: Column, reach: Column) -> Column:
+    """Bytes of the parts that begin at byte ``i`` of a word of ``n`` and can be tokens."""
+    return F.sequence(F.lit(2), F.least(n - i, F.get(reach, _slot(F.substr(word, i + 1, F.lit(HEAD))))))
+
+
+def _masks() -> tuple[Column, Column]:
+    """``array<bigint>``, at ``begin * 64 + end`` of a part: the bits of both ends, and of all places between them."""
+    places = [(i >> 6, min(i & 63, BITS)) for i in range(BITS << 6)]
+    ends = [1 << begin | 1 << end for begin, end in places]
+    between = [max(0, (1 << end) - (2 << begin)) for begin, end in places]
+    return tuple(F.from_json(F.lit(json.dumps(m)), "array<bigint>") for m in (ends, between))
+
+
 def in_order(ranks: dict[bytes, int]) -> bool:
     """Whether each token comes, from its bytes, out of merges that all rank before it. Then merges taken once in
     the order of their ranks are the encoding: no later merge can make room for an earlier one."""
@@ -79,12 +113,12 @@ def in_order(ranks: dict[bytes, int]) -> bool:
     return True
 
 
-def fold_merges(words: Column, ranks: Column, longest: int, ordered: bool = True) -> Column:
+def fold_merges(words: Column, ranks: Column, reach: Column, ordered: bool = True) -> Column:
     """``array<array<int>>``: the ids of each word, a word being a string of byte symbols.
 
     Words up to ``BITS`` bytes: all their parts with a rank are sorted by it, and a fold over them keeps the borders
     between tokens as the bits of a number: a part is merged if just one border is left inside it and its ends
-    are borders. ``longest``: bytes of the longest token. Longer words, and all if the ranks are not ``ordered``
+    are borders. ``reach``: see :func:`reach_literal`. Longer words, and all if the ranks are not ``ordered``
     (see :func:`in_order`), fold an array of parts, the lowest adjacent pair first.
     """
     one = F.lit(1)
@@ -92,7 +126,7 @@ def fold_merges(words: Column, ranks: Column, longest: int, ordered: bool = True
     def let(value: Column, body) -> Column:
         return F.get(F.transform(F.array(value), body), F.lit(0))
 
-    def with_table(table: Column) -> Column:
+    def with_tables(table: Column, reach: Column, ends: Column, between: Column) -> Column:
         def rank(x: Column) -> Column:
             return F.try_element_at(F.get(table, _bucket(x)), x)
 
@@ -100,20 +134,18 @@ def fold_merges(words: Column, ranks: Column, longest: int, ordered: bool = True
             return F.call_function("shiftleft", F.lit(1).cast("long"), n)
 
         def by_borders(word: Column, n: Column) -> Column:
-            def part(i: Column, size: Column) -> Column:
-                return rank(F.substr(word, i + 1, size)).cast("long") * 4096 + (i * 65 + size)
+            def parts_at(i: Column) -> Column:
+                texts = F.transform(part_sizes(word, i, n, reach), lambda size: F.substr(word, i + 1, size))
+                return F.transform(texts, lambda x, j: rank(x).cast("long") * 4096 + (i * 65 + j + 2))
 
-            parts = F.transform(
-                F.sequence(F.lit(0), n - 2), lambda i: F.transform(F.sequence(F.lit(2), F.least(n - i, F.lit(longest))), lambda k: part(i, k))
-            )
+            parts = F.transform(F.sequence(F.lit(0), n - 2), parts_at)
 
             def merge(borders: Column, code: Column) -> Column:
-                # ``code``: rank, first byte and byte behind the part. Cheap conditions first: both ends are borders.
-                begin = F.shiftright(code, 6).bitwiseAND(63).cast("int")
-                end = code.bitwiseAND(63).cast("int")
-                inside = borders.bitwiseAND(bit(end) - bit(begin))
-                fits = (F.getbit(borders, begin) == 1) & (F.getbit(borders, end) == 1) & (F.bit_count(inside) == 2)
-                return F.when(fits, borders - inside + bit(begin)).otherwise(borders)
+                # ``code``: rank, first byte and byte behind the part, which are the masks' index.
+                at = code.bitwiseAND(4095).cast("int")
+                inside = F.get(between, at)
+                fits = (F.bitwise_not(borders).bitwiseAND(F.get(ends, at)) == 0) & (F.bit_count(borders.bitwiseAND(inside)) == 1)
+                return F.when(fits, borders.bitwiseAND(F.bitwise_not(inside))).otherwise(borders)
 
             borders = F.aggregate(F.sort_array(F.array_compact(F.flatten(parts))), bit(n + 1) - 1, merge)
 
@@ -162,7 +194,8 @@ def fold_merges(words: Column, ranks: Column, longest: int, ordered: bool = True
 
         return F.transform(words, encode)
 
-    return F.get(F.transform(F.array(ranks), with_table), F.lit(0))
+    ends, between = _masks()
+    return let(ranks, lambda t: let(reach, lambda r: let(ends, lambda e: let(between, lambda b: with_tables(t, r, e, b)))))
 
 
 def _symbols(raw: list[bytes]) -> pa.Array:
@@ -202,10 +235,10 @@ def encode(
     ranks = read_ranks(ranks_path)
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
     kind = docs.schema[id_col].dataType.simpleString()
-    table, longest, ordered = rank_literal(docs.sparkSession, ranks), max(map(len, ranks)), in_order(ranks)
+    table, reach, ordered = rank_literal(docs.sparkSession, ranks), reach_literal(docs.sparkSession, ranks), in_order(ranks)
 
     def fold(words: Column) -> Column:
-        return fold_merges(words, table, longest, ordered)
+        return fold_merges(words, table, reach, ordered)
 
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     frequent = docs.sparkSession.sparkContext.broadcast(frequent_pieces(rows.select("text"), pattern, fold))

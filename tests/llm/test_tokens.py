@@ -71,6 +71,39 @@ def test_byte_bpe_ids_and_decoding(shipped, edge, tik):
     assert sorted(r.ids for r in decoded) == sorted(tik.encode_ordinary(r.text or "") for r in edge.collect())
 
 
+def test_only_parts_that_can_be_tokens_are_looked_up(shipped, real):
+    """No token is too long for the reach of its head, and most parts of a text's pieces are never looked up."""
+    ranks = byte_bpe.read_ranks(RANKS)
+    reach = byte_bpe.reach_literal(shipped, ranks)
+
+    def sizes(raw):
+        words = shipped.createDataFrame([(w,) for w in byte_bpe._symbols(raw).to_pylist()], "word string")
+        return words.select("word", F.length("word").alias("n"))
+
+    def at(i):
+        return F.size(byte_bpe.part_sizes(F.col("word"), i, F.col("n"), reach))
+
+    assert sizes([t for t in ranks if len(t) > 1]).where(at(F.lit(0)) < F.col("n") - 1).count() == 0
+    pieces = {p for r in real.collect() for p in regex.findall(public_tokenizers.PATTERN, r.text or "")}
+    rows = sizes([p.encode() for p in pieces if 1 < len(p.encode()) <= byte_bpe.BITS])
+    rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("n") - 2)).alias("i"))
+    looked_up, parts = rows.agg(F.sum(at(F.col("i"))), F.sum(F.expr("n - i - 1"))).first()
+    assert looked_up < 0.6 * parts
+
+
+def test_fold_of_words_of_joined_tokens(shipped, tik):
+    """Tokens side by side, the longest ones too, in words around the length at which the borders leave their number."""
+    ranks = byte_bpe.read_ranks(RANKS)
+    rng, tokens = np.random.default_rng(5), sorted(ranks, key=len)
+    raw = [b"".join(tokens[i] for i in rng.integers(len(tokens), size=k)) for k in rng.integers(1, 8, 3000)]
+    raw += [(a + b)[:n] for n in (2, 3, 4, 5, 59, 60, 61, 62) for a in tokens[-20:] for b in (a[::-1] + a, a + a)]
+    words = shipped.createDataFrame([(i, w) for i, w in enumerate(byte_bpe._symbols(raw).to_pylist())], "i int, word string")
+    tables = byte_bpe.rank_literal(shipped, ranks), byte_bpe.reach_literal(shipped, ranks)
+    for ordered in (True, False):
+        got = words.select("i", F.get(byte_bpe.fold_merges(F.array("word"), *tables, ordered), F.lit(0)).alias("ids")).collect()
+        assert {r.i: list(r.ids) for r in got} == {i: tik._encode_single_piece(w) for i, w in enumerate(raw)}
+
+
 def test_long_pieces_and_new_numbering(docs_of, tik, monkeypatch):
     monkeypatch.setattr(byte_bpe, "KEPT", 3)
     monkeypatch.setattr(byte_bpe, "SLICE", 40)
