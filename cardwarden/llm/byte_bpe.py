@@ -46,7 +46,7 @@ BITS = 60
 #: Symbols that tell how long a token beginning with them can be, and slots for that.
 HEAD = 4
 HEADS = 1 << 16
-SLICE = 6 << 20
+SLICE = 4 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
