@@ -217,6 +217,11 @@ def ks_p_value(statistic: Column, n: Column, m: Column, method: str = "asymptoti
     raise ValueError(f"unknown p-value method: {method}")
 
 
+def apart(distances: DataFrame, features: list[str], p_method: str) -> DataFrame:
+    """Exact p-values of large samples take seconds each, so every feature gets a task of its own."""
+    return distances.repartition(len(features)) if p_method == "exact" and features else distances
+
+
 def feature_drift(
     df: DataFrame,
     features: list[str],
@@ -228,7 +233,7 @@ def feature_drift(
 
     Missing values are left out; a feature without values on one side does not appear.
     """
-    distances = ks_distances(df, features, ["ref", "cur"], [("ref", "cur")], buckets)
+    distances = apart(ks_distances(df, features, ["ref", "cur"], [("ref", "cur")], buckets), features, p_method)
     p = ks_p_value(F.col("ks_ref_cur"), F.col("n_ref"), F.col("n_cur"), p_method)
     return distances.select(
         "feature",
@@ -357,7 +362,7 @@ def drift_summary(results: DataFrame) -> DataFrame:
 def split_shift(df: DataFrame, features: list[str], p_method: str = "asymptotic", buckets: int | None = None) -> DataFrame:
     """Distances train-validation and train-test per feature, from one set of running totals."""
     sided = df.withColumnRenamed("split", "side")
-    d = ks_distances(sided, features, ["train", "val", "test"], [("train", "val"), ("train", "test")], buckets)
+    d = apart(ks_distances(sided, features, ["train", "val", "test"], [("train", "val"), ("train", "test")], buckets), features, p_method)
     return d.select(
         "feature",
         "ks_train_val",

@@ -1,5 +1,6 @@
 import itertools
 import math
+import time
 
 import numpy as np
 import pandas as pd
@@ -118,6 +119,38 @@ def test_exact_tail_by_enumeration():
     assert ks_exact_tail(0.0, 10, 10) == 1.0
 
 
+def step_by_step(d, n, m):
+    """Chance of leaving the corridor, one merged value at a time."""
+    limit, i = round(d * n * m), np.arange(n + 1)
+    inside = np.where(i == 0, 1.0, 0.0)
+    for s in range(1, n + m + 1):
+        came = inside * ((s - i) / s) + np.concatenate([[0.0], inside[:-1]]) * (i / s)
+        inside = np.where((i <= s) & (s - i <= m) & (np.abs(i * (n + m) - s * n) < limit), came, 0.0)
+    return 1.0 - inside[n]
+
+
+@pytest.mark.parametrize("n, m", [(1, 1), (1, 300), (40, 41), (128, 128), (300, 700), (900, 2100)])
+def test_exact_tail_by_strides_equals_single_steps(n, m):
+    for z in (0.01, 0.2, 0.5, 0.8, 1.2, 2.5, 6.0):
+        d = min(1.0, z / math.sqrt(n * m / (n + m)))
+        assert ks_exact_tail(d, n, m) == pytest.approx(step_by_step(d, n, m), abs=1e-11)
+
+
+def test_exact_tail_of_large_samples_takes_seconds():
+    began, n, m = time.perf_counter(), 20_000, 70_000
+    p = ks_exact_tail(0.8 / math.sqrt(n * m / (n + m)), n, m)
+    assert p == pytest.approx(2 * sum((-1) ** (k + 1) * math.exp(-2 * k * k * 0.64) for k in range(1, 50)), rel=0.01)
+    assert ks_exact_tail(0.5, 10_000_000, 30_000_000) == 0.0
+    assert time.perf_counter() - began < 25
+
+
+def test_exact_p_values_are_spread_over_tasks(spark):
+    df = spark.createDataFrame([(float(i), "ref" if i % 3 else "cur") for i in range(300)], "a double, side string")
+    names = [f"x{k}" for k in range(4)]
+    wide = df.select("side", *[(F.col("a") * (k + 1)).alias(n) for k, n in enumerate(names)])
+    assert feature_drift(wide, names, p_method="exact").rdd.getNumPartitions() == 4
+
+
 def test_large_sample_tail_is_close_to_the_exact_one(spark):
     df = spark.createDataFrame([(0.04, 3000, 2500), (0.001, 3000, 2500)], "d double, n long, m long")
     from cardwarden.functions.pvalues import ks_asymptotic
