@@ -14,12 +14,14 @@ from pyspark.sql import types as T
 
 from cardwarden.functions import pvalues
 from cardwarden.operators.ordered import (
-    PRUNING_BUCKETS,
+    LEVELS,
+    PARTS,
     ROWS_PER_BUCKET,
     add_buckets,
     bucket_offsets,
-    choose_buckets,
+    cut_again,
     feature_names,
+    pruning_buckets,
     running_totals,
     to_long,
 )
@@ -45,9 +47,9 @@ def shared_numeric(reference: DataFrame, current: DataFrame) -> list[str]:
     ]
 
 
-#: Levels of cuts inside buckets, parts of a cut, most cells of a level (they are broadcast: some 60 bytes each), and
-#: the share of all rows below which sorting is no longer worth avoiding.
-LEVELS, PARTS, MOST_CELLS, SMALL_SHARE = 3, 32, 400_000, 0.02
+#: Most cells of a level of cuts (they are broadcast: some 60 bytes each), and the share of all rows below which sorting is
+#: no longer worth avoiding.
+MOST_CELLS, SMALL_SHARE = 400_000, 0.02
 
 
 @dataclass
@@ -99,15 +101,7 @@ def narrow(
         left = found[1] or 0
         if level == levels or left <= max(small, SMALL_SHARE * total) or found[0] * PARTS > MOST_CELLS:
             break
-        rows = rows.join(F.broadcast(open_.select("feature", "bucket")), ["feature", "bucket"], "left_semi")
-        steps = [i / PARTS for i in range(1, PARTS)]
-        cuts = F.array_distinct(F.percentile_approx("value", steps, 4 * PARTS)).alias("cuts")
-        borders = settle(rows.groupBy("feature", "bucket").agg(cuts))
-        passed = F.size(F.filter("cuts", lambda c: c <= F.col("value")))
-        rows = rows.join(F.broadcast(borders), ["feature", "bucket"]).select(
-            *[c for c in long.columns if c != "bucket"], F.col("bucket").alias("parent"),
-            (F.col("bucket").cast("bigint") * PARTS + passed).alias("bucket"),
-        )
+        rows = cut_again(rows, open_)
         parents = open_.select(
             "feature", F.col("bucket").alias("parent"), *keep, *[f"{c}_all" for c in columns],
             *[F.col(f"{c}_before").alias(f"{c}_first") for c in columns],
@@ -145,7 +139,7 @@ def ks_distances(
     """
     columns = [f"n_{s}" for s in sides]
     wide = df.select("side", *features).where(F.col("side").isin(sides))
-    buckets = choose_buckets(wide, PRUNING_BUCKETS) if buckets is None else buckets
+    buckets = pruning_buckets(wide) if buckets is None else buckets
     long = to_long(add_buckets(wide, features, buckets), ["side"], features)
 
     def side_counts() -> list[Column]:
